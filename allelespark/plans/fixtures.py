@@ -30,7 +30,7 @@ VIEWS: dict[str, str] = {
         FROM part""",
     "pheno": f"""
         SELECT l_suppkey AS feature_id, l_orderkey % {COHORT} AS sample_id,
-               avg(l_extendedprice) / 1000 AS value
+               avg(l_extendedprice) / 997 AS value
         FROM lineitem GROUP BY l_suppkey, l_orderkey % {COHORT}""",
     "pheno_na": """
         SELECT feature_id, sample_id,
@@ -49,10 +49,10 @@ VIEWS: dict[str, str] = {
                CASE WHEN s_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand
         FROM supplier""",
     "covar": f"""
-        SELECT o_orderkey % {COHORT} AS sample_id, avg(o_totalprice) / 4000 AS age,
+        SELECT o_orderkey % {COHORT} AS sample_id, avg(o_totalprice) / 4003 AS age,
                CAST(CAST(sum(o_custkey) AS BIGINT) % 2 AS BIGINT) AS sex,
                CAST(CAST(sum(o_custkey) AS BIGINT) % 4 AS BIGINT) AS batch,
-               avg(CAST(o_custkey % 1000 AS DOUBLE)) / 100 AS rin
+               avg(CAST(o_custkey % 1000 AS DOUBLE)) / 101 AS rin
         FROM orders GROUP BY o_orderkey % {COHORT}""",
     "covlong": """
         SELECT sample_id, 'age' AS covariate, CAST(round(age, 4) AS VARCHAR) AS value FROM covar
@@ -63,7 +63,7 @@ VIEWS: dict[str, str] = {
         UNION ALL SELECT sample_id, 'PC1', CAST(round(age - 10 * rin, 4) AS VARCHAR) FROM covar
         UNION ALL SELECT sample_id, 'study_site', '1' FROM covar""",
     "traits": f"""
-        SELECT o_orderkey % {COHORT} AS sample_id, 'height' AS trait, avg(o_totalprice) / 1000 AS value
+        SELECT o_orderkey % {COHORT} AS sample_id, 'height' AS trait, avg(o_totalprice) / 1009 AS value
         FROM orders GROUP BY o_orderkey % {COHORT}
         UNION ALL
         SELECT o_orderkey % {COHORT}, 'weight', stddev_samp(o_totalprice) / 500
@@ -74,14 +74,14 @@ VIEWS: dict[str, str] = {
     "assoc": """
         SELECT l_suppkey AS gene_id, l_partkey AS variant_id,
                pow(((l_partkey * 7919 + l_suppkey * 104729) % 99991 + 1) / 100000.0, 4) AS p_value,
-               avg(l_discount) - 0.05 AS beta, 0.01 + avg(l_tax) / 10 AS se,
+               avg(l_discount) / 1.03 - 0.05 AS beta, 0.01 + avg(l_tax) / 9.7 AS se,
                (l_partkey % 50 + 1) / 100.0 AS maf
         FROM lineitem GROUP BY l_suppkey, l_partkey""",
     "gwas": """
         SELECT l_returnflag AS phenotype, l_partkey AS variant_id,
                CAST(l_partkey % 22 + 1 AS VARCHAR) AS chrom, l_partkey * 10000 AS pos,
                pow(((l_partkey * 7919 + ascii(l_returnflag) * 104729) % 99991 + 1) / 100000.0, 3) AS p_value,
-               avg(l_discount) - 0.05 AS beta, 0.01 + avg(l_tax) / 10 AS se,
+               avg(l_discount) / 1.03 - 0.05 AS beta, 0.01 + avg(l_tax) / 9.7 AS se,
                (l_partkey % 50 + 1) / 100.0 AS maf
         FROM lineitem GROUP BY l_returnflag, l_partkey""",
 }
@@ -143,7 +143,7 @@ class Tables:
         )
 
     def pheno(self) -> DataFrame:
-        return self._cells(F.avg("l_extendedprice") / 1000)
+        return self._cells(F.avg("l_extendedprice") / 997)
 
     def pheno_na(self) -> DataFrame:
         f, s = F.col("feature_id"), F.col("sample_id")
@@ -170,10 +170,10 @@ class Tables:
 
     def covar(self) -> DataFrame:
         return self.orders.groupBy(sid("o_orderkey").alias("sample_id")).agg(
-            (F.avg("o_totalprice") / 4000).alias("age"),
+            (F.avg("o_totalprice") / 4003).alias("age"),
             (F.sum("o_custkey") % 2).alias("sex"),
             (F.sum("o_custkey") % 4).alias("batch"),
-            (F.avg((F.col("o_custkey") % 1000).cast("double")) / 100).alias("rin"),
+            (F.avg((F.col("o_custkey") % 1000).cast("double")) / 101).alias("rin"),
         )
 
     def covlong(self) -> DataFrame:
@@ -191,7 +191,7 @@ class Tables:
 
     def traits(self) -> DataFrame:
         wide = self.orders.groupBy(sid("o_orderkey").alias("sample_id")).agg(
-            (F.avg("o_totalprice") / 1000).alias("height"),
+            (F.avg("o_totalprice") / 1009).alias("height"),
             (F.stddev_samp("o_totalprice") / 500).alias("weight"),
             F.avg((F.col("o_custkey") % 97).cast("double")).alias("ldl"),
         )
@@ -201,8 +201,8 @@ class Tables:
         return self.lineitem.groupBy(
             F.col("l_suppkey").alias("gene_id"), F.col("l_partkey").alias("variant_id")
         ).agg(
-            (F.avg("l_discount") - 0.05).alias("beta"),
-            (0.01 + F.avg("l_tax") / 10).alias("se"),
+            (F.avg("l_discount") / 1.03 - 0.05).alias("beta"),
+            (0.01 + F.avg("l_tax") / 9.7).alias("se"),
         ).select(
             "gene_id",
             "variant_id",
@@ -217,8 +217,8 @@ class Tables:
         return self.lineitem.groupBy(
             F.col("l_returnflag").alias("phenotype"), F.col("l_partkey").alias("variant_id")
         ).agg(
-            (F.avg("l_discount") - 0.05).alias("beta"),
-            (0.01 + F.avg("l_tax") / 10).alias("se"),
+            (F.avg("l_discount") / 1.03 - 0.05).alias("beta"),
+            (0.01 + F.avg("l_tax") / 9.7).alias("se"),
         ).select(
             "phenotype",
             "variant_id",
