@@ -6,7 +6,7 @@ give the same answers with work split by value range instead of by group.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,8 +30,19 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataF
 
 def scalars(df: DataFrame, *aggs: Column) -> list[Column]:
     """Whole-table aggregates as scalar-subquery columns (no join in the plan)."""
-    row = df.agg(*aggs)
-    return [row.select(F.col(f"`{name}`")).scalar().alias(name) for name in row.columns]
+    return columns_of(df.agg(*aggs))
+
+
+def columns_of(row: DataFrame) -> list[Column]:
+    """Columns of a one-row frame for use in other frames; the row is computed once and shared."""
+    whole = row.select(F.struct("*").alias("_r")).scalar()
+    return [whole.getField(name).alias(name) for name in row.columns]
+
+
+def one_row(*rows: DataFrame) -> DataFrame:
+    """Put several one-row frames side by side."""
+    spark = rows[0].sparkSession
+    return spark.range(1).select(*[c for r in rows for c in columns_of(r)])
 
 
 def ordered(
@@ -89,13 +100,15 @@ def exact_quantiles(
     value: str,
     probs: Mapping[str, float],
     accuracy: int = 10_000,
+    transform: Callable[[Column], Column] = lambda v: v,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group (same as ``percentile``), in bounded state.
 
     Pass 1 brackets each quantile with a mergeable sketch; pass 2 counts the values below each
     bracket and keeps, by distinct value, only those inside.  Groups no larger than
-    ``accuracy`` skip the bracket.  Returns one row per group with ``n`` and one column per
-    entry of ``probs``.
+    ``accuracy`` skip the bracket.  A monotone ``transform`` is applied to the order statistics
+    before interpolation.  Returns one row per group with ``n`` and one column per entry of
+    ``probs``.
     """
     keys = list(keys)
     grp = keys or [_ONE]
@@ -145,7 +158,8 @@ def exact_quantiles(
     cols = []
     for i, (name, q) in enumerate(zip(names, qs)):
         pos = (F.col("_n") - 1) * F.lit(q)
-        cols.append((F.col(f"_a{i}") + (F.col(f"_z{i}") - F.col(f"_a{i}")) * (pos - F.floor(pos))).alias(name))
+        a, z = transform(F.col(f"_a{i}")), transform(F.col(f"_z{i}"))
+        cols.append((a + (z - a) * (pos - F.floor(pos))).alias(name))
     return res.select(*keys, F.col("_n").alias("n"), *cols)
 
 

@@ -3,3 +3,4 @@ from allelespark.plans import q_clean  # noqa: F401
 from allelespark.plans.registry import ORACLES, QUERIES  # noqa: F401
 from allelespark.plans import q_filters  # noqa: F401
 from allelespark.plans import q_joins  # noqa: F401
+from allelespark.plans import q_qc, q_summary  # noqa: F401
