@@ -129,20 +129,24 @@ def t_p(t, dof):
 
 
 def beta_ppf(q, a, b):
-    """Beta quantile: Newton steps kept inside a shrinking bracket."""
-    q, a, b = (v.astype(float) for v in np.broadcast_arrays(q, a, b))
+    """Beta quantile: Newton steps from a normal start, kept inside a shrinking bracket."""
+    q, a, b = (np.array(v, dtype=float).ravel() for v in np.broadcast_arrays(q, a, b))
+    mean, sd = a / (a + b), np.sqrt(a * b / (a + b + 1)) / (a + b)
+    x = np.clip(mean + norm_ppf(q) * sd, mean * 1e-3, 1 - (1 - mean) * 1e-3)
     lo, hi = np.zeros_like(q), np.ones_like(q)
-    x = a / (a + b)
     norm = gammaln(a + b) - gammaln(a) - gammaln(b)
+    live = np.arange(len(q))
     for _ in range(100):
-        f = betainc(a, b, x) - q
-        lo, hi = np.where(f < 0, x, lo), np.where(f >= 0, x, hi)
+        xa, aa, ba = x[live], a[live], b[live]
+        f = betainc(aa, ba, xa) - q[live]
+        lo[live], hi[live] = np.where(f < 0, xa, lo[live]), np.where(f >= 0, xa, hi[live])
         with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-            step = x - f / np.exp(norm + (a - 1) * np.log(x) + (b - 1) * np.log1p(-x))
-        new = np.where((step > lo) & (step < hi), step, 0.5 * (lo + hi))
-        if np.all(np.abs(new - x) <= 1e-15 * np.maximum(x, 1e-300)):
+            step = xa - f / np.exp(norm[live] + (aa - 1) * np.log(xa) + (ba - 1) * np.log1p(-xa))
+        new = np.where((step > lo[live]) & (step < hi[live]), step, 0.5 * (lo[live] + hi[live]))
+        x[live] = new
+        live = live[np.abs(new - xa) > 1e-12 * xa]
+        if not len(live):
             break
-        x = new
     return x
 
 

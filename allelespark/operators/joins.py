@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from allelespark.operators.clean import sample_key
 from allelespark.operators.ordered import first_rows
+from allelespark.session import materialize
 
 
 def sample_ids(df: DataFrame, column: str = "sample_id") -> DataFrame:
@@ -24,13 +25,26 @@ def in_all(sets: Sequence[DataFrame]) -> DataFrame:
     )
 
 
-def align_samples(*tables: DataFrame) -> list[DataFrame]:
-    """Restrict every table to the samples all of them share; an empty overlap is an error."""
-    ids = [t.withColumn("sample_id", F.trim(F.col("sample_id").cast("string"))) for t in tables]
-    common = in_all([t.select("sample_id") for t in ids])
+def shared_samples(*tables: DataFrame) -> DataFrame:
+    """Trimmed ids present in every table, fixed once; an empty overlap is an error.
+
+    One id per sample is checkpointed, so the wide scan for ids is not repeated downstream.
+    """
+    common = materialize(in_all([sample_ids(t) for t in tables]))
     if common.isEmpty():
         raise ValueError("no sample is shared by all tables")
-    return [t.join(common, "sample_id", "left_semi") for t in ids]
+    return common
+
+
+def restrict(table: DataFrame, samples: DataFrame) -> DataFrame:
+    trimmed = table.withColumn("sample_id", F.trim(F.col("sample_id").cast("string")))
+    return trimmed.join(samples.select("sample_id"), "sample_id", "left_semi")
+
+
+def align_samples(*tables: DataFrame) -> list[DataFrame]:
+    """Restrict every table to the samples all of them share."""
+    common = shared_samples(*tables)
+    return [restrict(t, common) for t in tables]
 
 
 def feature_positions(features: DataFrame, annotation: DataFrame, key: str = "gene_id") -> DataFrame:

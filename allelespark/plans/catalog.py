@@ -5,3 +5,4 @@ from allelespark.plans import q_filters  # noqa: F401
 from allelespark.plans import q_joins  # noqa: F401
 from allelespark.plans import q_qc, q_summary  # noqa: F401
 from allelespark.plans import q_window  # noqa: F401
+from allelespark.plans import q_norm  # noqa: F401
