@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from allelespark.operators.ordered import columns_of, exact_quantiles, ordered, scalars, with_group_stats
+from allelespark.operators.ordered import exact_quantiles, ordered, scalars, with_group_stats
+from allelespark.session import materialize
 
 
 def val() -> Column:
@@ -91,31 +92,32 @@ def quadratic_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def dispersions(counts: DataFrame, factors: DataFrame, fit: str = "parametric") -> DataFrame:
-    """Fitted dispersion per feature: log-log parabola, or parabola on the mean for ``local``."""
-    mom = feature_moments(counts, factors)
-    (low,) = scalars(mom.where("mean > 0"), F.min("mean").alias("_low"))
-    mom = mom.withColumn("_m", F.when(F.col("mean") == 0, F.coalesce(low, F.lit(1.0))).otherwise(F.col("mean")))
+    """Fitted dispersion per feature: log-log parabola, or parabola on the mean for ``local``.
+
+    The per-feature moments (one row each) are checkpointed because the fit reads them four times;
+    only the fitted constants reach the driver.
+    """
+    mom = materialize(feature_moments(counts, factors))
+    low = mom.where("mean > 0").agg(F.min("mean")).first()[0]
+    mom = mom.withColumn("_m", F.when(F.col("mean") == 0, F.lit(1.0 if low is None else low)).otherwise(F.col("mean")))
     mom = mom.withColumn("raw", F.col("variance") / (F.col("_m") * F.col("_m")))
     ok = (F.col("_m") > 0) & (F.col("variance") > 0)
-    if fit == "local":
-        xy = mom.where(ok).select(F.col("_m").alias("x"), F.col("raw").alias("y"))
-        at, back = F.col("_m"), lambda c: c
-    else:
-        xy = mom.where(ok).select(F.log(F.col("_m") + 1).alias("x"), F.log(F.col("raw") + 1e-8).alias("y"))
-        at, back = F.log(F.col("_m") + 1), F.exp
-    x0, c0, c1, c2 = columns_of(quadratic_fit(xy, "x", "y"))
-    u = at - F.col("x0")
-    fitted = mom.select("*", x0, c0, c1, c2).withColumn(
-        "fitted", F.when(ok, back(F.col("c0") + F.col("c1") * u + F.col("c2") * u * u))
-    )
+    at = F.col("_m") if fit == "local" else F.log(F.col("_m") + 1)
+    target = F.col("raw") if fit == "local" else F.log(F.col("raw") + 1e-8)
+    c = quadratic_fit(mom.where(ok).select(at.alias("x"), target.alias("y")), "x", "y").first()
+    if c["c0"] is None:
+        return mom.select("feature_id", "mean", "variance", "raw", F.lit(0.1).alias("dispersion"))
+    u = at - c["x0"]
+    curve = F.lit(c["c0"]) + F.lit(c["c1"]) * u + F.lit(c["c2"]) * u * u
+    fitted = mom.withColumn("fitted", F.when(ok, curve if fit == "local" else F.exp(curve)))
     med = exact_quantiles(fitted, [], "fitted", {"m": 0.5}).select("m").scalar()
-    final = F.greatest(F.coalesce("fitted", med, F.lit(0.1)), F.lit(1e-8))
+    final = F.greatest(F.coalesce("fitted", med), F.lit(1e-8))
     return fitted.select("feature_id", "mean", "variance", "raw", final.alias("dispersion"))
 
 
 def vst(counts: DataFrame, fit: str = "parametric") -> DataFrame:
     """Variance stabilising transform: raw counts against size-normalised feature means."""
-    disp = dispersions(counts, size_factors(counts), fit).select("feature_id", "mean", "dispersion")
+    disp = dispersions(counts, materialize(size_factors(counts)), fit).select("feature_id", "mean", "dispersion")
     d, m = F.col("dispersion"), F.col("mean")
     main = F.asinh(F.sqrt(d) * (val() - m) / F.sqrt(m)) / F.sqrt(d)
     out = counts.join(disp, "feature_id")
