@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from allelespark.functions.stats import betainc, norm_ppf, r_threshold, t_log_p, t_p, t_p_udf
-from allelespark.operators.blocks import rows_per_block, scan_blocks, window_keys
+from allelespark.operators.blocks import gene_bins, rows_per_block, scan_blocks, spread, variant_bins
 from allelespark.operators.covariates import dense, design_rows, dot, gram_inverse, matrix_lit, packed_rows, remove_effects, sample_index
 from allelespark.operators.filters import remove_trait_outliers
 from allelespark.operators.joins import align_samples, drop_cis, restrict, shared_samples, tagged_union
 from allelespark.operators.multitest import qvalues
 from allelespark.operators.normalize import fill_by_sample
-from allelespark.operators.ordered import columns_of, one_row, with_group_stats
+from allelespark.operators.ordered import columns_of, with_group_stats
+from allelespark.session import materialize
 
 
 class Prepared:
@@ -25,67 +26,72 @@ class Prepared:
     Missing dosages sit at the variant mean, so a centred row holds only called cells.  The
     phenotype residual is orthogonal to the covariates; the product of the two is therefore the
     numerator of the partial regression, and the genotype side needs only one scalar per variant.
+
+    The per-sample table and the residuals (phenotype size) are checkpointed because every scan
+    reads them several times; genotypes are read once per scan.
     """
 
     def __init__(self, geno: DataFrame, pheno: DataFrame, cov: DataFrame | None = None, samples: DataFrame | None = None):
         """``samples`` may name the genotyped ids (a file header knows them) to spare a scan for them."""
         tables = [geno if samples is None else samples, pheno] + ([cov] if cov is not None else [])
         common = shared_samples(*tables)
-        aligned = [restrict(t, common) for t in (geno, pheno, *tables[2:])]
-        self.geno, y = aligned[0].where("dosage IS NOT NULL"), fill_by_sample(aligned[1])
-        self.index = sample_index(common)
-        self.n = common.count()
+        self.geno = geno.where("dosage IS NOT NULL").withColumn("sample_id", F.trim(F.col("sample_id").cast("string")))
+        y = fill_by_sample(restrict(pheno, common))
+        index = sample_index(common)
         if cov is not None:
-            design, names = design_rows(aligned[2])
+            cov = restrict(cov, common)
+            design, names = design_rows(cov)
             self.k = len(names)
             mean, self.inverse = gram_inverse(design, self.k)
             mu = F.array(*[F.lit(float(m)) for m in mean])
-            self.design = design.select("sample_id", F.zip_with("x", mu, lambda a, m: a - m).alias("xc"))
-            self.resid = remove_effects(y, aligned[2], centre=True)
+            index = index.join(design.select("sample_id", F.zip_with("x", mu, lambda a, m: a - m).alias("xc")), "sample_id")
+            resid = remove_effects(y, cov, centre=True)
         else:
-            self.k, self.design = 0, None
+            self.k = 0
             y = with_group_stats(y, ["feature_id"], F.avg("value").alias("_m"))
-            self.resid = y.withColumn("value", F.col("value") - F.col("_m")).drop("_m")
+            resid = y.withColumn("value", F.col("value") - F.col("_m")).drop("_m")
+        self.samples = materialize(index)
+        self.resid = materialize(resid)
+        self.n = self.samples.count()
         self.dof = self.n - 2 - self.k
 
-    def variant_moments(self, traits: DataFrame | None = None, n_traits: int = 0) -> DataFrame:
+    def variant_moments(self, traits: DataFrame | None = None, n_traits: int = 0, pack: bool = False) -> DataFrame:
         """Per variant: calls, mean, adjusted sum of squares and, per trait, the adjusted cross-product.
 
-        One join with the per-sample vectors and one partial aggregation; nothing is exploded.
+        One join with the per-sample vectors and one aggregation; nothing is exploded.  ``pack``
+        adds the centred dosages as arrays.
         """
-        rows, g = self.geno, F.col("dosage")
-        if self.design is not None:
-            rows = rows.join(self.design, "sample_id")
-        if traits is not None:
-            rows = rows.join(traits, "sample_id")
+        g = F.col("dosage")
+        rows = self.geno.join(self.samples if traits is None else self.samples.join(traits, "sample_id"), "sample_id")
         sums = lambda col, m, w: [F.sum(w * F.element_at(col, i + 1)) for i in range(m)]
-        aggs = [F.count(g).alias("n_called"), F.sum(g).alias("_s"), F.sum(g * g).alias("_ss"),
-                F.count_if(g > 0.5).alias("carriers_alt"), F.count_if(g < 1.5).alias("carriers_ref")]
+        aggs = [F.count(g).alias("n_called"), F.sum(g).alias("_s"), F.sum(g * g).alias("_ss")]
         if self.k:
             aggs += [F.array(*sums("xc", self.k, g)).alias("_gx"), F.array(*sums("xc", self.k, F.lit(1.0))).alias("_x")]
         if n_traits:
             aggs += [F.array(*sums("rt", n_traits, g)).alias("_gr"), F.array(*sums("rt", n_traits, F.lit(1.0))).alias("_r")]
+        if pack:
+            aggs.append(F.collect_list(F.struct("idx", g.alias("v"))).alias("_p"))
         out = rows.groupBy("variant_id").agg(*aggs).withColumn("mean", F.col("_s") / F.col("n_called"))
         ss = F.col("_ss") - F.col("n_called") * F.col("mean") * F.col("mean")
         if self.k:
             out = out.withColumn("_c", F.zip_with("_gx", "_x", lambda a, b: a - F.col("mean") * b))
             ss = ss - dot(F.transform(matrix_lit(self.inverse), lambda r: dot(r, F.col("_c"))), F.col("_c"))
-        out = out.withColumn("sg2", ss)
+        out = out.withColumns({"sg2": ss, "af": F.col("mean") / 2})
         if n_traits:
             out = out.withColumn("num", F.zip_with("_gr", "_r", lambda a, b: a - F.col("mean") * b))
-        return out.withColumn("af", F.col("mean") / 2).withColumn("maf", F.least(F.col("af"), 1 - F.col("af")))
+        if pack:
+            out = out.withColumns({"idx": F.col("_p.idx"), "val": F.transform("_p", lambda c: c["v"] - F.col("mean"))})
+        return out.withColumn("maf", F.least(F.col("af"), 1 - F.col("af")))
 
     def variant_rows(self, variants: DataFrame, maf: float = 0.0) -> DataFrame:
         """Packed centred dosages with position and scalars; variants without variation drop out."""
-        mom = self.variant_moments().where((F.col("sg2") > 1e-9) & (F.col("maf") >= maf))
-        mom = mom.select("variant_id", "mean", "sg2", "af", "maf", "n_called")
-        packed = packed_rows(self.geno, self.index, "variant_id", "dosage")
-        out = packed.join(mom, "variant_id").join(variants.select("variant_id", "chrom", "pos"), "variant_id")
-        return out.withColumn("val", F.transform("val", lambda v: v - F.col("mean"))).drop("mean")
+        mom = self.variant_moments(pack=True).where((F.col("sg2") > 1e-9) & (F.col("maf") >= maf))
+        mom = mom.select("variant_id", "idx", "val", "sg2", "af", "maf", "n_called")
+        return mom.join(variants.select("variant_id", "chrom", "pos"), "variant_id")
 
     def feature_rows(self, places: DataFrame) -> DataFrame:
         """Packed residuals with the feature interval and the residual sum of squares."""
-        packed = packed_rows(self.resid, self.index, "feature_id")
+        packed = packed_rows(self.resid, self.samples.select("sample_id", "idx"), "feature_id")
         packed = packed.withColumn("sy2", dot(F.col("val"), F.col("val"))).where("sy2 > 1e-9")
         return packed.join(places.select(F.col("gene_id").alias("feature_id"), "chrom", "gstart", "gend", "strand"), "feature_id")
 
@@ -126,10 +132,16 @@ def cis_nominal(prep: Prepared, variants: DataFrame, genes: DataFrame, window: i
             "distance": vv["pos"] - tss, "af": vv["af"], "maf": vv["maf"], "n": n, **st,
         })
 
-    vk, gk = window_keys(prep.variant_rows(variants, maf), prep.feature_rows(genes).drop("n"), window)
+    sides = window_sides(prep, variants, genes, window, maf)
     ids = f"gene_id {_kind(genes, 'gene_id')}, variant_id {_kind(variants, 'variant_id')}, chrom string, pos bigint, distance bigint"
     schema = f"{ids}, af double, maf double, n int, {_STATS}"
-    return scan_blocks(vk, gk, ["chrom", "_bin"], rows_per_block(n), scan, schema)
+    return scan_blocks(*sides, ["chrom", "_bin"], rows_per_block(n), scan, schema)
+
+
+def window_sides(prep: Prepared, variants: DataFrame, genes: DataFrame, window: int, maf: float):
+    """Packed rows keyed by position bin, and the narrow position tables that size the blocks."""
+    v, g = variant_bins(variants, window), gene_bins(genes, window)
+    return variant_bins(prep.variant_rows(variants, maf), window), gene_bins(prep.feature_rows(genes), window), v, g
 
 
 def _kind(df: DataFrame, col: str) -> str:
@@ -156,7 +168,7 @@ def trans_pairs(prep: Prepared, variants: DataFrame, genes: DataFrame, p: float
     g = prep.feature_rows(genes).withColumnRenamed("chrom", "g_chrom")
     ids = f"gene_id {_kind(genes, 'gene_id')}, variant_id {_kind(variants, 'variant_id')}, v_chrom string, pos bigint"
     schema = f"{ids}, g_chrom string, tss bigint, maf double, n int, {_STATS}"
-    return scan_blocks(prep.variant_rows(variants, maf), g, [], rows_per_block(n), scan, schema)
+    return scan_blocks(prep.variant_rows(variants, maf), g, variants, genes, [], rows_per_block(n), scan, schema)
 
 
 def trans_scan(
@@ -164,7 +176,8 @@ def trans_scan(
     lam: float | None = None,
 ) -> DataFrame:
     """Trans hits without cis pairs, with q-values."""
-    return qvalues(drop_cis(trans_pairs(prep, variants, genes, p, maf), cis_window), lam=lam)
+    hits = materialize(drop_cis(trans_pairs(prep, variants, genes, p, maf), cis_window))  # so the scan runs once
+    return qvalues(hits, lam=lam)
 
 
 def _digamma(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -233,12 +246,12 @@ def cis_permutation(
                 out.append((g["feature_id"].iloc[k], v["variant_id"].iloc[b], pos[b], v["maf"].iloc[b], r[b, k], slope, len(rows), top[k]))
         return pd.DataFrame(out, columns=["gene_id", "variant_id", "pos", "maf", "r", "beta", "n_variants", "top"])
 
-    vk, gk = window_keys(prep.variant_rows(variants, maf), prep.feature_rows(genes), window)
+    sides = window_sides(prep, variants, genes, window, maf)
     ids = f"gene_id {_kind(genes, 'gene_id')}, variant_id {_kind(variants, 'variant_id')}, pos bigint"
-    blocks = scan_blocks(
-        vk, gk, ["chrom", "_bin"], rows_per_block(n), scan,
+    blocks = materialize(scan_blocks(  # read by both aggregates below
+        *sides, ["chrom", "_bin"], rows_per_block(n), scan,
         f"{ids}, maf double, r double, beta double, n_variants bigint, top array<double>",
-    )
+    ))
     order = F.struct(F.round(-F.abs("r"), 12), "variant_id")
     best = blocks.groupBy("gene_id").agg(
         F.min_by(F.struct("variant_id", "pos", "maf", "r", "beta"), order).alias("b"), F.sum("n_variants").alias("n_variants")
@@ -265,7 +278,7 @@ def cis_permutation(
 
 def cis_map(prep: Prepared, variants: DataFrame, genes: DataFrame, lam: float | None = None, **kw) -> DataFrame:
     """Permutation scan with q-values on the beta-approximated p."""
-    return qvalues(cis_permutation(prep, variants, genes, **kw), "p_beta", lam)
+    return qvalues(materialize(cis_permutation(prep, variants, genes, **kw)), "p_beta", lam)
 
 
 def by_type(scans: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
@@ -308,15 +321,13 @@ def logistic_gwas(geno: DataFrame, trait: DataFrame, cov: DataFrame | None = Non
     prep = Prepared(geno, y, cov)
     n = prep.n
     case = y.withColumn("sample_id", F.trim(F.col("sample_id").cast("string"))).select("sample_id", F.col("value").alias("y"))
-    samples = prep.index.join(case, "sample_id")
-    if prep.design is not None:
-        samples = samples.join(prep.design, "sample_id")
-    x = F.col("xc") if prep.design is not None else F.array().cast("array<double>")
+    samples = prep.samples.join(case, "sample_id")
+    x = F.col("xc") if prep.k else F.array().cast("array<double>")
     table = samples.agg(F.array_sort(F.collect_list(F.struct("idx", "y", x.alias("x")))).alias("_s"))  # cohort x covariates
     places = geno.select("variant_id").distinct().withColumns({"chrom": F.lit(""), "pos": F.lit(0).cast("bigint")})
     v = prep.variant_rows(places, maf)
     size = rows_per_block(n)
-    blocks = columns_of(v.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("int").alias("_nb")))[0]
+    blocks = columns_of(places.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("int").alias("_nb")))[0]
     left = v.select("variant_id", "idx", "val", "af", "n_called", F.pmod(F.xxhash64("variant_id"), blocks).cast("int").alias("_b"))
     right = table.select(F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_b"), "_s")
 
@@ -354,7 +365,7 @@ def logistic_gwas(geno: DataFrame, trait: DataFrame, cov: DataFrame | None = Non
         f"variant_id {_kind(geno, 'variant_id')}, n_called bigint, af double, beta double, se double, z double, p_value double, "
         "or_low double, or_high double, converged boolean"
     )
-    return left.groupBy("_b").cogroup(right.groupBy("_b")).applyInPandas(fit, schema)
+    return spread(left, "_b").groupBy("_b").cogroup(spread(right, "_b").groupBy("_b")).applyInPandas(fit, schema)
 
 
 def gwas_inputs(geno: DataFrame, traits: DataFrame, names: Sequence[str], cov: DataFrame | None = None) -> DataFrame:

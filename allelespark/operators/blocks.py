@@ -21,23 +21,33 @@ def rows_per_block(n_samples: int) -> int:
     return max(16, min(2048, BLOCK_CELLS // max(n_samples, 1)))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by the group keys with the session's full partition count.
+
+    Block work is heavy in CPU and light in bytes, so the adaptive merge of small partitions,
+    which goes by bytes, would put most blocks in one task; an explicit count is left alone and
+    satisfies the grouping without a second shuffle.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def _chunk(key: str, count: str):
     return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
 
 
-def block_pairs(variants: DataFrame, genes: DataFrame, by: Sequence[str], size: int):
+def block_pairs(variants: DataFrame, genes: DataFrame, v_sizes: DataFrame, g_sizes: DataFrame, by: Sequence[str], size: int):
     """Key both sides by (``by``..., variant block, gene block) with at most about ``size`` rows per block.
 
-    Block numbers come from counts per key, so a crowded key is cut into more blocks instead of
-    growing one task.
+    Block numbers come from counts per key in the narrow ``v_sizes`` and ``g_sizes`` tables, so a
+    crowded key is cut into more blocks instead of growing one task, and the wide rows are read once.
     """
     by = list(by)
     parts = lambda c: F.ceil(F.count(F.lit(1)) / size).cast("int").alias(c)
     if by:
-        grid = variants.groupBy(*by).agg(parts("_nv")).join(genes.groupBy(*by).agg(parts("_ng")), by)
+        grid = v_sizes.groupBy(*by).agg(parts("_nv")).join(g_sizes.groupBy(*by).agg(parts("_ng")), by)
         v, g = variants.join(grid, by), genes.join(grid, by)
     else:
-        cols = columns_of(one_row(variants.agg(parts("_nv")), genes.agg(parts("_ng"))))
+        cols = columns_of(one_row(v_sizes.agg(parts("_nv")), g_sizes.agg(parts("_ng"))))
         v, g = variants.select("*", *cols), genes.select("*", *cols)
     over = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1))
     v = v.withColumn("_vb", _chunk("variant_id", "_nv")).withColumn("_gb", over("_ng")).drop("_nv", "_ng")
@@ -48,21 +58,26 @@ def block_pairs(variants: DataFrame, genes: DataFrame, by: Sequence[str], size:
 def scan_blocks(
     variants: DataFrame,
     genes: DataFrame,
+    v_sizes: DataFrame,
+    g_sizes: DataFrame,
     by: Sequence[str],
     size: int,
     fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
 ) -> DataFrame:
-    v, g, keys = block_pairs(variants, genes, by, size)
+    v, g, keys = block_pairs(variants, genes, v_sizes, g_sizes, by, size)
 
     def both(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return fn(a, b) if len(a) and len(b) else pd.DataFrame()
 
+    v, g = spread(v, *keys), spread(g, *keys)
     return v.groupBy(*keys).cogroup(g.groupBy(*keys)).applyInPandas(both, schema)
 
 
-def window_keys(variants: DataFrame, genes: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """Give each variant its position bin and each feature every bin its window touches."""
-    v = variants.withColumn("_bin", F.floor(F.col("pos") / window))
-    g = genes.withColumn("_bin", bins(F.col("gstart") - window, F.col("gend") + window, window))
-    return v, g
+def variant_bins(df: DataFrame, window: int) -> DataFrame:
+    return df.withColumn("_bin", F.floor(F.col("pos") / window))
+
+
+def gene_bins(df: DataFrame, window: int) -> DataFrame:
+    """Every bin the window of a feature touches."""
+    return df.withColumn("_bin", bins(F.col("gstart") - window, F.col("gend") + window, window))

@@ -11,6 +11,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from allelespark.operators.blocks import spread
 from allelespark.operators.normalize import fill_by_sample
 from allelespark.operators.ordered import scalars, with_group_stats
 
@@ -236,7 +237,7 @@ def cross_products(packed: DataFrame, n: int, key: str, tile: int = 1024, chunk:
         use = (i <= j) & (i < n) & (j < n)
         return pd.DataFrame({"i": i[use], "j": j[use], "s": g[use]})
 
-    parts = keyed.groupBy("c", "a", "b").applyInPandas(product, "i int, j int, s double")
+    parts = spread(keyed, "c", "a", "b").groupBy("c", "a", "b").applyInPandas(product, "i int, j int, s double")
     return parts.groupBy("i", "j").agg(F.sum("s").alias("s"))
 
 

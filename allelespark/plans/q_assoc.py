@@ -15,6 +15,7 @@ from allelespark.plans.fixtures import COHORT
 from allelespark.plans.q_filters import _CT, _out_sql, customer_traits
 from allelespark.plans.q_qc import rnd
 from allelespark.plans.registry import query
+from allelespark.session import materialize
 
 
 def covariates(t):
@@ -79,13 +80,13 @@ def q1c(t):
 @query("q1_cis_nominal_full")
 def q1f(t):
     prep = AS.Prepared(t.geno(), t.pheno(), covariates(t))
-    return bh_fdr(AS.cis_nominal(prep, t.variants(), t.genes(), maf=0.05), ["gene_id"])
+    return bh_fdr(materialize(AS.cis_nominal(prep, t.variants(), t.genes(), maf=0.05)), ["gene_id"])
 
 
 def slice_one(t):
     """Filter, log, cis scan, lead variant per gene and its FDR."""
     pheno = t.pheno_na().transform(X.expressed).transform(X.varying).transform(X.complete_enough).transform(N.log2)
-    scan = AS.cis_nominal(AS.Prepared(t.geno(), pheno, covariates(t)), t.variants(), t.genes(), maf=0.05)
+    scan = materialize(AS.cis_nominal(AS.Prepared(t.geno(), pheno, covariates(t)), t.variants(), t.genes(), maf=0.05))
     lead = D.top_hit(bh_fdr(scan), "variant_id", keys=("gene_id",))
     return lead.select("gene_id", "variant_id", "chrom", "pos", "beta", "se", "t", "p_value", "maf", "n", "fdr")
 
