@@ -7,3 +7,4 @@ from allelespark.plans import q_qc, q_summary  # noqa: F401
 from allelespark.plans import q_window  # noqa: F401
 from allelespark.plans import q_norm  # noqa: F401
 from allelespark.plans import q_assoc  # noqa: F401
+from allelespark.plans import q_io  # noqa: F401
