@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from allelespark.functions.stats import betainc, norm_ppf, r_threshold, t_log_p, t_p, t_p_udf
-from allelespark.operators.blocks import gene_bins, rows_per_block, scan_blocks, spread, variant_bins
+from allelespark.operators.blocks import bin_width, gene_bins, rows_per_block, scan_blocks, spread, variant_bins
 from allelespark.operators.covariates import dense, design_rows, dot, gram_inverse, matrix_lit, packed_rows, remove_effects, sample_index
 from allelespark.operators.filters import remove_trait_outliers
 from allelespark.operators.joins import align_samples, drop_cis, restrict, shared_samples, tagged_union
@@ -140,8 +140,9 @@ def cis_nominal(prep: Prepared, variants: DataFrame, genes: DataFrame, window: i
 
 def window_sides(prep: Prepared, variants: DataFrame, genes: DataFrame, window: int, maf: float):
     """Packed rows keyed by position bin, and the narrow position tables that size the blocks."""
-    v, g = variant_bins(variants, window), gene_bins(genes, window)
-    return variant_bins(prep.variant_rows(variants, maf), window), gene_bins(prep.feature_rows(genes), window), v, g
+    width = bin_width(variants, window)
+    v, g = variant_bins(variants, width), gene_bins(genes, window, width)
+    return variant_bins(prep.variant_rows(variants, maf), width), gene_bins(prep.feature_rows(genes), window, width), v, g
 
 
 def _kind(df: DataFrame, col: str) -> str:
@@ -356,9 +357,10 @@ def logistic_gwas(geno: DataFrame, trait: DataFrame, cov: DataFrame | None = Non
         zs = b[:, 0] / se
         p = np.array([math.erfc(abs(q) / math.sqrt(2)) for q in zs])
         w = norm_ppf(0.975) * se
+        limit = lambda e: np.exp(np.clip(e, -700, 700))
         return pd.DataFrame({
             "variant_id": g["variant_id"].to_numpy(), "n_called": g["n_called"].to_numpy(), "af": g["af"].to_numpy(), "beta": b[:, 0],
-            "se": se, "z": zs, "p_value": p, "or_low": np.exp(b[:, 0] - w), "or_high": np.exp(b[:, 0] + w), "converged": done,
+            "se": se, "z": zs, "p_value": p, "or_low": limit(b[:, 0] - w), "or_high": limit(b[:, 0] + w), "converged": done,
         })
 
     schema = (

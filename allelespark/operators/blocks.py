@@ -74,10 +74,20 @@ def scan_blocks(
     return v.groupBy(*keys).cogroup(g.groupBy(*keys)).applyInPandas(both, schema)
 
 
-def variant_bins(df: DataFrame, window: int) -> DataFrame:
-    return df.withColumn("_bin", F.floor(F.col("pos") / window))
+def bin_width(variants: DataFrame, window: int, rows: int = 256) -> int:
+    """Bin width of at least the window, wider where variants are sparse, so blocks are worth a task.
+
+    One aggregate of the narrow position table; two numbers reach the driver.
+    """
+    span = variants.groupBy("chrom").agg((F.max("pos") - F.min("pos") + 1).alias("s"), F.count(F.lit(1)).alias("n"))
+    got = span.agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
+    return max(window, int((got["s"] or 1) * rows / max(got["n"] or 1, 1)))
+
+
+def variant_bins(df: DataFrame, width: int) -> DataFrame:
+    return df.withColumn("_bin", F.floor(F.col("pos") / width))
 
 
-def gene_bins(df: DataFrame, window: int) -> DataFrame:
+def gene_bins(df: DataFrame, window: int, width: int) -> DataFrame:
     """Every bin the window of a feature touches."""
-    return df.withColumn("_bin", bins(F.col("gstart") - window, F.col("gend") + window, window))
+    return df.withColumn("_bin", bins(F.col("gstart") - window, F.col("gend") + window, width))

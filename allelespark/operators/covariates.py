@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from allelespark.operators.blocks import spread
 from allelespark.operators.normalize import fill_by_sample
 from allelespark.operators.ordered import scalars, with_group_stats
+from allelespark.session import materialize
 
 
 def one_hot(cov: DataFrame, few_levels: int = 10) -> DataFrame:
@@ -151,15 +152,17 @@ def principal_components(scaled: DataFrame, k: int, key: str = "feature_id") ->
     fixed so that the largest loading is positive.
     """
     spark = scaled.sparkSession
-    index = sample_index(scaled)
+    index = materialize(sample_index(scaled))
     n = index.count()
-    vectors = dense_vectors(packed_rows(scaled, index, key), key, n).select(array_to_vector("row").alias("row"))
+    # the solver and the trace both read the packed matrix, so it is computed once
+    packed = materialize(packed_rows(scaled, index, key))
+    vectors = dense_vectors(packed, key, n).select(array_to_vector("row").alias("row"))
     rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "row"))
     k = min(k, n)
     svd = rows.computeSVD(k, computeU=False)
     s, v = np.array(svd.s.toArray()), np.array(svd.V.toArray())
     v = v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
-    (total,) = scalars(scaled, F.sum(F.col("value") * F.col("value")).alias("_t"))
+    (total,) = scalars(packed, F.sum(dot(F.col("val"), F.col("val"))).alias("_t"))
     long = pd.DataFrame({
         "component": np.repeat(np.arange(1, len(s) + 1), n), "idx": np.tile(np.arange(n), len(s)),
         "score": (v * s).T.ravel(), "_s2": np.repeat(s * s, n),
@@ -245,8 +248,8 @@ def sample_correlation(df: DataFrame) -> DataFrame:
     """Pearson correlation of every pair of samples over features (gaps filled by sample mean)."""
     z = with_group_stats(fill_by_sample(df), ["sample_id"], F.avg("value").alias("_m"), F.stddev_pop("value").alias("_s"), F.count(F.lit(1)).alias("_n"))
     z = z.select("feature_id", "sample_id", ((F.col("value") - F.col("_m")) / F.col("_s") / F.sqrt("_n")).alias("value"))
-    index = sample_index(z)
-    out = cross_products(packed_rows(z, index, "feature_id"), index.count(), "feature_id")
+    index = materialize(sample_index(z))
+    out = cross_products(materialize(packed_rows(z, index, "feature_id")), index.count(), "feature_id")
     a = index.select(F.col("idx").alias("i"), F.col("sample_id").alias("sample_a"))
     b = index.select(F.col("idx").alias("j"), F.col("sample_id").alias("sample_b"))
     return out.join(a, "i").join(b, "j").select("sample_a", "sample_b", F.col("s").alias("r"))

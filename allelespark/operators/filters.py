@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from allelespark.functions.stats import hwe_midp_udf, norm_ppf
 from allelespark.operators.clean import neg_log10
-from allelespark.operators.ordered import exact_quantiles, first_rows, scalars
+from allelespark.operators.ordered import exact_quantiles, first_rows, one_row
 from allelespark.session import materialize
 
 
@@ -157,15 +157,15 @@ def remove_trait_outliers(df: DataFrame, traits: Sequence[str], z: float = 5.0,
         if gone is not None:
             cur = cur.join(gone, "sample_id", "left_anti")
         v = F.col("value")
-        mean, sd = scalars(cur, F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_sd"))
-        q = exact_quantiles(cur, [], "value", {"q1": 0.25, "q3": 0.75})
-        q1, q3 = q.select("q1").scalar(), q.select("q3").scalar()
-        flagged = cur.select("sample_id", v, mean, sd, q1.alias("_q1"), q3.alias("_q3"))
-        iqr = F.col("_q3") - F.col("_q1")
-        far = (F.abs(F.try_divide(v - F.col("_mean"), F.col("_sd"))) > z) | (
-            v < F.col("_q1") - fences * iqr
-        ) | (v > F.col("_q3") + fences * iqr)
-        bad = materialize(flagged.where(far).select("sample_id").distinct())
+        fence = exact_quantiles(cur, [], "value", {"q1": 0.25, "q3": 0.75}).drop("n")
+        st = one_row(cur.agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd")), fence).first()  # four numbers
+        if st["q1"] is None:
+            continue
+        iqr = st["q3"] - st["q1"]
+        far = (v < st["q1"] - fences * iqr) | (v > st["q3"] + fences * iqr)
+        if st["sd"]:
+            far = far | (F.abs((v - st["mean"]) / st["sd"]) > z)
+        bad = materialize(cur.where(far).select("sample_id").distinct())
         gone = bad if gone is None else gone.unionByName(bad)
     return rows if gone is None else rows.join(gone, "sample_id", "left_anti")
 

@@ -20,30 +20,35 @@ def p_bin(p: Column) -> Column:
     return F.when(p >= 1 / 1024, 4096 + F.floor(p * 1024)).otherwise(4095 - F.floor(-F.log10(p) * 12)).cast("int")
 
 
-def bh_fdr(df: DataFrame, keys: Sequence[str] = (), p: str = "p_value", out: str = "fdr") -> DataFrame:
+def bh_fdr(
+    df: DataFrame, keys: Sequence[str] = (), p: str = "p_value", out: str = "fdr", split_above: int = 1_000_000
+) -> DataFrame:
     """Benjamini-Hochberg per group; invalid p-values get 1.
 
-    Tied p-values share one result, so rows are first counted by value.  Ranks and the running
-    minimum are taken inside order-preserving bins and completed from per-bin totals: no task
-    ever holds a whole group, and nothing is collected.
+    Tied p-values share one result, so rows are first counted by value.  Groups with more than
+    ``split_above`` distinct values are cut into order-preserving bins; ranks and the running
+    minimum are taken inside a bin and completed from per-bin totals.  No task ever holds a whole
+    large group, and nothing is collected.
     """
     keys = list(keys)
     src = df if keys else df.withColumn(_ALL, F.lit(0))
     grp = keys or [_ALL]
-    vals = valid_p(src, p).groupBy(*grp, p_bin(F.col(p)).alias("_bin"), p).agg(F.count(F.lit(1)).alias("_c"))
-    by_group = Window.partitionBy(*grp)
-    by_bin = Window.partitionBy(*grp, "_bin").orderBy(p)
-    earlier = by_group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    later = by_group.orderBy("_bin").rowsBetween(1, Window.unboundedFollowing)
+    vals = valid_p(src, p).groupBy(*grp, p).agg(F.count(F.lit(1)).alias("_c"))
+    size = vals.groupBy(*grp).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
+    vals = vals.join(size, grp).withColumn("_bin", F.when(F.col("_d") > split_above, p_bin(F.col(p))).otherwise(0)).drop("_d")
+    # suffix minima run over descending order: a frame that ends at "unbounded following" is
+    # evaluated afresh for every row, one that grows from the start is not
+    by_group, by_group_down = (Window.partitionBy(*grp).orderBy(o) for o in (F.col("_bin"), F.col("_bin").desc()))
+    by_bin, by_bin_down = (Window.partitionBy(*grp, "_bin").orderBy(o) for o in (F.col(p), F.col(p).desc()))
+    start = Window.unboundedPreceding
     totals = vals.groupBy(*grp, "_bin").agg(F.sum("_c").alias("_t"))
-    totals = totals.select(
-        *grp, "_bin", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"), F.sum("_t").over(by_group).alias("_n")
-    )
-    upto = F.sum("_c").over(by_bin.rowsBetween(Window.unboundedPreceding, 0))
+    earlier = F.sum("_t").over(by_group.rowsBetween(start, -1))
+    totals = totals.select(*grp, "_bin", F.coalesce(earlier, F.lit(0)).alias("_off"))
+    upto = F.sum("_c").over(by_bin.rowsBetween(start, 0))
     raw = vals.join(totals, [*grp, "_bin"]).withColumn("_raw", F.col(p) * F.col("_n") / (F.col("_off") + upto))
     floor = raw.groupBy(*grp, "_bin").agg(F.min("_raw").alias("_m"))
-    floor = floor.select(*grp, "_bin", F.min("_m").over(later).alias("_rest"))
-    tail = F.min("_raw").over(by_bin.rowsBetween(0, Window.unboundedFollowing))
+    floor = floor.select(*grp, "_bin", F.min("_m").over(by_group_down.rowsBetween(start, -1)).alias("_rest"))
+    tail = F.min("_raw").over(by_bin_down.rowsBetween(start, 0))
     done = raw.join(floor, [*grp, "_bin"]).select(
         *grp, p, F.least(tail, F.coalesce("_rest", F.lit(1.0)), F.lit(1.0)).alias("_fdr")
     )
