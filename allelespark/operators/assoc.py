@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from allelespark.functions.stats import betainc, norm_ppf, r_threshold, t_log_p, t_p, t_p_udf
 from allelespark.operators.blocks import bin_width, gene_bins, rows_per_block, scan_blocks, spread, variant_bins
-from allelespark.operators.covariates import dense, design_rows, dot, gram_inverse, matrix_lit, packed_rows, remove_effects, sample_index
+from allelespark.operators.covariates import Design, dense, dot, matrix_lit, packed_rows, remove_effects, sample_index
 from allelespark.operators.filters import remove_trait_outliers
 from allelespark.operators.joins import align_samples, drop_cis, restrict, shared_samples, tagged_union
 from allelespark.operators.multitest import qvalues
@@ -39,13 +39,10 @@ class Prepared:
         y = fill_by_sample(restrict(pheno, common))
         index = sample_index(common)
         if cov is not None:
-            cov = restrict(cov, common)
-            design, names = design_rows(cov)
-            self.k = len(names)
-            mean, self.inverse = gram_inverse(design, self.k)
-            mu = F.array(*[F.lit(float(m)) for m in mean])
-            index = index.join(design.select("sample_id", F.zip_with("x", mu, lambda a, m: a - m).alias("xc")), "sample_id")
-            resid = remove_effects(y, cov, centre=True)
+            design = Design(restrict(cov, common))
+            self.k, self.inverse = design.k, design.inverse
+            index = index.join(design.rows, "sample_id")
+            resid = remove_effects(y, design, centre=True)
         else:
             self.k = 0
             y = with_group_stats(y, ["feature_id"], F.avg("value").alias("_m"))

@@ -53,14 +53,27 @@ def standardise(cov: DataFrame) -> DataFrame:
 def design_rows(cov: DataFrame) -> tuple[DataFrame, list[str]]:
     """Numeric long covariates as one vector per sample: (sample_id, x) and the covariate order.
 
-    Only the covariate names reach the driver.  Samples lacking a covariate are left out.
+    Only the covariate names reach the driver.  Samples lacking a covariate are left out.  The
+    result (one row per sample) is checkpointed, as its users read it more than once.
     """
+    cov = materialize(cov)
     names = sorted(r[0] for r in cov.select("covariate").distinct().collect())
     wide = cov.groupBy("sample_id").pivot("covariate", names).agg(F.first("value"))
     x = F.array(*[F.col(f"`{n}`").cast("double") for n in names])
     return wide.dropna().select("sample_id", x.alias("x")), names
 
 
+class Design:
+    """Centred sample vectors with their means and the inverse of their cross-products."""
+
+    def __init__(self, cov: DataFrame):
+        rows, names = design_rows(cov)
+        self.k = len(names)
+        self.mean, self.inverse = gram_inverse(rows, self.k)
+        mu = F.array(*[F.lit(float(m)) for m in self.mean])
+        self.rows = rows.select("sample_id", F.zip_with("x", mu, lambda a, m: a - m).alias("xc"))
+
+
 def gram_inverse(design: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Mean of each covariate and pseudo-inverse of the centred cross-product matrix, from one k x k aggregate."""
     at = lambda i: F.element_at("x", i + 1)
@@ -84,7 +97,7 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
-def remove_effects(df: DataFrame, cov: DataFrame, centre: bool = False) -> DataFrame:
+def remove_effects(df: DataFrame, cov: DataFrame | Design, centre: bool = False) -> DataFrame:
     """Subtract the fitted covariate part of a least-squares model with intercept, feature by feature.
 
     ``cov`` is numeric and long (one-hot included).  Cross-products with the covariates are
@@ -92,12 +105,10 @@ def remove_effects(df: DataFrame, cov: DataFrame, centre: bool = False) -> DataF
     Constant features and features with missing cells stay as they are.  With ``centre`` the
     intercept is removed as well, which leaves the residual.
     """
-    design, names = design_rows(cov)
-    k = len(names)
-    mean, inv = gram_inverse(design, k)
-    mu = F.array(*[F.lit(float(m)) for m in mean])
-    centred = design.select("sample_id", F.zip_with("x", mu, lambda a, m: a - m).alias("xc"))
-    rows = df.join(centred, "sample_id")
+    design = cov if isinstance(cov, Design) else Design(cov)
+    k, inv = design.k, design.inverse
+    mu = F.array(*[F.lit(float(m)) for m in design.mean])
+    rows = df.join(design.rows, "sample_id")
     prods = [F.sum(F.col("value") * F.element_at("xc", i + 1)) for i in range(k)]
     v = F.col("value")
     per = rows.groupBy("feature_id").agg(

@@ -11,6 +11,7 @@ from allelespark.functions.stats import beta_ppf_udf, norm_ppf_col
 from allelespark.operators.clean import neg_log10
 from allelespark.operators.filters import valid_p
 from allelespark.operators.ordered import ordered, scalars
+from allelespark.session import materialize
 
 _ALL = "_all_rows"
 
@@ -33,7 +34,8 @@ def bh_fdr(
     keys = list(keys)
     src = df if keys else df.withColumn(_ALL, F.lit(0))
     grp = keys or [_ALL]
-    vals = valid_p(src, p).groupBy(*grp, p).agg(F.count(F.lit(1)).alias("_c"))
+    # three columns per distinct value, read five times below, so the source is not recomputed
+    vals = materialize(valid_p(src, p).groupBy(*grp, p).agg(F.count(F.lit(1)).alias("_c")))
     size = vals.groupBy(*grp).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
     vals = vals.join(size, grp).withColumn("_bin", F.when(F.col("_d") > split_above, p_bin(F.col(p))).otherwise(0)).drop("_d")
     # suffix minima run over descending order: a frame that ends at "unbounded following" is
