@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from allelespark.session import materialize
 
-_ONE = "_one_group"
-
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     """Attach per-group aggregates to every row.
@@ -99,68 +97,96 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
+    transform: Callable[[Column], Column] | None = None,
+    small: int = 1_000_000,
     accuracy: int = 10_000,
-    transform: Callable[[Column], Column] = lambda v: v,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles per group (same as ``percentile``), in bounded state.
-
-    Pass 1 brackets each quantile with a mergeable sketch; pass 2 counts the values below each
-    bracket and keeps, by distinct value, only those inside.  Groups no larger than
-    ``accuracy`` skip the bracket.  A monotone ``transform`` is applied to the order statistics
-    before interpolation.  Returns one row per group with ``n`` and one column per entry of
-    ``probs``.
+    """Exact linear-interpolated quantiles per group, in bounded state at any group size.
+
+    If a count shows that no group holds more than ``small`` values, the built-in exact aggregate
+    is used.  Otherwise a mergeable sketch brackets each quantile, a second pass narrows the
+    bracket, and a third counts the values below it and keeps, by distinct value, only those
+    inside (under a hundred-thousandth of a large group).  A monotone ``transform`` is applied to
+    the order statistics before interpolation.  Returns one row per group with ``n`` and one
+    column per entry of ``probs``.
     """
-    keys = list(keys)
-    grp = keys or [_ONE]
-    names, qs = list(probs), [float(q) for q in probs.values()]
+    keys, v = list(keys), F.col("_v")
     base = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    base = base.select(*(keys or [F.lit(0).alias(_ONE)]), F.col(value).cast("double").alias("_v"))
+    base = base.select(*keys, F.col(value).cast("double").alias("_v"))
+    largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if largest <= small:
+        return _small_quantiles(base, keys, probs, transform)
+    names, qs = list(probs), [float(q) for q in probs.values()]
+    k = len(qs)
     slack = 3.0 / accuracy
     cuts = [max(q - slack, 0.0) for q in qs] + [min(q + slack, 1.0) for q in qs]
-    br = base.groupBy(*grp).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", cuts, accuracy).alias("_b"),
-    )
-    k = len(qs)
-    small = F.col("_n") <= accuracy
-    lo = [F.when(small | F.lit(q - slack <= 0), float("-inf")).otherwise(F.col("_b")[i]) for i, q in enumerate(qs)]
-    hi = [
-        F.when(small | F.lit(q + slack >= 1), float("inf")).otherwise(F.col("_b")[k + i])
-        for i, q in enumerate(qs)
-    ]
-    br = br.select(*grp, "_n", *[c.alias(f"_lo{i}") for i, c in enumerate(lo)], *[c.alias(f"_hi{i}") for i, c in enumerate(hi)])
-    # a keyless bracket is one row; with keys the planner sizes the join itself
-    rows = base.join(br if keys else F.broadcast(br), grp)
-    inside = [F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(k)]
+    tight = F.col("_n") <= accuracy  # groups this small survive whole
+    ends = [(f"_lo{i}", f"_hi{i}") for i in range(k)]
+    br = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", cuts, accuracy).alias("_b"))
+    br = br.select(*keys, "_n", *[
+        F.when(tight | F.lit(open_), float("-inf") if side == 0 else float("inf")).otherwise(F.col("_b")[side * k + i]).alias(ends[i][side])
+        for i, q in enumerate(qs) for side, open_ in ((0, q - slack <= 0), (1, q + slack >= 1))
+    ])
+    br = materialize(br)
+    inside = [v.between(F.col(lo), F.col(hi)) for lo, hi in ends]
+    target = [(F.col("_n") - 1) * F.lit(q) for q in qs]
+
+    # narrow: an even grid of the values inside each bracket, then the cells around the target
+    steps = 256
+    grid = [j / steps for j in range(steps + 1)]
+    got = _attach(base, br, keys).groupBy(*keys, "_n", *[e for pair in ends for e in pair]).agg(*[
+        a for i in range(k) for a in (
+            F.count_if(v < F.col(ends[i][0])).alias(f"_u{i}"), F.count_if(inside[i]).alias(f"_m{i}"),
+            F.percentile_approx(F.when(inside[i], v), grid, accuracy).alias(f"_g{i}"),
+        )
+    ])
+    cols = []
+    for i, (lo, hi) in enumerate(ends):
+        at = (target[i] - F.col(f"_u{i}")) / F.greatest(F.col(f"_m{i}") - 1, F.lit(1)) * steps
+        first, last = (F.floor(at) - 2).cast("int"), (F.ceil(at) + 2).cast("int")
+        wide = F.col(f"_m{i}") > accuracy
+        cols.append(F.when(wide & (first > 0), F.get(F.col(f"_g{i}"), first)).otherwise(F.col(lo)).alias(lo))
+        cols.append(F.when(wide & (last < steps), F.get(F.col(f"_g{i}"), last)).otherwise(F.col(hi)).alias(hi))
+    br = materialize(got.select(*keys, "_n", *cols))
+
     anyin = inside[0]
     for c in inside[1:]:
         anyin = anyin | c
-    edges = [f"_lo{i}" for i in range(k)] + [f"_hi{i}" for i in range(k)]
-    vals = rows.groupBy(*grp, "_n", *edges, F.when(anyin, F.col("_v")).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c"),
-        *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_u{i}") for i in range(k)],
+    vals = _attach(base, br, keys).groupBy(*keys, "_n", *[e for pair in ends for e in pair], F.when(anyin, v).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"), *[F.count_if(v < F.col(lo)).alias(f"_u{i}") for i, (lo, _) in enumerate(ends)]
     )
-    whole = Window.partitionBy(*grp)
-    upto = whole.orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    run = vals.select(
-        "*",
-        *[
-            (F.sum(f"_u{i}").over(whole) + F.sum(F.when(inside[i], F.col("_c")).otherwise(0)).over(upto)).alias(f"_cum{i}")
-            for i in range(k)
-        ],
-    )
-    aggs = []
-    for i, q in enumerate(qs):
-        pos = (F.col("_n") - 1) * F.lit(q)
-        hit = lambda edge, i=i: F.min(F.when(inside[i] & (F.col(f"_cum{i}") > edge), F.col("_v")))
-        aggs += [hit(F.floor(pos)).alias(f"_a{i}"), hit(F.ceil(pos)).alias(f"_z{i}")]
-    res = run.groupBy(*grp, "_n").agg(*aggs)
-    cols = []
-    for i, (name, q) in enumerate(zip(names, qs)):
-        pos = (F.col("_n") - 1) * F.lit(q)
-        a, z = transform(F.col(f"_a{i}")), transform(F.col(f"_z{i}"))
-        cols.append((a + (z - a) * (pos - F.floor(pos))).alias(name))
-    return res.select(*keys, F.col("_n").alias("n"), *cols)
+    whole = Window.partitionBy(*keys)
+    upto = whole.orderBy(v.asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    run = vals.select("*", *[
+        (F.sum(f"_u{i}").over(whole) + F.sum(F.when(inside[i], F.col("_c")).otherwise(0)).over(upto)).alias(f"_cum{i}") for i in range(k)
+    ])
+    hit = lambda i, edge: F.min(F.when(inside[i] & (F.col(f"_cum{i}") > edge), v))
+    res = run.groupBy(*keys, "_n").agg(*[
+        a for i in range(k) for a in (hit(i, F.floor(target[i])).alias(f"_a{i}"), hit(i, F.ceil(target[i])).alias(f"_z{i}"))
+    ])
+    f = transform or (lambda c: c)
+    between = lambda i: f(F.col(f"_a{i}")) + (f(F.col(f"_z{i}")) - f(F.col(f"_a{i}"))) * (target[i] - F.floor(target[i]))
+    return res.select(*keys, F.col("_n").alias("n"), *[between(i).alias(name) for i, name in enumerate(names)])
+
+
+def _attach(base: DataFrame, br: DataFrame, keys: list[str]) -> DataFrame:
+    """Bracket columns on every row: by key, or from the single row of a keyless bracket."""
+    return base.join(br, keys) if keys else base.select("*", *columns_of(br))
+
+
+def _small_quantiles(base: DataFrame, keys: list[str], probs: Mapping[str, float], transform) -> DataFrame:
+    count = F.count(F.lit(1)).alias("n")
+    if transform is None:
+        return base.groupBy(*keys).agg(count, *[F.percentile("_v", float(q)).alias(name) for name, q in probs.items()])
+    got = base.groupBy(*keys).agg(count, F.array_sort(F.collect_list("_v")).alias("_all"))
+
+    def at(q: float) -> Column:
+        pos = (F.col("n") - 1) * F.lit(float(q))
+        a = transform(F.get("_all", F.floor(pos).cast("int")))
+        z = transform(F.get("_all", F.ceil(pos).cast("int")))
+        return a + (z - a) * (pos - F.floor(pos))
+
+    return got.select(*keys, "n", *[at(q).alias(name) for name, q in probs.items()])
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1) -> DataFrame:
