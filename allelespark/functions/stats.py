@@ -51,18 +51,27 @@ def norm_ppf(p):
 
 
 def norm_ppf_col(p: Column) -> Column:
-    """Standard normal quantile as built-in column arithmetic (stays in generated code)."""
-    q = p - 0.5
-    r = F.sqrt(-F.log(F.when(q < 0, p).otherwise(1 - p)))
-    far = F.when(r <= 5, _ratio(PPF_MIDDLE, r - 1.6)).otherwise(_ratio(PPF_TAIL, r - 5))
-    near = q * _ratio(PPF_CENTRE, F.lit(0.180625) - q * q)
-    return (
-        F.when(p == 0, float("-inf"))
-        .when(p == 1, float("inf"))
-        .when(F.abs(q) <= 0.425, near)
-        .otherwise(F.when(q < 0, -far).otherwise(far))
+    """Standard normal quantile as built-in column arithmetic, no Python worker.
+
+    Intermediate values are bound by ``transform`` over one-element arrays, so each is written
+    into the plan once instead of once per polynomial term.
+    """
+    let = lambda value, body: F.get(F.transform(F.array(value), body), 0)
+    tail = lambda r: F.when(r <= 5, let(r - 1.6, lambda x: _ratio(PPF_MIDDLE, x))).otherwise(
+        let(r - 5, lambda x: _ratio(PPF_TAIL, x))
     )
 
+    def quantile(p: Column) -> Column:
+        q = p - 0.5
+        far = let(F.sqrt(-F.log(F.least(p, 1 - p))), tail)
+        near = q * let(F.lit(0.180625) - q * q, lambda x: _ratio(PPF_CENTRE, x))
+        return (
+            F.when(p == 0, float("-inf")).when(p == 1, float("inf"))
+            .when(F.abs(q) <= 0.425, near).otherwise(F.when(q < 0, -far).otherwise(far))
+        )
+
+    return let(p, quantile)
+
 
 def gammaln(x):
     """Log gamma for positive x: shift to x >= 10, then Stirling's series."""
