@@ -74,15 +74,15 @@ def norm_ppf_col(p: Column) -> Column:
 
 
 def gammaln(x):
-    """Log gamma for positive x: shift to x >= 10, then Stirling's series."""
+    """Log gamma for positive x: shift to x >= 12, then Stirling's series."""
     x = np.asarray(x, dtype=float).copy()
     shift = np.zeros_like(x)
-    while np.any(x < 10):
-        low = x < 10
+    while np.any(x < 12):
+        low = x < 12
         shift = np.where(low, shift + np.log(np.where(low, x, 1.0)), shift)
         x = np.where(low, x + 1, x)
     inv = 1.0 / x
-    series = inv * (1 / 12 - inv**2 * (1 / 360 - inv**2 * (1 / 1260 - inv**2 * (1 / 1680))))
+    series = inv * (1 / 12 - inv**2 * (1 / 360 - inv**2 * (1 / 1260 - inv**2 * (1 / 1680 - inv**2 / 1188))))
     return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series - shift
 
 
@@ -129,7 +129,7 @@ def t_log_p(t, dof):
     """Log of the two-sided t-test p-value (finite far beyond double underflow)."""
     t, dof = np.broadcast_arrays(np.asarray(t, dtype=float), np.asarray(dof, dtype=float))
     good = np.isfinite(t) & (dof > 0)
-    tt, nu = np.where(good, t, 0.0) ** 2, np.where(good, dof, 1.0)
+    tt, nu = np.minimum(np.abs(np.where(good, t, 0.0)), 1e150) ** 2, np.where(good, dof, 1.0)
     return np.where(good, log_betainc(nu / 2, 0.5, nu / (nu + tt), tt / (nu + tt)), np.nan)
 
 
