@@ -28,7 +28,7 @@ from allelespark.llm.common import per_row
 TO_WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
-ORIGINAL_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+ORIGINAL_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 WINDOW = 10
 BLOCK_CHARS = 8_000_000
 
