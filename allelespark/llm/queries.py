@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelespark.llm import decontaminate, mixing, simhash, token_shards, toxicity
+from allelespark.llm import decontaminate, license_rules, mixing, quality_rules, simhash, substring_bytes, token_rollups, token_shards, toxicity
 from allelespark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,70 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.training_order(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollups.rolled_up(table(spark, sf_dir, "documents"))
+
+
+_QUALITY = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+g AS (SELECT r, i, w[i:i + 2] AS win FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2)),
+a AS (SELECT r, count(DISTINCT spot) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS spot FROM
+        (SELECT *, count(*) OVER (PARTITION BY r, win) AS times FROM g) WHERE times > 1) GROUP BY r),
+l AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+f AS (SELECT r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
+             coalesce(a.n, 0) AS n_repeat_words, length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_upper
+      FROM w LEFT JOIN a USING (r) LEFT JOIN l USING (r)),
+s AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             CAST(least(50, greatest(coalesce(50 * n_symbols // nullif(n_words, 0), 0), coalesce(50 * n_repeat_words // nullif(n_words, 0), 0),
+                                     coalesce(50 * n_upper // nullif(word_chars, 0), 0))) AS INTEGER) AS score FROM f),
+q AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+h AS (SELECT lang, score, quality FROM s JOIN q USING (doc_id) WHERE NOT base_failed),
+n AS (SELECT lang, count(*) FILTER (quality > 0) AS good, count(*) FILTER (quality <= 0) AS bad FROM h GROUP BY lang HAVING count(*) FILTER (quality > 0) > 0),
+c AS (SELECT n.lang, j, good, bad, (SELECT count(*) FROM h WHERE h.lang IS NOT DISTINCT FROM n.lang AND quality > 0 AND score >= j) AS k,
+             (SELECT count(*) FROM h WHERE h.lang IS NOT DISTINCT FROM n.lang AND quality <= 0 AND score >= j) AS caught
+      FROM n, (SELECT unnest(range(1, 51)) AS j)),
+p AS (SELECT *, CASE WHEN k < good * 0.01::DOUBLE THEN list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1)
+             + i * ln(0.01::DOUBLE) + (good - i) * ln(0.99::DOUBLE)))) ELSE 1 END AS p FROM c),
+v AS (SELECT *, max(CASE WHEN p > 0.05::DOUBLE / (SELECT count(*) FROM n) THEN 1 ELSE 0 END) OVER (PARTITION BY lang ORDER BY j DESC ROWS UNBOUNDED PRECEDING) AS stopped FROM p),
+b AS (SELECT lang, arg_max(j, [caught / greatest(bad, 1) - k / good, j]) AS cutoff FROM v WHERE stopped = 0 GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(score < cutoff, true) AS kept, score,
+       CAST(cutoff AS INTEGER) AS cutoff
+FROM s LEFT JOIN b ON s.lang IS NOT DISTINCT FROM b.lang
+"""
+
+
+@_query(_QUALITY)
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query()
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(table(spark, sf_dir, "documents"))
+
+
+_BYTES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, coalesce(doc_id, 9223372036854775807) AS doc_id, i, md5(substr(x, 2 * i + 1, 100)) AS win
+      FROM (SELECT *, unnest(range(0, length(x) // 2 - 49)) AS i FROM d WHERE length(x) >= 100)),
+g AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY win) AS first FROM w) WHERE doc_id > first),
+s AS (SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > 50, true) AS fresh FROM g),
+p AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM s) GROUP BY r, run),
+k AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM p),
+j AS (SELECT k.r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS tail, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM k JOIN d USING (r) GROUP BY k.r)
+SELECT doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN tail IS NULL THEN x ELSE kept || substr(x, 2 * tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN j USING (r)
+"""
+
+
+@_query(_BYTES)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_bytes.dedup(table(spark, sf_dir, "documents"))
