@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from allelespark.llm.common import pa_schema, shared_folder
+from allelespark.llm.common import pa_schema, shared_folder, staged
 
 BLOCK_BYTES = 2_000_000
 NO_ID = np.iinfo(np.int64).max  # a null doc_id comes after all others
@@ -60,6 +60,7 @@ class Block:
         self.data = np.frombuffer(b"".join(self.bodies), np.uint8)
         self.order = np.array([NO_ID if i is None else i for i in self.ids], np.int64)
         self.idx = np.array(rows.column("idx").to_pylist(), np.int32)
+        self.skip = np.zeros(len(self.idx), bool)  # documents that another pass has settled
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -97,26 +98,40 @@ def scramble(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def recurring(blocks: DataFrame, minima: Callable[[Block], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(blk, h): minimizers of a block which more than one owner has, anywhere.
+def copies(blocks: DataFrame) -> DataFrame:
+    """(blk, idx): documents whose whole bytes are those of a smaller doc_id, by SHA-256."""
+    seen = blocks.select("blk", "idx", F.coalesce("doc_id", F.lit(NO_ID)).alias("own"), F.sha2("body", 256).alias("sha"))
+    first = seen.groupBy("sha").agg(F.min("own").alias("first"))
+    return staged(seen.join(first, "sha").where("own > first").select("blk", "idx"), "block-copies")
+
+
+def recurring(blocks: DataFrame, settled: DataFrame, minima: Callable[[Block], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(blk, h): minimizers of a block which more than one owner has, anywhere; documents in ``settled`` don't count.
 
     ``minima`` gives a block's minimizers (uint64) in text order and their owners; an owner is what may not match itself.
     """
 
-    def gather(rows: pa.Table) -> pa.Table:
-        h, owner = minima(Block(rows))
+    def gather(block: Block, blk: int, rows: pa.Table) -> list:
+        mark(block, rows)
+        h, owner = minima(block)
         order = np.lexsort((owner, h))
         h, owner = h[order], owner[order]
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
         last = np.concatenate((first[1:], [len(h)])) - 1 if len(h) else first
-        blk = np.full(len(first), rows.column("blk")[0].as_py(), np.int64)
-        return pa.table({"blk": blk, "h": h[first].view(np.int64), "n": (1 + (owner[first] != owner[last])).astype(np.int8)})
+        return [np.full(len(first), blk, np.int64), h[first].view(np.int64), (1 + (owner[first] != owner[last])).astype(np.int8)]
 
-    found = blocks.groupBy("blk").applyInArrow(gather, "blk long, h long, n byte")
+    found = with_blocks(blocks, settled, gather, "blk long, h long, n byte")
     everywhere = F.sum("n").over(Window.partitionBy("h"))
     return found.select("blk", "h", everywhere.alias("n")).where("n > 1").select("blk", "h")
 
 
+def mark(block: Block, rows: pa.Table) -> None:
+    """Set ``skip`` for the documents in ``rows`` (their ``idx``; null: none)."""
+    if rows.num_rows:
+        idx = rows.column("idx").drop_null().to_numpy()
+        block.skip[np.searchsorted(block.idx, idx)] = True
+
+
 def with_blocks(blocks: DataFrame, rows: DataFrame, fn: Callable[[Block, int, pa.Table], list[tuple]], schema: str) -> DataFrame:
     """``fn(block, number, its rows)`` for every block; ``rows`` move to the blocks, which stay."""
     out = pa_schema(blocks.sparkSession, schema)

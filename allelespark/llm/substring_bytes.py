@@ -1,6 +1,6 @@
 """Substring dedup over bytes: suffixes sorted deep-shallow find every 50-byte string that recurs across documents.
 
-1. Every 50-byte window has a minimizer (the smallest hash of its 16-byte strings).  Equal windows have equal minimizers, so windows whose
+1. Whole copies are settled by their hash: all but the smallest doc_id lose every byte.  Every 50-byte window of the others has a minimizer (the smallest hash of its 16-byte strings).  Equal windows have equal minimizers, so windows whose
    minimizer has one document only are done; about one hash for 18 bytes is shuffled, not the windows.
 2. Windows left over are compared inside their block first: one that a smaller doc_id of the block holds is removed at once.  The rest go to
    their minimizer's partition as text segments (neighbours share their bytes).
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelespark.llm.blocks import NO_ID, Block, block_table, recurring, rolling, runs, scramble, sliding_min, with_blocks
+from allelespark.llm.blocks import Block, block_table, copies, mark, recurring, rolling, runs, scramble, sliding_min, with_blocks
 
 WINDOW = 50
 GRAM = 16
@@ -33,13 +33,13 @@ SHALLOW = 16
 
 
 def minimizers(block: Block, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of all windows that lie within a document, their minimizers and their documents' places."""
+    """Starts of all windows that lie within a document (and aren't skipped), their minimizers and their documents' places."""
     n = len(block.data) - window + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
     least = sliding_min(scramble(rolling(block.data.astype(np.uint64) + np.uint64(1), GRAM, 0x5851F42D4C957F2D)), window - GRAM + 1)
     doc = np.repeat(np.arange(len(block.lens), dtype=np.int32), block.lens)
-    at = np.flatnonzero(doc[:n] == doc[window - 1 :])
+    at = np.flatnonzero((doc[:n] == doc[window - 1 :]) & ~block.skip[doc[:n]])
     return at, least[at], doc[at]
 
 
@@ -99,21 +99,24 @@ def deep_shallow(data: np.ndarray, starts: np.ndarray, depth: int = WINDOW, shal
 
 def _candidates(block: Block, blk: int, hashes: pa.Table) -> list:
     """Segments of windows for the other blocks to see, and runs (without bytes) that this block removes by itself."""
-    empty = [[] for _ in range(7)]
+    mark(block, hashes)
+    out = [[] for _ in range(7)]
+    whole = np.flatnonzero(block.skip & (block.lens >= WINDOW))  # copies lose all bytes
+    _add(out, _spread(whole, blk), blk, block, whole, np.zeros(len(whole), np.int64), block.lens[whole] - WINDOW + 1, [b""] * len(whole))
     at, h, doc = minimizers(block)
-    known = np.sort(hashes.column("h").to_numpy().view(np.uint64)) if hashes.num_rows else np.zeros(0, np.uint64)
+    known = np.sort(hashes.column("h").drop_null().to_numpy().astype(np.int64).view(np.uint64)) if hashes.num_rows else np.zeros(0, np.uint64)
     if not len(at) or not len(known):
-        return empty
+        return out
     first, n = runs(at, h, doc)
     hit = known[np.minimum(np.searchsorted(known, h[first]), len(known) - 1)] == h[first]
     keep = np.repeat(hit, n)
     at, h, doc = at[keep], h[keep], doc[keep]
     if not len(at):
-        return empty
+        return out
     own = block.order[doc]
-    whole = rolling(block.data.astype(np.uint64) + np.uint64(1), WINDOW, 0x2545F4914F6CDD1D)[at]
-    order = np.lexsort((own, whole, h))
-    new = np.concatenate(([True], (whole[order][1:] != whole[order][:-1]) | (h[order][1:] != h[order][:-1])))
+    full = rolling(block.data.astype(np.uint64) + np.uint64(1), WINDOW, 0x2545F4914F6CDD1D)[at]
+    order = np.lexsort((own, full, h))
+    new = np.concatenate(([True], (full[order][1:] != full[order][:-1]) | (h[order][1:] != h[order][:-1])))
     head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
     later = np.flatnonzero(own[order] > own[head])
     for part in range(0, len(later), 65536):  # the hashes agree; so must the bytes
@@ -122,19 +125,26 @@ def _candidates(block: Block, blk: int, hashes: pa.Table) -> list:
         later[part : part + 65536] = np.where(same, rows, -1)
     gone = np.zeros(len(at), bool)
     gone[order[later[later >= 0]]] = True
-    out = [[] for _ in range(7)]
     for mask, bare in ((~gone, False), (gone, True)):
         a, m, d = at[mask], h[mask], doc[mask]
         first, n = (runs(a, d) if bare else runs(a, m, d, most=1024))
-        begin = a[first]
-        key = (begin.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(blk)) if bare else m[first]
+        begin, place = a[first], d[first]
         data = [b""] * len(first) if bare else [block.data[s : s + k + WINDOW - 1].tobytes() for s, k in zip(begin.tolist(), n.tolist())]
-        parts = (key.view(np.int64), np.full(len(first), blk), block.idx[d[first]], block.order[d[first]], begin - block.starts[d[first]], n, data)
-        for column, part in zip(out, parts):
-            column.extend(part.tolist() if isinstance(part, np.ndarray) else part)
+        _add(out, _spread(begin, blk) if bare else m[first], blk, block, place, begin - block.starts[place], n, data)
     return out
 
 
+def _spread(x: np.ndarray, blk: int) -> np.ndarray:
+    """Keys that spread rows which only pass through."""
+    return scramble(x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(blk))
+
+
+def _add(out: list, key: np.ndarray, blk: int, block: Block, place: np.ndarray, start: np.ndarray, n: np.ndarray, data: list[bytes]) -> None:
+    parts = (key.view(np.int64), np.full(len(place), blk), block.idx[place], block.order[place], start, n)
+    for column, part in zip(out, (*(p.tolist() for p in parts), data)):
+        column.extend(part)
+
+
 def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by minimizer; windows of one minimizer are judged together."""
     held: list[pa.RecordBatch] = []
@@ -204,7 +214,10 @@ def _cut(block: Block, blk: int, rows: pa.Table) -> list:
 def removed_runs(blocks: DataFrame) -> DataFrame:
     """(blk, idx, start, n): runs of window starts whose 50 bytes also start in a document with a smaller doc_id."""
     schema = "h long, blk long, idx int, doc long, start long, n long, data binary"
-    segments = with_blocks(blocks, recurring(blocks, _owners), _candidates, schema)
+    settled = copies(blocks)
+    known = recurring(blocks, settled, _owners).select("blk", "h", F.lit(None).cast("int").alias("idx"))
+    known = known.union(settled.select("blk", F.lit(None).cast("long"), "idx"))
+    segments = with_blocks(blocks, known, _candidates, schema)
     return segments.repartition("h").sortWithinPartitions("h").mapInArrow(_sorted_out, "blk long, idx int, start long, n long")
 
 
