@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelespark.llm import decontaminate, license_rules, mixing, quality_rules, simhash, substring_bytes, token_rollups, token_shards, toxicity
+from allelespark.llm import decontaminate, license_rules, mixing, quality_rules, repeat_words, simhash, substring_bytes, token_rollups, token_shards, toxicity
 from allelespark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,22 @@ FROM d LEFT JOIN j USING (r)
 @_query(_BYTES)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_bytes.dedup(table(spark, sf_dir, "documents"))
+
+
+_WORDS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+g AS (SELECT r, coalesce(doc_id, 9223372036854775807) AS doc, i, md5(array_to_string(w[i:i + 19], ' ')) AS win
+      FROM (SELECT *, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) > 19)),
+m AS (SELECT r, i FROM (SELECT *, min({'d': doc, 'i': i}) OVER (PARTITION BY win) AS first FROM g) WHERE {'d': doc, 'i': i} > first),
+x AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS spot FROM m),
+c AS (SELECT r, count(*) AS n, list(spot) AS spots FROM x GROUP BY r),
+k AS (SELECT r, string_agg(word, ' ' ORDER BY spot) AS rest FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS spot FROM d)
+      ANTI JOIN x USING (r, spot) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN c USING (r) LEFT JOIN k USING (r)
+"""
+
+
+@_query(_WORDS)
+def op8_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_words.dedup(table(spark, sf_dir, "documents"))
