@@ -29,7 +29,7 @@ from allelespark.llm.common import per_row
 BUCKETS = 1 << 17
 DIM = 8
 GRAMS = (3, 4)
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 5000
 CACHE = 400_000
 #: Means of many words are small numbers; a constant factor puts them into the range in which training moves.
 GAIN = 30.0
@@ -152,10 +152,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, bucket
         return doc_id, int(toxic != 0), at.tobytes(), w.tobytes()
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most train_rows ids
-    got = per_row(rows, ["doc_id", "text", "_toxic"], "doc_id long, toxic int, at binary, w binary", features).toPandas()
-    got = got.drop_duplicates().sort_values(["doc_id", "at"])
-    bags = [(np.frombuffer(a, np.int32), np.frombuffer(w, np.float32)) for a, w in zip(got["at"], got["w"])]
-    return train(bags, got["toxic"].to_numpy(), n1 / (n0 + n1), buckets=buckets)
+    got = per_row(rows, ["doc_id", "text", "_toxic"], "doc_id long, toxic int, at binary, w binary", features).toArrow()
+    order, bags = np.argsort(got.column("doc_id").to_numpy(), kind="stable"), []
+    for at, w in zip(got.column("at"), got.column("w")):  # views of what came, not copies
+        bags.append((np.frombuffer(at.as_buffer(), np.int32), np.frombuffer(w.as_buffer(), np.float32)))
+    return train([bags[i] for i in order], got.column("toxic").to_numpy()[order], n1 / (n0 + n1), buckets=buckets)
 
 
 def _shared(docs: DataFrame, labels: DataFrame, train_rows: int):
