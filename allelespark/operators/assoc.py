@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,14 +38,15 @@ class Prepared:
         common = shared_samples(*tables)
         self.geno = geno.where("dosage IS NOT NULL").withColumn("sample_id", F.trim(F.col("sample_id").cast("string")))
         y = fill_by_sample(restrict(pheno, common))
-        index = sample_index(common)
         if cov is not None:
             design = Design(restrict(cov, common))
             self.k, self.inverse = design.k, design.inverse
-            index = index.join(design.rows, "sample_id")
+            # numbered after samples without all covariates have gone
+            index = sample_index(design.rows.select("sample_id")).join(design.rows, "sample_id")
             resid = remove_effects(y, design, centre=True)
         else:
             self.k = 0
+            index = sample_index(common)
             y = with_group_stats(y, ["feature_id"], F.avg("value").alias("_m"))
             resid = y.withColumn("value", F.col("value") - F.col("_m")).drop("_m")
         self.samples = materialize(index)
@@ -289,8 +291,20 @@ def by_type(scans: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
 def linear_gwas(geno: DataFrame, traits: DataFrame, cov: DataFrame | None = None, maf: float = 0.0) -> DataFrame:
     """Trait ~ dosage + covariates for every variant and trait with 95% limits.
 
-    All traits ride on the sample rows as one vector, so genotypes are read and shuffled once.
+    Complete traits ride on the sample rows as one vector, so genotypes are read and shuffled once.  A trait with missing
+    samples is fitted on those that have it, with its own degrees of freedom.
     """
+    known = traits.where(F.col("value").isNotNull())
+    seen = known.groupBy("trait").agg(F.count_distinct("sample_id").alias("n")).collect()
+    everyone = traits.select("sample_id").distinct().count()
+    gaps = sorted(r["trait"] for r in seen if r["n"] < everyone)
+    parts = [_linear_gwas(geno, known.where(F.col("trait") == c), cov, maf) for c in gaps]
+    if len(gaps) < len(seen) or not seen:
+        parts.append(_linear_gwas(geno, known.where(~F.col("trait").isin(*gaps)) if gaps else known, cov, maf))
+    return reduce(DataFrame.union, parts)
+
+
+def _linear_gwas(geno: DataFrame, traits: DataFrame, cov: DataFrame | None, maf: float) -> DataFrame:
     prep = Prepared(geno, traits.withColumnRenamed("trait", "feature_id"), cov)
     names = sorted(r[0] for r in prep.resid.select("feature_id").distinct().collect())
     wide = prep.resid.groupBy("sample_id").pivot("feature_id", names).agg(F.first("value"))
@@ -315,7 +329,7 @@ def logistic_gwas(geno: DataFrame, trait: DataFrame, cov: DataFrame | None = Non
 
     The per-sample design travels to each block through the shuffle, so nothing is broadcast.
     """
-    y = trait.select(F.lit("y").alias("feature_id"), "sample_id", F.col("value").cast("double").alias("value"))
+    y = trait.where(F.col("value").isNotNull()).select(F.lit("y").alias("feature_id"), "sample_id", F.col("value").cast("double").alias("value"))
     prep = Prepared(geno, y, cov)
     n = prep.n
     case = y.withColumn("sample_id", F.trim(F.col("sample_id").cast("string"))).select("sample_id", F.col("value").alias("y"))

@@ -21,9 +21,9 @@ _OUT = (
 
 
 def interaction_scan(
-    pheno: DataFrame, geno: DataFrame, leads: DataFrame, cov: DataFrame, covariates: Sequence[str], others: int = 5, min_n: int = 10
+    pheno: DataFrame, geno: DataFrame, leads: DataFrame, cov: DataFrame, covariates: Sequence[str], others: int | None = None, min_n: int = 10
 ) -> DataFrame:
-    """value ~ genotype + covariate + up to ``others`` further covariates + genotype x covariate.
+    """value ~ genotype + covariate + further covariates + genotype x covariate; all of them, or the first ``others`` by name.
 
     ``leads`` maps each feature to its lead variant.  Cross-products are partial sums per
     (feature, covariate); only those small vectors reach Python, where systems are solved in batches.
@@ -35,10 +35,11 @@ def interaction_scan(
         .join(geno.where("dosage IS NOT NULL"), ["variant_id", "sample_id"]).join(design, "sample_id")
     )
     g, y = F.col("dosage"), F.col("value")
-    width = 4 + min(others, len(names) - 1)
+    more = len(names) - 1 if others is None else min(others, len(names) - 1)
+    width = 4 + more
 
     def terms(c: str):
-        rest = [F.element_at("x", at[o]) for o in names if o != c][:others]
+        rest = [F.element_at("x", at[o]) for o in names if o != c][:more]
         x = F.element_at("x", at[c])
         return F.struct(F.lit(c).alias("covariate"), F.array(F.lit(1.0), g, x, *rest, g * x).alias("z"))
 
@@ -84,10 +85,11 @@ def interaction_scan(
 
 
 def interaction_analysis(
-    pheno: DataFrame, geno: DataFrame, leads: DataFrame, cov: DataFrame, listed: Sequence[str], max_genes: int = 5000, others: int = 5
+    pheno: DataFrame, geno: DataFrame, leads: DataFrame, cov: DataFrame, listed: Sequence[str], max_genes: int | None = None, others: int | None = None
 ) -> DataFrame:
-    """All usable covariates in one job: most variable features, scan, FDR per covariate."""
+    """All usable covariates in one job: scan of all features (or of the ``max_genes`` most variable), FDR per covariate."""
     usable = usable_covariates(cov.withColumn("value", F.col("value").cast("string")), listed)
     names = sorted(r[0] for r in usable.select("covariate").distinct().collect())
-    tests = interaction_scan(top_variance(pheno, max_genes), geno, leads, cov, names, others)
+    chosen = pheno if max_genes is None else top_variance(pheno, max_genes)
+    tests = interaction_scan(chosen, geno, leads, cov, names, others)
     return bh_fdr(tests, ["covariate"], "interaction_pvalue")

@@ -16,46 +16,41 @@ from allelespark.session import materialize
 _ALL = "_all_rows"
 
 
-def p_bin(p: Column) -> Column:
-    """Order-preserving bin of a p-value: 1024 even bins, and 12 per decade below them."""
-    return F.when(p >= 1 / 1024, 4096 + F.floor(p * 1024)).otherwise(4095 - F.floor(-F.log10(p) * 12)).cast("int")
-
-
-def bh_fdr(
-    df: DataFrame, keys: Sequence[str] = (), p: str = "p_value", out: str = "fdr", split_above: int = 1_000_000
-) -> DataFrame:
+def bh_fdr(df: DataFrame, keys: Sequence[str] = (), p: str = "p_value", out: str = "fdr") -> DataFrame:
     """Benjamini-Hochberg per group; invalid p-values get 1.
 
-    Tied p-values share one result, so rows are first counted by value.  Groups with more than
-    ``split_above`` distinct values are cut into order-preserving bins; ranks and the running
-    minimum are taken inside a bin and completed from per-bin totals.  No task ever holds a whole
-    large group, and nothing is collected.
+    Rows are range-partitioned on (group, p) and fixed by a reliable checkpoint, so the source is computed before
+    anything depends on its values.  Ranks and running minima are taken inside a range and completed from one row per (group,
+    range); nothing is joined on a p-value.  A large group, or a run of equal values, is cut like any other range.
     """
-    keys = list(keys)
-    src = df if keys else df.withColumn(_ALL, F.lit(0))
-    grp = keys or [_ALL]
-    # three columns per distinct value, read five times below, so the source is not recomputed
-    vals = materialize(valid_p(src, p).groupBy(*grp, p).agg(F.count(F.lit(1)).alias("_c")))
-    size = vals.groupBy(*grp).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
-    vals = vals.join(size, grp).withColumn("_bin", F.when(F.col("_d") > split_above, p_bin(F.col(p))).otherwise(0)).drop("_d")
-    # suffix minima run over descending order: a frame that ends at "unbounded following" is
-    # evaluated afresh for every row, one that grows from the start is not
-    by_group, by_group_down = (Window.partitionBy(*grp).orderBy(o) for o in (F.col("_bin"), F.col("_bin").desc()))
-    by_bin, by_bin_down = (Window.partitionBy(*grp, "_bin").orderBy(o) for o in (F.col(p), F.col(p).desc()))
+    grp = list(keys) or [_ALL]
+    value = F.col(p).cast("double")
+    src = df.withColumn(_ALL, F.lit(0)).withColumn("_v", F.when((value > 0) & (value <= 1), value))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.coalesce("_v", F.lit(2.0))  # invalid values lie behind all others
+    spread = src.withColumns({"_v2": last, "_tie": F.xxhash64(*df.columns)})
+    cut = materialize(spread.repartitionByRange(n, *grp, "_v2", "_tie").withColumn("_piece", F.spark_partition_id()).drop("_tie"))
+    here = Window.partitionBy("_piece", *grp)
     start = Window.unboundedPreceding
-    totals = vals.groupBy(*grp, "_bin").agg(F.sum("_c").alias("_t"))
-    earlier = F.sum("_t").over(by_group.rowsBetween(start, -1))
-    totals = totals.select(*grp, "_bin", F.coalesce(earlier, F.lit(0)).alias("_off"))
-    upto = F.sum("_c").over(by_bin.rowsBetween(start, 0))
-    raw = vals.join(totals, [*grp, "_bin"]).withColumn("_raw", F.col(p) * F.col("_n") / (F.col("_off") + upto))
-    floor = raw.groupBy(*grp, "_bin").agg(F.min("_raw").alias("_m"))
-    floor = floor.select(*grp, "_bin", F.min("_m").over(by_group_down.rowsBetween(start, -1)).alias("_rest"))
-    tail = F.min("_raw").over(by_bin_down.rowsBetween(start, 0))
-    done = raw.join(floor, [*grp, "_bin"]).select(
-        *grp, p, F.least(tail, F.coalesce("_rest", F.lit(1.0)), F.lit(1.0)).alias("_fdr")
-    )
-    joined = src.join(done, [*grp, p], "left")
-    return joined.select(*df.columns, F.coalesce("_fdr", F.lit(1.0)).alias(out))
+    ranked = cut.withColumn("_rn", F.row_number().over(here.orderBy("_v2")))
+    by_piece = Window.partitionBy(*grp).orderBy("_piece")
+    sizes = cut.groupBy("_piece", *grp).agg(F.count("_v").alias("_t"))
+    sizes = sizes.select("_piece", *grp, F.coalesce(F.sum("_t").over(by_piece.rowsBetween(start, -1)), F.lit(0)).alias("_off"), F.sum("_t").over(Window.partitionBy(*grp)).alias("_n"))
+    raw = _join_pieces(ranked, sizes, grp).withColumn("_raw", F.col("_v") * F.col("_n") / (F.col("_off") + F.col("_rn")))
+    floor = raw.groupBy("_piece", *grp).agg(F.min("_raw").alias("_m"))
+    by_piece_down = Window.partitionBy(*grp).orderBy(F.desc("_piece")).rowsBetween(start, -1)
+    floor = floor.select("_piece", *grp, F.min("_m").over(by_piece_down).alias("_rest"))
+    tail = raw.withColumn("_tail", F.min("_raw").over(here.orderBy(F.desc("_rn")).rowsBetween(start, 0)))
+    fdr = F.when(F.col("_v").isNull(), 1.0).otherwise(F.least("_tail", F.coalesce("_rest", F.lit(1.0)), F.lit(1.0)))
+    return _join_pieces(tail, floor, grp).select(*df.columns, fdr.alias(out))
+
+
+def _join_pieces(rows: DataFrame, pieces: DataFrame, grp: list[str]) -> DataFrame:
+    """Per-range values on every row; group columns may be null."""
+    names = ["_piece", *grp]
+    other = pieces.withColumnsRenamed({c: f"_j{c}" for c in names})
+    on = [rows[c].eqNullSafe(other[f"_j{c}"]) for c in names]
+    return rows.join(other, on).drop(*[f"_j{c}" for c in names])
 
 
 def pi0(df: DataFrame, p: str = "p_value", at: float | None = None, min_tests: int = 300) -> Column:

@@ -44,7 +44,7 @@ def quantile_uniform(df: DataFrame) -> DataFrame:
     Gaps take the sample mean first.  Equal values are counted before any shuffle, and ranks come
     from balanced value ranges.
     """
-    df = fill_by_sample(df)
+    df = materialize(fill_by_sample(df))  # values are joined on below, so they are computed once
     vals = df.where(val().isNotNull()).groupBy("feature_id", "value").agg(F.count(F.lit(1)).alias("_c"))
     run = ordered(vals, ["feature_id"], [val()], {"_before": F.col("_c").cast("double")}, rank="_r")
     size = vals.groupBy("feature_id").agg(F.sum("_c").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))

@@ -302,8 +302,10 @@ def genotype_size(geno: DataFrame) -> DataFrame:
     return geno.agg(F.count_distinct("sample_id").alias("n_samples"), F.count_distinct("variant_id").alias("n_variants"))
 
 
-def missing_matrix(df: DataFrame, features: int = 1000) -> DataFrame:
-    """0/1 missing flags of up to ``features`` features in hash order."""
+def missing_matrix(df: DataFrame, features: int | None = None) -> DataFrame:
+    """0/1 missing flags of all features, or of ``features`` of them in hash order."""
+    if features is None:
+        return df.select("feature_id", "sample_id", F.col("value").isNull().cast("int").alias("missing"))
     ids = hash_sample(df.select("feature_id").distinct(), [], F.col("feature_id"), features)
     return df.join(ids, "feature_id", "left_semi").select(
         "feature_id", "sample_id", F.col("value").isNull().cast("int").alias("missing")

@@ -31,5 +31,7 @@ def materialize(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return df.checkpoint(eager=True)

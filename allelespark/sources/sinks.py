@@ -11,8 +11,12 @@ from allelespark.operators.ranking import chrom_rank
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder, private only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    """A new folder under the cluster's shared checkpoint folder, private only on a local master that names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
