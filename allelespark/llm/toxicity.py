@@ -46,8 +46,11 @@ def buckets_of(token: str, buckets: int = BUCKETS) -> list[int]:
         return []
     word = f"<{token[a:b]}>"
     crc = zlib.crc32
+    if word.isascii():  # bytes are characters then
+        word = word.encode()
+        return sorted([crc(p) % buckets for p in {word, *(word[i : i + n] for n in GRAMS for i in range(len(word) - n + 1))}])
     parts = {word, *(word[i : i + n] for n in GRAMS for i in range(len(word) - n + 1))}
-    return sorted(crc(p.encode("utf-8", "surrogatepass")) % buckets for p in parts)
+    return sorted([crc(p.encode("utf-8", "surrogatepass")) % buckets for p in parts])
 
 
 def bag(text: str | None, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -73,9 +76,12 @@ class Model:
     bias: float
     words: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        self.table = self.value.tolist()  # one number at a time is faster from a list
+
     def word(self, token: str) -> float:
-        own = buckets_of(token, len(self.value))
-        return float(self.value[own].mean()) if own else 0.0
+        own = buckets_of(token, len(self.table))
+        return sum([self.table[i] for i in own]) / len(own) if own else 0.0
 
     def score(self, text: str | None) -> float:
         tokens = (text or "").lower().split()
