@@ -13,8 +13,9 @@ import tiktoken
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How this vocabulary's texts are cut before merging (fixed value of the public tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 300_000
-_LINE, _WORD = re.compile(r"(?<=\S)\n(?=\S)"), re.compile(r"(?<=\S) (?=\S)")
+#: White space of the pattern in runs that its regular expression can't take in one piece.
+_LONG_GAP = re.compile(r"[ \t\n\v\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
 
 
 def ranks_of(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -24,30 +25,19 @@ def ranks_of(path: str = VOCABULARY) -> dict[bytes, int]:
 def encoder(ranks: dict[bytes, int]) -> Callable[[str], bytes]:
     """text -> little-endian token ids (2 bytes each, or 4 if the vocabulary needs them).
 
-    A single blank or line end between two other characters always starts a new piece of the pattern, so the pieces between
-    are encoded alone and remembered; the memory is bounded.
+    The pattern makes one piece of a run of white space, but for its last character if a word follows, so very long runs are
+    merged as that piece, and the texts between them are encoded alone.
     """
     encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     kind = id_type(ranks)
 
-    class Known(dict):
-        def __init__(self, before: str):
-            self.before = before
-
-        def __missing__(self, piece: str) -> bytes:
-            if len(self) > CACHE:
-                self.clear()
-            self[piece] = ids = np.array(encoding.encode_ordinary(self.before + piece), kind).tobytes()
-            return ids
-
-    first, later, end = Known(""), Known(" "), np.array(encoding.encode_ordinary("\n"), kind).tobytes()
-
     def encode(text: str) -> bytes:
-        lines = []
-        for line in _LINE.split(text):
-            pieces = _WORD.split(line)
-            lines.append(first[pieces[0]] + b"".join(map(later.__getitem__, pieces[1:])))
-        return end.join(lines)
+        ids, start = [], 0
+        for gap in _LONG_GAP.finditer(text) if len(text) >= 4096 else ():
+            end = gap.end() - (gap.end() < len(text))
+            ids += encoding.encode_ordinary(text[start : gap.start()]) + encoding._encode_single_piece(text[gap.start() : end])
+            start = end
+        return np.array(ids + encoding.encode_ordinary(text[start:]), kind).tobytes()
 
     return encode
 
