@@ -246,6 +246,10 @@ def test_encoder_cuts_where_the_pattern_cuts():
     encode = tokens.encoder(tokens.ranks_of())
     for t in ["a b", "a  b", " a", "a ", "a\n b", "a \n\nb's  \t c", "\n\n", "a  b", "x\x1c y", "it's  we're\r\nok  ", "é 日本 12 ab12!?  z"]:
         assert np.frombuffer(encode(t), "<u2").tolist() == enc.encode_ordinary(t), repr(t)
+    for gap in (" " * 5000, "\n" * 5000, "\t \u3000" * 2000):  # runs that are encoded apart
+        for t in (f"a{gap}b", f"a{gap}", f"{gap}b", f"a{gap}b{gap}c", f"a{gap}\nb"):
+            assert np.frombuffer(encode(t), "<u2").tolist() == enc.encode_ordinary(t), repr(t[:9])
+    assert len(encode(" " * 3_000_000 + "a")) > 2  # the pattern itself can't take this
 
 
 def test_rollup(spark, docs, none, tmp_path):
