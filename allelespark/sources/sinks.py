@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from allelespark.operators.ordered import columns_of
 from allelespark.operators.ranking import chrom_rank
 
 
@@ -38,13 +39,18 @@ def write_nominal(df: DataFrame, path: str) -> str:
 def matrix_lines(long: DataFrame, lead: list[str], key_header: str, order: list[Column], text: Column) -> DataFrame:
     """Feature x sample lines in total order, header first: (value).
 
-    ``long`` must hold every (row, sample) cell.  One line carries one cohort, nothing more.
+    Cells are placed by sample, so one that ``long`` lacks is NA.  One line carries one cohort, nothing more.
     """
-    cell = F.struct("sample_id", F.coalesce(text, F.lit("NA")).alias("t"))
-    body = long.groupBy(*lead).agg(F.array_sort(F.collect_list(cell)).alias("_c"))
-    row = F.concat_ws("\t", *[F.col(c).cast("string") for c in lead], F.array_join("_c.t", "\t"))
-    body = body.select(F.lit(1).alias("_k"), *[o.alias(f"_o{i}") for i, o in enumerate(order)], row.alias("value"))
     ids = long.select("sample_id").distinct().agg(F.array_sort(F.collect_list("sample_id")).alias("s"))
+    index = ids.select(F.posexplode("s").alias("_i", "sample_id"))
+    (n,) = columns_of(ids.select(F.size("s").alias("n")))
+    cell = F.struct("_i", F.coalesce(text, F.lit("NA")).alias("t"))
+    rows = long.join(index, "sample_id").groupBy(*lead).agg(F.array_sort(F.collect_list(cell)).alias("_c"))
+    gap = lambda x, j: F.repeat(F.lit("NA\t"), x["_i"] - F.coalesce(F.get("_c._i", j - 1), F.lit(-1)) - 1)
+    cells = F.transform("_c", lambda x, j: F.concat(gap(x, j), x["t"]))
+    tail = F.repeat(F.lit("\tNA"), n - F.element_at("_c._i", -1) - 1)
+    row = F.concat_ws("\t", *[F.col(c).cast("string") for c in lead], F.concat(F.array_join(cells, "\t"), tail))
+    body = rows.select(F.lit(1).alias("_k"), *[o.alias(f"_o{i}") for i, o in enumerate(order)], row.alias("value"))
     head = ids.select(
         F.lit(0).alias("_k"), *[F.lit(None).alias(f"_o{i}") for i in range(len(order))],
         F.concat_ws("\t", F.lit(key_header), F.array_join(F.transform("s", lambda x: x.cast("string")), "\t")).alias("value"),

@@ -8,6 +8,7 @@ from allelespark.operators import assoc, interaction, multitest, qc
 from allelespark.plans import catalog
 from allelespark.plans.fixtures import Tables
 from allelespark.plans.q_assoc import int_cov, leads
+from allelespark.sources import sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,3 +93,11 @@ def test_null_covariates_leave_samples_out(spark, cohort):
     for r in assoc.cis_nominal(prep, variants, genes, window=1000).collect():
         v = int(r.variant_id)
         assert r.beta == pytest.approx(slope(tall[keep], g[v, keep], c[keep]))
+
+
+def test_matrix_lines_place_cells_by_sample(spark):
+    """Absent cells, first, middle and last, are NA in their own sample's column."""
+    rows = [("c1", "a", 1.0), ("c1", "c", 3.0), ("c2", "b", 2.0), ("c3", "a", 1.0), ("c3", "b", None), ("c3", "c", 4.0), ("c3", "d", 5.0)]
+    long = spark.createDataFrame(rows, "covariate string, sample_id string, value double")
+    got = [r[0].split("\t") for r in sinks.covariate_matrix(long).collect()]
+    assert got == [["id", "a", "b", "c", "d"], ["c1", "1.0", "NA", "3.0", "NA"], ["c2", "NA", "2.0", "NA", "NA"], ["c3", "1.0", "NA", "4.0", "5.0"]]
