@@ -18,13 +18,35 @@ from allelespark.sources import readers as R
 from allelespark.sources import sinks as K
 
 
-def text(t, name, body, head=None):
-    """Write ``body`` (value, _o) below header lines, in order, and return the folder."""
+def text(t, name, body, head=None, path=None):
+    """Write ``body`` (value, _o) below header lines, in order and in several parts, and return the folder."""
     df = body.select(F.lit(len(head or [])).alias("_k"), F.col("_o").cast("string").alias("_o"), "value")
     for i, h in enumerate(head or []):
-        line = h if not isinstance(h, str) else t.spark.range(1).select(F.lit(h).alias("value"))
+        line = t.spark.range(1).select(F.lit(h).alias("value"))
         df = line.select(F.lit(i).alias("_k"), F.lit("").alias("_o"), "value").unionByName(df)
-    return K.write_lines(df.orderBy("_k", "_o").select("value"), K.scratch(t.spark, name), gzip=False)
+    parts = max(4, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = df.repartitionByRange(parts, "_k", "_o").sortWithinPartitions("_k", "_o").select("value")
+    return K.write_lines(rows, path or K.scratch(t.spark, name), gzip=False)
+
+
+def both_orders(t, name, body, head, line):
+    """Two inputs below one folder: rows of even ``_n`` with samples in order, of odd ``_n`` with samples reversed.
+
+    ``line(flip)`` is a row's text, ``head(flip)`` are the header lines.
+    """
+    base = K.scratch(t.spark, name)
+    for flip in (False, True):
+        rows = body.where((F.col("_n") % 2 == 1) == flip).select("_o", line(flip).alias("value"))
+        text(t, name, rows, head(flip), f"{base}/{int(flip)}")
+    return f"{base}/*"
+
+
+def samples(flip):
+    return F.sequence(F.lit(COHORT - 1), F.lit(0)) if flip else F.sequence(F.lit(0), F.lit(COHORT - 1))
+
+
+def names(flip):
+    return [f"S{i}" for i in (reversed(range(COHORT)) if flip else range(COHORT))]
 
 
 def vcf_file(t):
@@ -34,17 +56,18 @@ def vcf_file(t):
     gt = F.when(d.isNull(), "./.").when(d == 0, "0|0").when(d == 1, "0|1").otherwise("1|1")
     cell = F.when(v % 2 == 1, F.concat(gt, F.lit(":"), F.coalesce(F.col("dosage").cast("string"), F.lit(".")))).otherwise(gt)
     per = g.groupBy("variant_id").agg(F.collect_list(F.struct(F.col("sample_id").cast("int").alias("s"), cell.alias("c"))).alias("m"))
-    lookup = F.map_from_entries("m")
-    row = F.transform(F.sequence(F.lit(0), F.lit(COHORT - 1)), lambda i: F.coalesce(lookup[i], F.lit("./.")))
-    body = per.join(t.variants(), "variant_id").select(
-        F.format_string("%012d", v).alias("_o"),
-        F.concat_ws("\t", F.concat(F.lit("chr"), "chrom"), F.col("pos").cast("string"), F.concat(F.lit("rs"), v.cast("string")), F.lit("A"),
-                    F.lit("G"), F.col("qual").cast("int").cast("string"), F.lit("PASS"),
-                    F.concat(F.lit("AF=0."), (v % 90 + 10).cast("string"), F.lit(";R2="), F.when(v % 7 == 0, ".").otherwise("0.9")),
-                    F.when(v % 2 == 1, "GT:DS").otherwise("GT"), F.array_join(row, "\t")).alias("value"),
-    )
-    head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t" + "\t".join(f"S{i}" for i in range(COHORT))
-    return text(t, "vcf", body, ["##fileformat=VCFv4.2", head])
+    body = per.join(t.variants(), "variant_id").select("*", F.format_string("%012d", v).alias("_o"), v.alias("_n"))
+
+    def line(flip):
+        row = F.transform(samples(flip), lambda i: F.coalesce(F.map_from_entries("m")[i], F.lit("./.")))
+        return F.concat_ws(
+            "\t", F.concat(F.lit("chr"), "chrom"), F.col("pos").cast("string"), F.concat(F.lit("rs"), v.cast("string")), F.lit("A"),
+            F.lit("G"), F.col("qual").cast("int").cast("string"), F.lit("PASS"),
+            F.concat(F.lit("AF=0."), (v % 90 + 10).cast("string"), F.lit(";R2="), F.when(v % 7 == 0, ".").otherwise("0.9")),
+            F.when(v % 2 == 1, "GT:DS").otherwise("GT"), F.array_join(row, "\t"))
+
+    fixed = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
+    return both_orders(t, "vcf", body, lambda flip: ["##fileformat=VCFv4.2", "\t".join([fixed, *names(flip)])], line)
 
 
 _ALLCELLS = f"""SELECT 'rs' || CAST(v.variant_id AS VARCHAR) AS variant_id, 'S' || CAST(s AS VARCHAR) AS sample_id, 'chr' || v.chrom AS chrom, v.pos,
@@ -77,10 +100,13 @@ def matrix_file(t, sep="\t"):
     s = F.col("sample_id")
     cell = F.when((F.col("feature_id") + s) % 19 == 0, "bad").otherwise(F.col("value").cast("bigint").cast("string"))
     per = t.counts().groupBy("feature_id").agg(F.collect_list(F.struct(s.cast("int").alias("s"), cell.alias("c"))).alias("m"))
-    row = F.transform(F.sequence(F.lit(0), F.lit(COHORT - 1)), lambda i: F.coalesce(F.map_from_entries("m")[i], F.lit("NA")))
-    body = per.select(F.format_string("%012d", "feature_id").alias("_o"),
-                      F.concat_ws(sep, F.concat(F.lit("G"), F.col("feature_id").cast("string")), F.array_join(row, sep)).alias("value"))
-    return text(t, "matrix", body, [sep.join(["gene_id"] + [f"S{i}" for i in range(COHORT)])])
+    body = per.select("m", F.format_string("%012d", "feature_id").alias("_o"), F.col("feature_id").alias("_n"))
+
+    def line(flip):
+        row = F.transform(samples(flip), lambda i: F.coalesce(F.map_from_entries("m")[i], F.lit("NA")))
+        return F.concat_ws(sep, F.concat(F.lit("G"), F.col("_n").cast("string")), F.array_join(row, sep))
+
+    return both_orders(t, "matrix", body, lambda flip: [sep.join(["gene_id", *names(flip)])], line)
 
 
 _MAT = f"""SELECT 'G' || CAST(f AS VARCHAR) AS feature_id, 'S' || CAST(s AS VARCHAR) AS sample_id,
@@ -128,18 +154,7 @@ def s7(t):
     body = t.genes().select(F.format_string("%012d", "gene_id").alias("_o"), F.concat_ws(
         "\t", F.concat(F.lit("chr"), "chrom"), F.col("gstart").cast("string"), F.col("gend").cast("string"),
         F.concat(F.lit("G"), F.col("gene_id").cast("string")), "strand").alias("value"))
-    path = text(t, "bed", body, ["chr\tstart\tend\tgene_id\tstrand"])
-    files = sorted(t.spark.read.text(path).inputFiles())
-    return R.bed(t.spark, files[0]) if len(files) == 1 else _bed_parts(t, path)
-
-
-def _bed_parts(t, path):
-    """A folder written in parts carries its header once, at the top of the first part."""
-    head = R.header_line(t.spark, path).split("\t")
-    c = F.split("value", "\t")
-    raw = R.lines(t.spark, path).where(~F.startswith("value", F.lit("chr\tstart")))
-    df = raw.select(*[c[i].alias(n) for i, n in enumerate(head)])
-    return df.select(F.col("chr").alias("chrom"), F.col("start").cast("bigint").alias("gstart"), F.col("end").cast("bigint").alias("gend"), "gene_id", "strand")
+    return R.bed(t.spark, text(t, "bed", body, ["chr\tstart\tend\tgene_id\tstrand"]))
 
 
 @query("s8_gtf_genes", """

@@ -1,9 +1,15 @@
-"""Text and result-table readers.  Wide files are parsed as lines, never as thousands of CSV columns."""
+"""Text and result-table readers.  Wide files are parsed as lines, never as thousands of CSV columns.
+
+A path may name many files.  Each is read by its own header; a file without one continues the file before it, as the parts of a
+folder do whose header stands only in the first.  Headers are found by one pass that keeps a line per file; the distinct ones,
+and the names of files where there are several, reach the driver.
+"""
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from allelespark.operators.clean import harmonise, sample_key, strip_version, to_number
@@ -19,6 +25,79 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file and their place: (value, _file, _at)."""
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    return lines(spark, path).select("value", file.alias("_file"), F.struct(file, start, F.monotonically_increasing_id()).alias("_at"))
+
+
+Headers = list[tuple[str, list[str]]]
+
+
+def file_headers(raw: DataFrame, own: Column, same: Callable[[Column, Column], Column] | None = None) -> Headers:
+    """Distinct headers in path order, each with its files.
+
+    ``own`` aggregates a file's lines to what may be its header; it is one if ``same(it, the first file's)``.
+    """
+    path = Window.orderBy("_file")  # one row per file
+    heads = raw.groupBy("_file").agg(own.alias("_own"))
+    heads = heads.withColumn("_lead", F.first("_own", True).over(path.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    if same is not None:
+        heads = heads.withColumn("_own", F.when(same(F.col("_own"), F.col("_lead")), F.col("_own")))
+    heads = heads.select("_file", F.coalesce(F.last("_own", True).over(path), F.col("_lead")).alias("head")).where("head IS NOT NULL")
+    rows = heads.groupBy("head").agg(F.sort_array(F.collect_list("_file")).alias("files")).collect()
+    return sorted(((x.head, x.files) for x in rows), key=lambda x: x[1][0])
+
+
+def first_of_file() -> Column:
+    return F.min_by("value", "_at")
+
+
+def same_label(own: Column, lead: Column) -> Column:
+    """Whether two lines have the same first cell."""
+    label = lambda c: F.regexp_extract(c, r"^[^\t,; ]*", 0)
+    return label(own) == label(lead)
+
+
+def need(heads: Headers, path: str) -> Headers:
+    if not heads:
+        raise ValueError(f"no header in {path}")
+    return heads
+
+
+def numbered(rows: DataFrame, heads: Headers) -> DataFrame:
+    """``rows`` with ``_h``, the number of their file's header."""
+    if len(heads) == 1:
+        return rows.withColumn("_h", F.lit(0))
+    files = [(h, f) for h, (_, names) in enumerate(heads) for f in names]
+    return rows.join(rows.sparkSession.createDataFrame(files, "_h INT, _file STRING"), "_file")
+
+
+def named_cells(rows: DataFrame, names: list[list[str]], heads: Headers) -> DataFrame:
+    """One row per element of ``cells``, with the sample name that the file's own header gives its place."""
+    flat = [(h, i, n) for h, own in enumerate(names) for i, n in enumerate(own)]
+    index = rows.sparkSession.createDataFrame(flat, "_h INT, i INT, sample_id STRING")
+    rows = numbered(rows, heads)
+    cells = rows.select(*[c for c in rows.columns if c not in ("cells", "_file")], F.posexplode("cells").alias("i", "cell"))
+    return cells.join(index, ["_h", "i"]).drop("_h", "i")
+
+
+def separated(raw: DataFrame, sep: str | None, path: str) -> DataFrame:
+    """Placed lines as string columns, without their headers; files may order their columns differently."""
+    cells = lambda c: F.array_sort(F.split(c, r"[\t,]"))
+    heads = need(file_headers(raw, first_of_file(), lambda own, lead: cells(own) == cells(lead)), path)
+    sep = sep or sniff(heads[0][0], ("\t", ","))
+    out = None
+    for head, files in heads:
+        names = next(csv.reader([head], delimiter=sep))
+        body = raw.where((F.col("value") != head) & (F.trim("value") != ""))
+        body = body if len(heads) == 1 else body.where(F.col("_file").isin(files))
+        ddl = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
+        part = body.select(F.from_csv("value", ddl, {"sep": sep}).alias("_r")).select("_r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def header_line(spark: SparkSession, path: str) -> str:
     """First line of the first file; only that file is opened."""
     files = sorted(spark.read.text(path).inputFiles())
@@ -32,21 +111,28 @@ def sniff(header: str, choices: Sequence[str] = ("\t", ",", " ")) -> str:
 # ---- VCF ----
 
 
+def vcf_headers(raw: DataFrame) -> Headers:
+    mark = F.startswith("value", F.lit("#CHROM"))
+    return file_headers(raw, F.min_by(F.when(mark, F.col("value")), F.when(mark, F.col("_at"))))
+
+
+def _vcf_names(heads: Headers) -> list[list[str]]:
+    return [head.split("\t")[9:] for head, _ in heads]
+
+
 def vcf_samples(spark: SparkSession, path: str) -> list[str]:
-    """Sample names of the ``#CHROM`` line (columns 10 on), from the start of the first file."""
-    files = sorted(spark.read.text(path).inputFiles())
-    row = spark.read.text(files[0]).where(F.startswith("value", F.lit("#CHROM"))).first()
-    return row[0].split("\t")[9:]
+    """Sample names of all ``#CHROM`` lines (columns 10 on), each once, in the order they appear."""
+    return list(dict.fromkeys(n for own in _vcf_names(vcf_headers(placed_lines(spark, path))) for n in own))
 
 
-def vcf_fixed(raw: DataFrame) -> DataFrame:
+def vcf_fixed(raw: DataFrame, *keep: str) -> DataFrame:
     """Fixed columns, INFO as a map, and the sample cells still as one array."""
     c = F.split("value", "\t")
     body = raw.where(~F.startswith("value", F.lit("#")))
     return body.select(
         c[0].alias("chrom"), c[1].cast("bigint").alias("pos"), c[2].alias("variant_id"), c[3].alias("ref"), c[4].alias("alt"),
         to_number(c[5]).alias("qual"), c[6].alias("filter"), info_map(c[7]).alias("info"), F.split(c[8], ":").alias("format"),
-        F.slice(c, 10, F.size(c)).alias("cells"),
+        F.slice(c, 10, F.size(c)).alias("cells"), *keep,
     )
 
 
@@ -73,33 +159,45 @@ def cell_dosage(cell: Column, format_: Column) -> Column:
 
 def vcf_long(spark: SparkSession, path: str) -> DataFrame:
     """One row per variant and sample."""
-    names = vcf_samples(spark, path)
-    index = spark.createDataFrame(list(enumerate(names)), "i INT, sample_id STRING")
-    v = vcf_fixed(lines(spark, path))
-    cells = v.select(*[c for c in v.columns if c != "cells"], F.posexplode("cells").alias("i", "cell"))
+    raw = placed_lines(spark, path)
+    heads = need(vcf_headers(raw), path)
+    cells = named_cells(vcf_fixed(raw, "_file"), _vcf_names(heads), heads)
     out = cells.withColumns({"gt": _field(F.col("cell"), F.col("format"), "GT"), "dosage": cell_dosage(F.col("cell"), F.col("format"))})
-    return out.join(index, "i").drop("i", "cell", "format")
+    return out.drop("cell", "format")
 
 
 def vcf_dosages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per variant with dosages as an array in header order: no explode and no shuffle."""
-    v = vcf_fixed(lines(spark, path))
-    return v.withColumn("dosages", F.transform("cells", lambda c: cell_dosage(c, F.col("format")))).drop("cells", "format")
+    """One row per variant with dosages as an array in the order of ``vcf_samples``: no explode and no shuffle."""
+    raw = placed_lines(spark, path)
+    heads = need(vcf_headers(raw), path)
+    v = vcf_fixed(raw, "_file").withColumn("dosages", F.transform("cells", lambda c: cell_dosage(c, F.col("format"))))
+    if len(heads) > 1:
+        names = _vcf_names(heads)
+        order = list(dict.fromkeys(n for own in names for n in own))
+        at = [{n: i for i, n in enumerate(own)} for own in names]
+        places = spark.createDataFrame([(h, [a.get(n) for n in order]) for h, a in enumerate(at)], "_h INT, _places ARRAY<INT>")
+        v = numbered(v, heads).join(places, "_h").withColumn("dosages", F.transform("_places", lambda i: F.get("dosages", i)))
+    return v.drop("cells", "format", "_file", "_h", "_places")
 
 
 # ---- matrices and tables ----
 
 
+def _matrix_headers(raw: DataFrame, path: str) -> tuple[Headers, str, list[list[str]]]:
+    """Headers, separator and sample names of feature x sample text."""
+    heads = need(file_headers(raw, first_of_file(), same_label), path)
+    sep = sniff(heads[0][0])
+    return heads, sep, [[n.strip() for n in head.split(sep)][1:] for head, _ in heads]
+
+
 def wide_matrix(spark: SparkSession, path: str, key: str = "feature_id", numeric: bool = True) -> DataFrame:
     """Feature x sample text to long form; separator from the header; bad cells become null."""
-    head = header_line(spark, path)
-    sep = sniff(head)
-    names = [n.strip() for n in head.split(sep)][1:]
-    index = spark.createDataFrame(list(enumerate(names)), "i INT, sample_id STRING")
+    raw = placed_lines(spark, path)
+    heads, sep, names = _matrix_headers(raw, path)
     c = F.split("value", sep)
-    body = lines(spark, path).where(F.col("value") != head).select(c[0].alias(key), F.posexplode(F.slice(c, 2, F.size(c))).alias("i", "value"))
-    cell = to_number(F.trim("value")) if numeric else na_to_null(F.trim("value"))
-    return body.join(index, "i").select(key, "sample_id", cell.alias("value"))
+    body = raw.where(~F.col("value").isin([h for h, _ in heads])).select(c[0].alias(key), "_file", F.slice(c, 2, F.size(c)).alias("cells"))
+    cell = to_number(F.trim("cell")) if numeric else na_to_null(F.trim("cell"))
+    return named_cells(body, names, heads).select(key, "sample_id", cell.alias("value"))
 
 
 def na_to_null(c: Column) -> Column:
@@ -108,8 +206,7 @@ def na_to_null(c: Column) -> Column:
 
 def delimited(spark: SparkSession, path: str) -> DataFrame:
     """Table with tab or comma separator; missing tokens become null."""
-    head = header_line(spark, path)
-    df = spark.read.csv(path, sep=sniff(head, ("\t", ",")), header=True)
+    df = separated(placed_lines(spark, path), None, path)
     return df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
@@ -118,7 +215,7 @@ def results(spark: SparkSession, path: str) -> DataFrame:
     if path.rstrip("/").endswith(".parquet"):
         df = spark.read.parquet(path)
     else:
-        df = spark.read.csv(path, sep="," if ".csv" in path else "\t", header=True, inferSchema=False)
+        df = separated(placed_lines(spark, path), "," if ".csv" in path else "\t", path)
     df = harmonise(df)
     absent = {"p_value", "gene_id"} - set(df.columns)
     if absent:
@@ -135,7 +232,7 @@ def nominal_pairs(spark: SparkSession, glob: str) -> DataFrame:
 
 def bed(spark: SparkSession, path: str) -> DataFrame:
     """Annotation intervals; chr, start, end and gene_id are required."""
-    df = spark.read.csv(path, sep="\t", header=True, comment="#")
+    df = separated(placed_lines(spark, path).where(~F.startswith("value", F.lit("#"))), "\t", path)
     absent = [c for c in ("chr", "start", "end", "gene_id") if c not in df.columns]
     if absent:
         raise ValueError(f"annotation lacks {absent}")
@@ -204,36 +301,46 @@ def bim(spark: SparkSession, path: str) -> DataFrame:
     return _fields(lines(spark, path), BIM)
 
 
-def find_header(head: Sequence[str], sep: str) -> str:
-    """First line whose tokens 2-4 are all longer than three characters, else the first line."""
-    for text in head:
-        tokens = text.split(sep)
-        if len(tokens) > 3 and all(len(x.strip()) > 3 for x in tokens[1:4]):
-            return text
-    return head[0]
+def _tolerant(spark: SparkSession, path: str) -> tuple[DataFrame, Headers, str]:
+    """Lines but the headers, the headers, and the separator that over half of all lines have.
+
+    The header is the first line whose cells 2-4 are all longer than three characters, else the first line.
+    """
+    raw, choices = placed_lines(spark, path), ("\t", ",", ";", " ")
+    counts = raw.agg(F.count(F.lit(1)), first_of_file(), *[F.count_if(F.contains("value", F.lit(s))) for s in choices]).first()
+    sep = next((s for s, n in zip(choices, counts[2:]) if n > counts[0] / 2), "\t")
+    c = F.split("value", sep)
+    fits = (F.size(c) > 3) & F.forall(F.slice(c, 2, 3), lambda x: F.length(F.trim(x)) > 3)
+    heads = file_headers(raw, F.min_by(F.when(fits, F.col("value")), F.when(fits, F.col("_at"))), same_label)
+    heads = need(heads or [(h, []) for h in counts[1:2] if h is not None], path)
+    return raw.where(~F.col("value").isin([h for h, _ in heads])), heads, sep
+
+
+def _of_width(heads: Headers, sep: str) -> Column:
+    return F.size(F.split("value", sep)).isin(sorted({len(h.split(sep)) for h, _ in heads}))
 
 
 def tolerant_covariates(spark: SparkSession, path: str) -> DataFrame:
-    """Covariate x sample text with any separator, junk before the header and ragged rows dropped."""
-    files = sorted(spark.read.text(path).inputFiles())
-    top = [r[0] for r in spark.read.text(files[0]).take(20)]
-    sep = next((s for s in ("\t", ",", ";", " ") if sum(s in x for x in top) > len(top) / 2), "\t")
-    head = find_header(top, sep)
-    names = [n.strip() for n in head.split(sep)]
-    index = spark.createDataFrame(list(enumerate(names[1:])), "i INT, sample_id STRING")
+    """Covariate x sample text with any separator and junk before the header; ``ragged_lines`` are left out."""
+    body, heads, sep = _tolerant(spark, path)
     c = F.split("value", sep)
-    rows = lines(spark, path).where((F.size(c) == len(names)) & (F.col("value") != head))
-    cells = rows.select(F.trim(c[0]).alias("covariate"), F.posexplode(F.slice(c, 2, F.size(c))).alias("i", "value"))
-    return cells.join(index, "i").select("covariate", "sample_id", na_to_null(F.trim("value")).alias("value"))
+    rows = body.where(_of_width(heads, sep)).select(F.trim(c[0]).alias("covariate"), "_file", F.slice(c, 2, F.size(c)).alias("cells"))
+    cells = named_cells(rows, [[n.strip() for n in h.split(sep)][1:] for h, _ in heads], heads)
+    return cells.select("covariate", "sample_id", na_to_null(F.trim("cell")).alias("value"))
+
+
+def ragged_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that ``tolerant_covariates`` leaves out for their number of cells: (value)."""
+    body, heads, sep = _tolerant(spark, path)
+    return body.where(~_of_width(heads, sep)).select("value")
 
 
 def input_samples(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Sample ids of a file, from the header alone where the format allows."""
+    """Sample ids of all files, from the headers alone where the format allows."""
     if kind == "vcf":
         names = vcf_samples(spark, path)
     elif kind == "matrix":
-        head = header_line(spark, path)
-        names = [n.strip() for n in head.split(sniff(head))][1:]
+        names = [n for own in _matrix_headers(placed_lines(spark, path), path)[2] for n in own]
     elif kind == "fam":
         return fam(spark, path).select("sample_id").distinct()
     else:
