@@ -87,12 +87,15 @@ def gammaln(x):
 
 
 def _beta_fraction(a, b, x):
-    """Continued fraction of the incomplete beta, modified Lentz steps on whole arrays."""
+    """Continued fraction of the incomplete beta, modified Lentz steps on whole arrays.
+
+    An element stops at its own convergence, so its value does not depend on its neighbours.
+    """
     tiny = 1e-300
     c = np.ones_like(x)
     d = 1 - (a + b) * x / (a + 1)
     d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-    h = d.copy()
+    h, live = d.copy(), np.ones(np.shape(x), bool)
     for m in range(1, 500):
         for num in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
@@ -102,8 +105,9 @@ def _beta_fraction(a, b, x):
             d = 1 / np.where(np.abs(d) < tiny, tiny, d)
             c = 1 + num / c
             c = np.where(np.abs(c) < tiny, tiny, c)
-            h = h * d * c
-        if np.all(np.abs(d * c - 1) < 1e-15):
+            h = np.where(live, h * d * c, h)
+        live = live & (np.abs(d * c - 1) >= 1e-15)
+        if not live.any():
             break
     return h
 

@@ -22,15 +22,23 @@ def f1(t):
     return X.filter_variants(t.variants(), t.geno(), maf=0.25, call_rate=0.945, qual=10)
 
 
-_HWE = f"""
-    WITH gs AS (SELECT sample_id FROM geno GROUP BY sample_id
+# probability of every heterozygote count given the allele counts; mid-p counts equally likely ones half
+_MIDP = """hw AS (SELECT variant_id, het, hom_ref + het + hom_alt AS m, 2 * least(hom_ref, hom_alt) + het AS rare FROM counts_of),
+    hs AS (SELECT *, (rare - h) / 2 AS hr FROM (SELECT *, unnest(range(rare % 2, rare + 1, 2)) AS h FROM hw)),
+    hp AS (SELECT variant_id, m, h = het AS own, exp(h * ln(2) + lgamma(m + 1) - lgamma(hr + 1) - lgamma(h + 1) - lgamma(m - hr - h + 1)
+                  + lgamma(rare + 1) + lgamma(2 * m - rare + 1) - lgamma(2 * m + 1)) AS w FROM hs),
+    ho AS (SELECT *, max(CASE WHEN own THEN w END) OVER (PARTITION BY variant_id) AS o FROM hp),
+    midp AS (SELECT variant_id, CASE WHEN max(m) = 0 THEN 1 ELSE least(1, sum(CASE WHEN w < o * (1 - 1e-7) THEN w WHEN w <= o * (1 + 1e-7) THEN w / 2 ELSE 0 END)) END AS p_hwe
+             FROM ho GROUP BY variant_id)"""
+_CALLED = f"""gs AS (SELECT sample_id FROM geno GROUP BY sample_id
                 HAVING count(*) FILTER (dosage IS NULL) * 1.0 / count(*) <= 0.0435),
     kept AS (SELECT * FROM geno WHERE sample_id IN (SELECT sample_id FROM gs)),
     vs AS ({_VS} FROM kept GROUP BY variant_id),
     ex AS (SELECT *, h0 + h1 + h2 AS m, (2.0 * h0 + h1) / nullif(2.0 * (h0 + h1 + h2), 0) AS p FROM vs),
     chi AS (SELECT *, CASE WHEN m*p*p > 0 THEN pow(h0 - m*p*p, 2) / (m*p*p) ELSE 0 END
                     + CASE WHEN 2*m*p*(1-p) > 0 THEN pow(h1 - 2*m*p*(1-p), 2) / (2*m*p*(1-p)) ELSE 0 END
-                    + CASE WHEN m*(1-p)*(1-p) > 0 THEN pow(h2 - m*(1-p)*(1-p), 2) / (m*(1-p)*(1-p)) ELSE 0 END AS chi2 FROM ex)
+                    + CASE WHEN m*(1-p)*(1-p) > 0 THEN pow(h2 - m*(1-p)*(1-p), 2) / (m*(1-p)*(1-p)) ELSE 0 END AS chi2 FROM ex)"""
+_HWE = f"""WITH {_CALLED}
     SELECT k.variant_id, k.sample_id, k.dosage FROM kept k JOIN chi c ON k.variant_id = c.variant_id
     WHERE c.fm <= 0.1 AND least(c.af, 1 - c.af) >= 0.3 AND c.chi2 <= {float(norm_ppf(0.05 / 2) ** 2)!r}"""
 
@@ -40,7 +48,10 @@ def f2(t):
     return X.genotype_qc(t.geno(), mind=0.0435, missing=0.1, maf=0.3, hwe=0.05, exact=False)
 
 
-@query("f2_genotype_qc_exact")
+@query("f2_genotype_qc_exact", f"""
+    WITH {_CALLED}, counts_of AS (SELECT variant_id, h0 AS hom_ref, h1 AS het, h2 AS hom_alt FROM chi), {_MIDP}
+    SELECT k.variant_id, k.sample_id, k.dosage FROM kept k JOIN chi c ON k.variant_id = c.variant_id JOIN midp e ON e.variant_id = k.variant_id
+    WHERE c.fm <= 0.1 AND least(c.af, 1 - c.af) >= 0.3 AND e.p_hwe >= 0.05""")
 def f2x(t):
     return X.genotype_qc(t.geno(), mind=0.0435, missing=0.1, maf=0.3, hwe=0.05)
 

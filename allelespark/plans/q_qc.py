@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from allelespark.operators import qc as Q
-from allelespark.plans.q_filters import _CT, _VS, customer_traits
+from allelespark.plans.q_filters import _CT, _MIDP, _VS, customer_traits
 from allelespark.plans.q_joins import shifted
 from allelespark.plans.registry import query
 
@@ -59,12 +59,18 @@ def a4(t):
     return out.withColumn("chi2", F.when(called, F.round("chi2", 6)))
 
 
-@query("a4_hwe_exact")
+_EXACT = f"WITH counts_of AS (SELECT * FROM (WITH {_CHI})), {_MIDP}"
+
+
+@query("a4_hwe_exact", f"{_EXACT} SELECT c.*, round(p_hwe, 6) AS p_hwe FROM counts_of c JOIN midp ON midp.variant_id = c.variant_id")
 def a4x(t):
-    return Q.hwe(t.geno())
+    out = Q.hwe(t.geno())
+    called = F.col("hom_ref") + F.col("het") + F.col("hom_alt") > 0
+    return rnd(out.withColumn("chi2", F.when(called, F.round("chi2", 6))), "p_hwe")
 
 
-@query("a4_hwe_summary")
+@query("a4_hwe_summary", f"""{_EXACT} SELECT count(*) FILTER (p_hwe < 0.01) AS violations, count(*) AS total_variants,
+    count(*) FILTER (p_hwe < 0.01) / count(*) AS violation_rate FROM midp""")
 def a4s(t):
     return Q.hwe_summary(Q.hwe(t.geno()), 0.01)
 
