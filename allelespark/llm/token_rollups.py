@@ -3,7 +3,8 @@
 A change is a signed row: +1 document and its tokens for an insert, -1 and minus its tokens for a delete, and a pair of both, or
 just the difference, for a revised count.  A batch of changes is summed by key and committed under its id; totals are the sum
 of committed batches.  Committing an id again changes nothing, so a batch can be replayed after a failure at any point:
-its rows are written to a folder of their own first, and count only once a commit file names that folder.
+its rows are written to a folder of their own first, and count only once a commit file names that folder.  A commit folder without
+such a row, as a killed job leaves it, is no commit and is written anew.  A batch has one writer at a time.
 
 Scale: counts are taken where the texts are read; partial sums go through one small shuffle, so a source with a third of all rows is summed
 before it moves.  ``compact`` folds many batches into one.  All files are written by Spark in the shared folder.
@@ -24,54 +25,69 @@ from allelespark.llm.common import per_row, shared_folder, staged
 from allelespark.llm.tokens import VOCABULARY, encoder, id_type, ranks_of
 
 KEYS = ("source", "lang", "tokenizer")
+_COMMIT = "attempt string, folded array<string>"
 _DELTA = "source string, lang string, tokenizer string, documents long, tokens long"
 
 
 class Rollup:
-    """Totals in a folder: ``data/<attempt>`` holds deltas, ``commits/<batch>`` names the attempt that counts."""
+    """Totals in a folder: ``data/<attempt>`` holds deltas, ``commits/<batch>`` names the attempt that counts and the batches in it."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _commit_of(self, batch: str) -> str | None:
+    def _commits(self) -> DataFrame:
+        """(batch, attempt, folded) of the marks that hold a row."""
         try:
-            row = self.spark.read.schema("attempt string").json(f"{self.path}/commits/batch={batch}").first()
+            rows = self.spark.read.schema(_COMMIT + ", batch string").json(f"{self.path}/commits")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-        return row and row[0]
+            return self.spark.createDataFrame([], _COMMIT + ", batch string")
+        return rows.where("attempt is not null")
 
-    def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Add ``changes`` (keys, documents, tokens; signed) unless ``batch`` is committed; whether it was added."""
-        if self._commit_of(batch):
+    def _committed(self, batch: str) -> bool:
+        """Whether ``batch`` has a mark of its own or is folded into a batch that has one."""
+        return not self._commits().where((F.col("batch") == batch) | F.coalesce(F.array_contains("folded", batch), F.lit(False))).isEmpty()
+
+    def commit(self, batch: str, changes: DataFrame, folded: DataFrame | None = None) -> bool:
+        """Add ``changes`` (keys, documents, tokens; signed) unless ``batch`` is committed; whether it was added.
+
+        ``folded`` (batch) are ids that the changes hold already, which count as committed from then on.
+        """
+        if self._committed(batch):
             return False
         attempt = f"{batch}-{uuid.uuid4().hex}"
         delta = changes.groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
         delta.where("documents <> 0 or tokens <> 0").write.parquet(f"{self.path}/data/attempt={attempt}")
-        mark = self.spark.range(1).select(F.lit(attempt).alias("attempt")).coalesce(1)
-        mark.write.mode("ignore").json(f"{self.path}/commits/batch={batch}")
-        return self._commit_of(batch) == attempt
+        mark = self.spark.range(1).select(F.lit(attempt).alias("attempt"))
+        if folded is not None:
+            mark = mark.crossJoin(folded.agg(F.array_sort(F.collect_set("batch")).alias("folded")))  # one row
+        mark.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/batch={batch}")  # what stands there holds no row
+        if not self._committed(batch):
+            raise RuntimeError(f"batch {batch} has no mark after its commit")
+        return True
 
     def deltas(self) -> DataFrame:
         """Rows of all committed batches, with their batch."""
         try:
-            commits = self.spark.read.schema("attempt string, batch string").json(f"{self.path}/commits")
             data = self.spark.read.schema(_DELTA + ", attempt string").parquet(f"{self.path}/data")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], _DELTA + ", batch string")
-        return data.join(commits, "attempt").drop("attempt")
+        return data.join(self._commits().select("attempt", "batch"), "attempt").drop("attempt")
 
     def totals(self) -> DataFrame:
         rows = self.deltas().groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
         return rows.where("documents <> 0 or tokens <> 0")
 
     def compact(self, path: str) -> Rollup:
-        """A new rollup whose first batch holds all of this one's totals; its commit lists the batches folded in."""
+        """A new rollup whose first batch holds all of this one's totals; its commit lists the batches folded in, also earlier ones."""
         new = Rollup(self.spark, path)
-        new.commit("base", self.totals())
+        seen = staged(self._commits(), "rollup-commits")  # totals and list are of the same commits
+        rows = self.deltas().join(seen.select("batch"), "batch", "left_semi")
+        ids = seen.select("batch").union(seen.select(F.explode("folded").alias("batch")))
+        new.commit(f"base-{uuid.uuid4().hex}", rows.select(*KEYS, "documents", "tokens"), ids)
         return new
 
 
@@ -117,6 +133,6 @@ def rolled_up(docs: DataFrame, version: str = "byte_bpe_50k", vocabulary: str =
     spark = docs.sparkSession
     store = Rollup(spark, f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}")
     for batch, changes in history(docs, version, vocabulary).items():
-        store.commit(batch, changes)
-        store.commit(batch, changes)
+        if not store.commit(batch, changes) or store.commit(batch, changes):
+            raise RuntimeError(f"batch {batch} was not added exactly once")
     return store.totals()
