@@ -79,7 +79,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_shards.training_order(table(spark, sf_dir, "documents"))
+    return token_shards.written(table(spark, sf_dir, "documents"))
 
 
 @_query()

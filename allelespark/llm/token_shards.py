@@ -6,6 +6,8 @@
 3. A keyed Feistel permutation with cycle-walking maps the number to a global slot: a bijection, nothing is stored or sorted for it.
 4. Slots are dealt in ranges, a shard is ``per_shard`` slots, and every record has one stride, so slot s lies in shard
    s // per_shard at (s % per_shard) * stride: readers start or resume anywhere.
+5. ``write_shards`` writes each shard as one file: its n records, then n short lines with the document and sequence of each, so a reader
+   knows n from the file's size.  ``written`` returns the rows as read again from the files.
 
 Scale: one shuffle of the tokens, by slot range.  Slots are pseudo-random, so a source, a long text or a group of copies is spread over
 all shards evenly.  ``write_shards`` writes with Spark's own writer to any file system; a lost executor's task is written again.
@@ -15,6 +17,7 @@ table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelespark.llm.common import staged
+from allelespark.llm.common import shared_folder, staged
 from allelespark.llm.tokens import VOCABULARY, encoder, id_type, ranks_of
 from allelespark.operators.ordered import ordered
 
@@ -139,32 +142,87 @@ def training_order(
     shards = -(-n // per_shard)
     parts = max(1, min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     place = F.floor(F.col("shard") * parts / max(shards, 1)).cast("int")  # partition p holds a range of whole shards
-    return out.repartitionById(parts, place).sortWithinPartitions("slot")
+    return out.repartitionById(parts, place).sortWithinPartitions("shard", "slot")
+
+
+#: Bytes after the records for each: a mark of whether doc_id is there, doc_id, sequence, line end.
+TAIL = 18
 
 
 def write_shards(ordered_rows: DataFrame, path: str, length: int = LENGTH, width: int = 2) -> None:
     """Shards ``path/shard=K/part-*``: records of ``length`` ids, padded with zeros, and a line end; stride length * width + 1.
 
-    The rows must come from ``training_order``: a shard is within one task and in slot order.
+    After the records of a shard come as many lines of ``TAIL`` bytes.  The rows must come from ``training_order``: a shard is
+    within one task.  The order is made here, by (shard, kind of line, slot), as the writer would else sort by shard alone.
     """
     step = length * width
     pad = F.repeat(F.lit("\0"), F.lit(step) - F.octet_length("tokens").cast("int")).cast("binary")
-    record = F.concat("tokens", pad).cast("string")  # bytes as they are; the writer doesn't look at them
-    ordered_rows.select("shard", record.alias("value")).write.partitionBy("shard").option("compression", "none").text(path)
+    long = lambda c: F.unhex(F.lpad(F.hex(F.coalesce(F.col(c), F.lit(0).cast("long"))), 16, "0"))
+    about = F.concat(F.when(F.col("doc_id").isNull(), F.unhex(F.lit("00"))).otherwise(F.unhex(F.lit("01"))), long("doc_id"), long("sequence"))
+    lines = ordered_rows.select("shard", "slot", F.posexplode(F.array(F.concat("tokens", pad), about)).alias("kind", "line"))
+    lines = lines.sortWithinPartitions("shard", "kind", "slot").select("shard", F.col("line").cast("string").alias("value"))  # bytes as they are
+    lines.write.partitionBy("shard").option("compression", "none").text(path)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(F.col("shard").cast("long").alias("shard"), "content")
 
 
 def read_shards(spark: SparkSession, path: str, from_slot: int = 0, length: int = LENGTH, width: int = 2, per_shard: int = PER_SHARD) -> DataFrame:
     """(slot, tokens with padding) from ``from_slot`` on; earlier shards aren't opened."""
     stride = length * width + 1
-    files = spark.read.format("binaryFile").load(path).where(F.col("shard") >= from_slot // per_shard)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, data in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(data) // stride
+            for shard, data in zip(*batch.columns):
+                shard, data = shard.as_py(), data.as_buffer()
+                n = len(data) // (stride + TAIL)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard * per_shard + np.arange(n)), pa.array([data[i * stride : (i + 1) * stride - 1] for i in range(n)], pa.binary())], names=["slot", "tokens"]
+                    [pa.array(shard * per_shard + np.arange(n)), pa.array([data[i * stride : (i + 1) * stride - 1].to_pybytes() for i in range(n)], pa.binary())],
+                    names=["slot", "tokens"],
                 )
 
-    got = files.select(F.col("shard").cast("long"), "content").mapInArrow(records, "slot long, tokens binary")
+    got = _files(spark, path).where(F.col("shard") >= from_slot // per_shard).mapInArrow(records, "slot long, tokens binary")
     return got.where(F.col("slot") >= from_slot)
+
+
+def written(
+    docs: DataFrame, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, vocabulary: str = VOCABULARY, path: str | None = None
+) -> DataFrame:
+    """Write the shards and return the rows of ``training_order`` as read from the files.
+
+    ``path`` is a folder that every machine sees; a new one in the shared folder if none is given.
+    """
+    spark, ranks = docs.sparkSession, ranks_of(vocabulary)
+    kind, end = np.dtype(id_type(ranks)), len(ranks)
+    path = path or f"{shared_folder(spark)}/token-shards-{uuid.uuid4().hex}"
+    rows = training_order(docs, length, per_shard, key, vocabulary)
+    write_shards(rows, path, length, kind.itemsize)
+    step = length * kind.itemsize
+    stride = step + 1
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, data in zip(*batch.columns):
+                shard, data = shard.as_py(), data.as_buffer()
+                n, odd = divmod(len(data), stride + TAIL)
+                if odd:
+                    raise ValueError(f"shard {shard} has {len(data)} bytes, not a multiple of {stride + TAIL}")
+                tail = np.frombuffer(data, np.uint8, offset=n * stride).reshape(n, TAIL)
+                doc, turn = (np.ascontiguousarray(tail[:, a : a + 8]).view(">i8")[:, 0].astype(np.int64) for a in (1, 9))
+                ids = np.ascontiguousarray(np.frombuffer(data, np.uint8, n * stride).reshape(n, stride)[:, :step]).view(kind)
+                last = ids == end  # the end mark is in no text
+                size = np.where(last.any(axis=1), last.argmax(axis=1) + 1, length)
+                for a in range(0, n, 1024):
+                    b = min(a + 1024, n)
+                    at = np.arange(a, b)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(shard * per_shard + at), pa.array(np.full(b - a, shard, np.int64)), pa.array(at * stride),
+                        pa.array(doc[a:b], mask=tail[a:b, 0] == 0), pa.array(turn[a:b]), pa.array(size[a:b].astype(np.int64)),
+                        pa.array([ids[i, : size[i]].tobytes() for i in at], pa.binary()),
+                    ], names=["slot", "shard", "position", "doc_id", "sequence", "n_tokens", "tokens"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    if "shard" not in files.columns:  # no sequence, no shard
+        return spark.createDataFrame([], rows.schema)
+    return _files(spark, path).mapInArrow(records, rows.schema)

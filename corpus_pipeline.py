@@ -31,8 +31,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences in training order."""
-    return token_shards.training_order(docs)
+    """Token sequences in training order, written as shards and read from them."""
+    return token_shards.written(docs)
 
 
 STAGES = [
