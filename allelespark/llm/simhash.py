@@ -15,7 +15,7 @@ more than ``pairs_below`` fingerprints are never compared in pairs: their finger
 Rows per document are one join on the fingerprint away from their class, which adaptive skew handling can split.
 
 Defined cases: null and wordless texts have fingerprint zero and link like others; fewer words than a shingle are one shingle;
-repeated rows give a row each; a null doc_id is never a component's name unless its component has no other; empty input gives no
+repeated rows give a row each; a null doc_id is never a component's name unless its component has no other; ``survivors`` keeps a row of every component; empty input gives no
 rows; other columns are ignored.
 """
 from __future__ import annotations
@@ -202,21 +202,39 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def _placed(prints: DataFrame, pairs_below: int) -> DataFrame:
+    """(fp, first, root) for each fingerprint: its smallest doc_id and the name of its component."""
+    classes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    linked = components(links(classes.select("fp"), classes.count(), pairs_below))
+    return staged(classes.join(linked, classes.fp == linked.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-placed")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, pairs_below: int = PAIRS_BELOW) -> DataFrame:
     """One row per document row: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     prints = staged(fingerprints(docs, shingle), "simhash-prints")
-    classes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    linked = components(links(classes.select("fp"), classes.count(), pairs_below))
-    placed = staged(classes.join(linked, classes.fp == linked.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-placed")
+    placed = _placed(prints, pairs_below)
     named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     final = placed.join(named, "root").select("fp", "component_id")
     return prints.join(final, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def survivors(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Rows of ``docs`` whose doc_id names its component: one document of each group, with all columns.
+def survivors(docs: DataFrame, shingle: int = SHINGLE, pairs_below: int = PAIRS_BELOW) -> DataFrame:
+    """One row of each component, with all columns: the least by doc_id (null last), then by hashes of the text and of the other columns.
 
-    Of repeated rows of one doc_id one stays.  A row without doc_id can't be named and goes.
+    A row is known by doc_id and these hashes, so a row without doc_id stays where its component has no other, and rows of
+    one doc_id with different texts are told apart.  Of rows that are equal in all columns one stays.
     """
-    stay = near_duplicates(docs, shingle).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    sha = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
+    rest = F.xxhash64(*others) if others else F.lit(0).cast("long")
+
+    def one(doc_id, text, sha, rest):
+        return doc_id, _signed(fingerprint(text, shingle)), sha, rest
+
+    prints = staged(per_row(docs, ["doc_id", "text", sha.alias("sha"), rest.alias("rest")], "doc_id long, fp long, sha string, rest long", one), "simhash-prints")
+    first = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha", "rest")).alias("row"))
+    least = first.join(_placed(prints, pairs_below), "fp").groupBy("root").agg(F.min("row").alias("row"))
+    stay = least.select(F.col("row.doc_id").alias("_doc"), F.col("row.sha").alias("_sha"), F.col("row.rest").alias("_rest"))
+    known = docs.select(F.struct(*docs.columns).alias("all"), F.col("doc_id").alias("doc"), sha.alias("sha"), rest.alias("rest"))
+    kept = known.join(stay, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("sha") == F.col("_sha")) & (F.col("rest") == F.col("_rest")), "left_semi")
+    return kept.dropDuplicates(["doc", "sha", "rest"]).select("all.*")
