@@ -4,8 +4,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from allelespark.llm import decontaminate, license_rules, mixing, quality_rules, repeat_words, simhash, substring_bytes, token_rollups, token_shards, toxicity
+from allelespark.llm import (
+    decontaminate, license_rules, merkle, mixing, quality_rules, ranked_search, repeat_words, sharding, simhash, substring_bytes, token_rollups,
+    token_shards, toxicity,
+)
 from allelespark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +170,76 @@ FROM d LEFT JOIN c USING (r) LEFT JOIN k USING (r)
 @_query(_WORDS)
 def op8_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_words.dedup(table(spark, sf_dir, "documents"))
+
+
+def _leaf_sql(n_chars: str) -> str:
+    values = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")]
+    return f"sha256({' || '.join(values)})"
+
+
+_MERKLE_IDS = "(SELECT doc_id FROM crc WHERE x % 7 = 0)"
+# DuckDB has no CRC-32: it is folded over the digits, bit by bit
+_MERKLE = f"""
+WITH RECURSIVE c(doc_id, s, x) AS (
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT doc_id, s[2:], list_reduce(list_prepend(xor(x, ascii(s)::BIGINT), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                   lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END) FROM c WHERE s <> ''),
+crc AS (SELECT doc_id, xor(x, 4294967295::BIGINT) AS x FROM c WHERE s = ''),
+l AS (SELECT row_number() OVER () AS r, doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+             CASE WHEN doc_id IN {_MERKLE_IDS} THEN {_leaf_sql("n_chars + 1")} ELSE {_leaf_sql("n_chars")} END AS other FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM l),
+t(lang, lev, i, n, h) AS (
+  SELECT lang, 0, i, n, leaf FROM p
+  UNION ALL SELECT lang, lev + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY lang, lev, i // 2, n),
+s AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lev, i, n, h) AS (
+  SELECT 0, i, n, subroot FROM s
+  UNION ALL SELECT lev + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY lev, i // 2, n),
+f(r, lang, lev, i, n, h, sibs) AS (
+  SELECT r, lang, 0, i, n, other, '' FROM p
+  UNION ALL SELECT r, f.lang, f.lev + 1, f.i // 2, (f.n + 1) // 2,
+                   sha256(CASE WHEN t.h IS NULL THEN f.h WHEN f.i % 2 = 1 THEN t.h || f.h ELSE f.h || t.h END), sibs || coalesce(t.h, '')
+            FROM f LEFT JOIN t ON t.lang IS NOT DISTINCT FROM f.lang AND t.lev = f.lev AND t.i = xor(f.i, 1) WHERE f.n > 1),
+g(r, lev, i, n, h, sibs) AS (
+  SELECT r, 0, s.i, s.n, f.h, sibs FROM f JOIN s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1
+  UNION ALL SELECT r, g.lev + 1, g.i // 2, (g.n + 1) // 2,
+                   sha256(CASE WHEN u.h IS NULL THEN g.h WHEN g.i % 2 = 1 THEN u.h || g.h ELSE g.h || u.h END), sibs || coalesce(u.h, '')
+            FROM g LEFT JOIN u ON u.lev = g.lev AND u.i = xor(g.i, 1) WHERE g.n > 1)
+SELECT doc_id, leaf, subroot, top.h AS root, sha256(sibs) AS proof_sha256, g.h AS folded_root, g.h = top.h AS verified
+FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN g USING (r), (SELECT h FROM u WHERE n = 1) AS top WHERE g.n = 1
+"""
+
+
+@_query(_MERKLE)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed={"n_chars": F.col("n_chars") + tampered.cast("long")})
+
+
+@_query()
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.written(table(spark, sf_dir, "documents")).select("shard", "slot", "record.doc_id", "record.text")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return rows.select("doc_id", sharding.size().alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+_TERMS = rf"regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_RANKED = f"""
+WITH q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE text IS NOT NULL),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+a AS (SELECT count(*)::BIGINT AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) SEMI JOIN q USING (term) GROUP BY r, term),
+g AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, a GROUP BY term, docs),
+m AS (SELECT r, doc_id, 10 + (90 * len(w) * docs) // terms AS m FROM d, a WHERE len(w) > 0),
+s AS (SELECT item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN g USING (term) JOIN m USING (r) GROUP BY item_id, r),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM s JOIN m USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+@_query(_RANKED)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
