@@ -175,23 +175,73 @@ def r_threshold(p: float, dof: float) -> float:
     return hi
 
 
+def _outward(h: np.ndarray, rare: np.ndarray, n: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Sum of the weights from heterozygote count ``h`` on, in a row's steps of +-2 away from the mode, relative to that of ``h``.
+
+    Weights fall from there, so a row is done when a term adds nothing.
+    """
+    total, term = np.ones(len(h)), np.ones(len(h))
+    h, live = h.astype(float).copy(), np.arange(len(h))
+    while len(live):
+        x, r, m, d = h[live], rare[live], n[live], step[live]
+        homr, homc = (r - x) / 2, m - (r + x) / 2
+        ratio = np.where(d > 0, 4 * homr * homc / ((x + 2) * (x + 1)), x * (x - 1) / (4 * (homr + 1) * (homc + 1)))
+        term[live] *= np.maximum(ratio, 0.0)
+        h[live] += d
+        total[live] += term[live]
+        live = live[term[live] > 1e-17 * total[live]]
+    return total
+
+
+def hwe_exact(hom1, het, hom2, midp: bool = False):
+    """Exact Hardy-Weinberg p, or mid-p: the share of heterozygote counts no likelier than the observed one, given the allele counts.
+
+    All distinct count triples of a batch go through together: from the mode for the total, and from the observed count and its
+    counterpart on the other side of the mode for the tails, in steps of the recurrence until terms vanish.
+    """
+    counts = np.stack([np.minimum(hom1, hom2), het, np.maximum(hom1, hom2)], axis=1).astype(np.int64)
+    uniq, back = np.unique(counts, axis=0, return_inverse=True)
+    a, h, c = uniq.T.astype(float)
+    n, rare = a + h + c, 2 * a + h
+
+    def log_weight(x):
+        homr = (rare - x) / 2
+        return x * np.log(2.0) - gammaln(homr + 1) - gammaln(x + 1) - gammaln(n - homr - x + 1)
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mode = np.where(n > 0, np.floor(rare * (2 * n - rare) / np.maximum(2 * n, 1)), 0.0)
+    mode = np.clip(mode + (mode - rare) % 2, rare % 2, rare)
+    for move in (-2, 2):  # rounding may leave it one step off
+        to = np.clip(mode + move, rare % 2, rare)
+        mode = np.where(log_weight(to) > log_weight(mode), to, mode)
+    own, top = log_weight(h), log_weight(mode)
+    side = np.where(h < mode, 2.0, -2.0)  # towards the mode and beyond
+    total = _outward(mode, rare, n, side) + _outward(mode, rare, n, -side) - 1
+    tail = _outward(h, rare, n, -side)
+    # the nearest count beyond the mode that is no likelier, by bisection in steps of two
+    same = 1e-8 * np.maximum(1.0, np.abs(own) * 1e-7)
+    at_top = np.abs(own - top) <= same
+    far = np.where(side > 0, rare, rare % 2)
+    near = np.where(at_top, far, mode)
+    exists = (log_weight(far) <= own + same) & ~at_top
+    lo, hi = np.zeros(len(n)), np.abs(far - near) / 2
+    while (hi - lo > 1).any():
+        mid = np.floor((lo + hi) / 2)
+        below = log_weight(near + side * mid) <= own + same
+        go = hi - lo > 1
+        lo, hi = np.where(go & ~below, mid, lo), np.where(go & below, mid, hi)
+    other = near + side * hi
+    rest = _outward(other, rare, n, side) * np.exp(np.minimum(log_weight(other) - own, 0.0))
+    tails = tail + np.where(exists, rest, 0.0)
+    share = np.exp(own - top) / total
+    equal = lambda x: (x >= 0) & (x <= rare) & (np.abs(log_weight(np.clip(x, rare % 2, rare)) - own) <= same)
+    twin = np.where(at_top, equal(h - 2) | equal(h + 2), exists & (np.abs(log_weight(other) - own) <= same))
+    p = np.where(at_top, 1.0, tails * share) - (0.5 * share * (1 + twin) if midp else 0.0)
+    return np.where(n > 0, np.clip(p, 0.0, 1.0), 1.0)[back.ravel()]
+
+
 def hwe_midp(hom1, het, hom2):
-    """Exact Hardy-Weinberg mid-p test; equal count triples in a batch are computed once."""
-    trip = np.stack([np.minimum(hom1, hom2), het, np.maximum(hom1, hom2)], axis=1).astype(np.int64)
-    uniq, back = np.unique(trip, axis=0, return_inverse=True)
-    out = np.ones(len(uniq))
-    for i, (a, h, c) in enumerate(uniq):
-        n, rare = a + h + c, 2 * a + h
-        if n == 0:
-            continue
-        hets = np.arange(rare % 2, rare + 1, 2)
-        homr = (rare - hets) // 2
-        logw = hets * np.log(2.0) - gammaln(homr + 1.0) - gammaln(hets + 1.0) - gammaln(n - homr - hets + 1.0)
-        w = np.exp(logw - logw.max())
-        w /= w.sum()
-        own = w[hets == h][0]
-        out[i] = min(1.0, w[w < own * (1 - 1e-9)].sum() + 0.5 * w[np.abs(w - own) <= own * 1e-9].sum())
-    return out[back.ravel()]
+    return hwe_exact(hom1, het, hom2, midp=True)
 
 
 @F.pandas_udf(DoubleType())
@@ -210,6 +260,11 @@ def hwe_midp_udf(hom1: pd.Series, het: pd.Series, hom2: pd.Series) -> pd.Series:
     return pd.Series(hwe_midp(hom1.to_numpy(), het.to_numpy(), hom2.to_numpy()))
 
 
+@F.pandas_udf(DoubleType())
+def hwe_exact_udf(hom1: pd.Series, het: pd.Series, hom2: pd.Series) -> pd.Series:
+    return pd.Series(hwe_exact(hom1.to_numpy(), het.to_numpy(), hom2.to_numpy()))
+
+
 @F.pandas_udf(DoubleType())
 def beta_ppf_udf(q: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(beta_ppf(q.to_numpy(float), a.to_numpy(float), b.to_numpy(float)))

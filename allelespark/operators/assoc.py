@@ -7,17 +7,18 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelespark.functions.stats import betainc, norm_ppf, r_threshold, t_log_p, t_p, t_p_udf
-from allelespark.operators.blocks import bin_width, gene_bins, rows_per_block, scan_blocks, spread, variant_bins
-from allelespark.operators.covariates import Design, dense, dot, matrix_lit, packed_rows, remove_effects, sample_index
+from allelespark.functions.stats import betainc, hwe_exact_udf, norm_ppf, r_threshold, t_log_p, t_p
+from allelespark.operators.blocks import bin_width, gene_bins, in_turns, rows_per_block, scan_blocks, spread, variant_bins
+from allelespark.operators.covariates import Design, dense, packed_rows, sample_index
 from allelespark.operators.filters import remove_trait_outliers
 from allelespark.operators.joins import align_samples, drop_cis, restrict, shared_samples, tagged_union
 from allelespark.operators.multitest import qvalues
 from allelespark.operators.normalize import fill_by_sample
-from allelespark.operators.ordered import columns_of, with_group_stats
+from allelespark.operators.ordered import columns_of
+from allelespark.operators.patterns import Fits, dot, matrix_lit
 from allelespark.session import materialize
 
 
@@ -28,81 +29,185 @@ class Prepared:
     phenotype residual is orthogonal to the covariates; the product of the two is therefore the
     numerator of the partial regression, and the genotype side needs only one scalar per variant.
 
+    A feature without a row for some samples is fitted on those it has, with its own degrees of
+    freedom.  Its row carries the covariates of the samples it lacks, and a variant's cohort sums
+    are reduced by theirs (``pair_sums``), so genotypes are still read and packed once.
+
     The per-sample table and the residuals (phenotype size) are checkpointed because every scan
     reads them several times; genotypes are read once per scan.
     """
 
-    def __init__(self, geno: DataFrame, pheno: DataFrame, cov: DataFrame | None = None, samples: DataFrame | None = None):
-        """``samples`` may name the genotyped ids (a file header knows them) to spare a scan for them."""
+    def __init__(
+        self, geno: DataFrame, pheno: DataFrame, cov: DataFrame | None = None, samples: DataFrame | None = None, fill_nulls: bool = True
+    ):
+        """``samples`` may name the genotyped ids (a file header knows them) to spare a scan for them.
+
+        Null phenotype cells take the mean of their sample, or with ``fill_nulls=False`` count as absent.
+        """
         tables = [geno if samples is None else samples, pheno] + ([cov] if cov is not None else [])
         common = shared_samples(*tables)
         self.geno = geno.where("dosage IS NOT NULL").withColumn("sample_id", F.trim(F.col("sample_id").cast("string")))
-        y = fill_by_sample(restrict(pheno, common))
+        y = restrict(pheno, common)
+        y = fill_by_sample(y) if fill_nulls else y
         if cov is not None:
             design = Design(restrict(cov, common))
-            self.k, self.inverse = design.k, design.inverse
+            self.k, self.inverse, power = design.k, design.inverse, design.power
             # numbered after samples without all covariates have gone
             index = sample_index(design.rows.select("sample_id")).join(design.rows, "sample_id")
-            resid = remove_effects(y, design, centre=True)
         else:
-            self.k = 0
-            index = sample_index(common)
-            y = with_group_stats(y, ["feature_id"], F.avg("value").alias("_m"))
-            resid = y.withColumn("value", F.col("value") - F.col("_m")).drop("_m")
+            self.k, self.inverse, power = 0, np.zeros((0, 0)), np.zeros(0)
+            index = sample_index(common).withColumn("xc", F.array().cast("array<double>"))
         self.samples = materialize(index)
-        self.resid = materialize(resid)
         self.n = self.samples.count()
-        self.dof = self.n - 2 - self.k
-
-    def variant_moments(self, traits: DataFrame | None = None, n_traits: int = 0, pack: bool = False) -> DataFrame:
-        """Per variant: calls, mean, adjusted sum of squares and, per trait, the adjusted cross-product.
-
-        One join with the per-sample vectors and one aggregation; nothing is exploded.  ``pack``
-        adds the centred dosages as arrays.
+        self.fits = Fits(y.join(self.samples.select("sample_id", "xc"), "sample_id"), self.k, self.inverse, self.n, power)
+        self.gapped = self.fits.gapped
+        self.packed: DataFrame | None = None
+        self.resid = materialize(self.fits.residuals())
+        self.dof = self.n - 2 - (int(np.linalg.matrix_rank(self.inverse, hermitian=True)) if self.k else 0)
+
+    def pack(self) -> "Prepared":
+        """Write the packed variants once for several scans."""
+        self.packed = materialize(self.variant_moments())
+        return self
+
+    def variant_moments(self) -> DataFrame:
+        """Packed centred dosages and cohort sums of every variant: one join with the samples and one aggregation, nothing is exploded."""
+        g, k = F.col("dosage"), self.k
+        rows = self.geno.join(self.samples, "sample_id")
+        sums = lambda w: F.array(*[F.sum(w * F.element_at("xc", i + 1)) for i in range(k)]) if k else F.array().cast("array<double>")
+        out = rows.groupBy("variant_id").agg(
+            F.count(g).alias("n_called"), F.sum(g).alias("_s"), F.sum(g * g).alias("ss"), sums(g).alias("_gx"), sums(F.lit(1.0)).alias("x"),
+            F.count_if(g > 0.5).alias("above"), F.count_if(g < 1.5).alias("below"), *[F.count_if(F.round(g) == i).alias(f"n{i}") for i in range(3)],
+            F.collect_list(F.struct("idx", g.alias("v"))).alias("_p"),
+        ).withColumn("mean", F.col("_s") / F.col("n_called"))
+        out = out.withColumn("c", F.zip_with("_gx", "x", lambda a, b: a - F.col("mean") * b))
+        out = out.withColumn("cs2", F.col("ss") - F.col("n_called") * F.col("mean") * F.col("mean"))
+        adjusted = F.col("cs2") - dot(F.transform(matrix_lit(self.inverse), lambda r: dot(r, F.col("c"))), F.col("c")) if k else F.col("cs2")
+        out = out.withColumns({"sg2": adjusted, "af": F.col("mean") / 2, "idx": F.col("_p.idx"), "val": F.transform("_p", lambda q: q["v"] - F.col("mean"))})
+        return out.withColumn("maf", F.least(F.col("af"), 1 - F.col("af"))).drop("_s", "_gx", "_p")
+
+    def variant_rows(self, variants: DataFrame | None = None, maf: float = 0.0, missing: float = 1.0, hwe: float = 0.0) -> DataFrame:
+        """Packed rows of the variants that vary beyond the covariates, with their positions if ``variants`` are given.
+
+        ``missing`` is the largest share of cohort samples without a call, ``hwe`` the smallest exact Hardy-Weinberg p; both are judged
+        over the cohort, from the same aggregation.  With gaps the frequency is judged for each pair, on the samples of the feature.
         """
-        g = F.col("dosage")
-        rows = self.geno.join(self.samples if traits is None else self.samples.join(traits, "sample_id"), "sample_id")
-        sums = lambda col, m, w: [F.sum(w * F.element_at(col, i + 1)) for i in range(m)]
-        aggs = [F.count(g).alias("n_called"), F.sum(g).alias("_s"), F.sum(g * g).alias("_ss")]
-        if self.k:
-            aggs += [F.array(*sums("xc", self.k, g)).alias("_gx"), F.array(*sums("xc", self.k, F.lit(1.0))).alias("_x")]
-        if n_traits:
-            aggs += [F.array(*sums("rt", n_traits, g)).alias("_gr"), F.array(*sums("rt", n_traits, F.lit(1.0))).alias("_r")]
-        if pack:
-            aggs.append(F.collect_list(F.struct("idx", g.alias("v"))).alias("_p"))
-        out = rows.groupBy("variant_id").agg(*aggs).withColumn("mean", F.col("_s") / F.col("n_called"))
-        ss = F.col("_ss") - F.col("n_called") * F.col("mean") * F.col("mean")
-        if self.k:
-            out = out.withColumn("_c", F.zip_with("_gx", "_x", lambda a, b: a - F.col("mean") * b))
-            ss = ss - dot(F.transform(matrix_lit(self.inverse), lambda r: dot(r, F.col("_c"))), F.col("_c"))
-        out = out.withColumns({"sg2": ss, "af": F.col("mean") / 2})
-        if n_traits:
-            out = out.withColumn("num", F.zip_with("_gr", "_r", lambda a, b: a - F.col("mean") * b))
-        if pack:
-            out = out.withColumns({"idx": F.col("_p.idx"), "val": F.transform("_p", lambda c: c["v"] - F.col("mean"))})
-        return out.withColumn("maf", F.least(F.col("af"), 1 - F.col("af")))
-
-    def variant_rows(self, variants: DataFrame, maf: float = 0.0) -> DataFrame:
-        """Packed centred dosages with position and scalars; variants without variation drop out."""
-        mom = self.variant_moments(pack=True).where((F.col("sg2") > 1e-9) & (F.col("maf") >= maf))
-        mom = mom.select("variant_id", "idx", "val", "sg2", "af", "maf", "n_called")
-        return mom.join(variants.select("variant_id", "chrom", "pos"), "variant_id")
-
-    def feature_rows(self, places: DataFrame) -> DataFrame:
-        """Packed residuals with the feature interval and the residual sum of squares."""
-        packed = packed_rows(self.resid, self.samples.select("sample_id", "idx"), "feature_id")
-        packed = packed.withColumn("sy2", dot(F.col("val"), F.col("val"))).where("sy2 > 1e-9")
+        mom = (self.packed or self.variant_moments()).where(F.col("sg2") > VARIES * F.col("ss"))
+        if maf > 0 and not self.gapped:
+            mom = mom.where(F.col("maf") >= maf)
+        if missing < 1:
+            mom = mom.where(1 - F.col("n_called") / self.n <= missing)
+        if hwe > 0:
+            mom = mom.where(hwe_exact_udf("n0", "n1", "n2") >= hwe)
+        mom = mom.select("variant_id", "idx", "val", "sg2", "af", "maf", "n_called", *_SUMS)
+        return mom if variants is None else mom.join(variants.select("variant_id", "chrom", "pos"), "variant_id")
+
+    def _packed(self) -> DataFrame:
+        packed = packed_rows(self.resid, self.samples.select("sample_id", "idx"), "feature_id").withColumn("sy2", dot(F.col("val"), F.col("val")))
+        own = self.fits.features.select("feature_id", "n", (F.col("dof") - 1).cast("double").alias("dof"), "cls", "inv", "ss")
+        return packed.join(own, "feature_id")
+
+    def feature_rows(self, places: DataFrame | None = None) -> DataFrame:
+        """Packed residuals with their sum of squares, the feature's own fit, and the feature interval if ``places`` are given."""
+        packed = self._packed().where(_VARYING)
+        if self.gapped:
+            packed = packed.join(self.fits.missing(self.samples), "cls", "left")
+        packed = packed.drop("ss")
+        if places is None:
+            return packed
         return packed.join(places.select(F.col("gene_id").alias("feature_id"), "chrom", "gstart", "gend", "strand"), "feature_id")
 
-
-def statistics(num: Column, sg2: Column, sy2: Column, dof: int) -> dict[str, Column]:
-    """Slope, standard error and t of a partial regression from its three sums."""
-    rss = F.greatest(sy2 - num * num / sg2, F.lit(0.0))
-    se = F.sqrt(rss / dof / sg2)
-    return {"beta": num / sg2, "se": se, "t": F.try_divide(num / sg2, se)}
-
-
-def _pair_stats(num: np.ndarray, sg2: np.ndarray, sy2: np.ndarray, dof: int) -> dict[str, np.ndarray]:
+    def skipped_features(self) -> DataFrame:
+        """(feature_id, n, reason): features that no scan can fit."""
+        out = self._packed().where(f"NOT {_VARYING}")
+        return out.select("feature_id", "n", F.when(F.col("dof") < 1, "too few samples").otherwise("no variation beyond the covariates").alias("reason"))
+
+    def skipped_variants(self) -> DataFrame:
+        """(variant_id, n_called, reason): variants that no scan can fit."""
+        mom = self.variant_moments().where(F.col("sg2") <= VARIES * F.col("ss"))
+        return mom.select("variant_id", "n_called", F.lit("no variation beyond the covariates").alias("reason"))
+
+
+#: Relative to the uncentred sum of squares: what is below is rounding.  One carrier among a hundred thousand million samples is above.
+VARIES = 1e-12
+_VARYING = "(sy2 > 1e-18D * ss AND dof >= 1)"
+_SUMS = ["mean", "ss", "cs2", "c", "x", "above", "below"]
+
+
+class PairSums:
+    """Sums of every variant x feature pair of a block, as arrays that broadcast to its shape."""
+
+    def __init__(self, v: pd.DataFrame, g: pd.DataFrame, n: int, k: int):
+        self.left, self.right = dense(v["idx"], v["val"], n), dense(g["idx"], g["val"], n)
+        self.num = self.left @ self.right.T
+        self.dof, self.sy2, self.n = g["dof"].to_numpy()[None, :], g["sy2"].to_numpy()[None, :], g["n"].to_numpy()[None, :]
+        column = lambda name: v[name].to_numpy(float)[:, None]
+        self.called, self.mean, self.sg2, self.scale = column("n_called"), column("mean"), column("sg2"), column("ss")
+        self.above, self.below = column("above"), column("below")
+        self.shift = np.zeros_like(self.mean)
+        self.classes: list[tuple[np.ndarray, np.ndarray | None]] = [(np.arange(len(g)), None)]
+        if "miss" in g.columns:
+            self._reduce(v, g, n, k)
+
+    def _reduce(self, v: pd.DataFrame, g: pd.DataFrame, n: int, k: int) -> None:
+        """Take the samples that a class of features lacks out of the variants' sums."""
+        names = ["called", "mean", "sg2", "scale", "above", "below", "shift"]
+        for name in names:
+            setattr(self, name, np.repeat(getattr(self, name), len(g), axis=1))
+        there = dense(v["idx"], [np.ones(len(i)) for i in v["idx"]], n)
+        seen = there @ self.right.T
+        wide = lambda name: np.array([np.asarray(r, float) for r in v[name]]).reshape(len(v), k)
+        c, x = wide("c"), wide("x")
+        mean, called, cs2 = v["mean"].to_numpy(), v["n_called"].to_numpy(), v["cs2"].to_numpy()
+        self.classes = []
+        for _, at in g.groupby("cls", sort=False).indices.items():
+            miss = g["miss"].iloc[at[0]]
+            if miss is None or not len(miss):
+                self.classes.append((at, None))
+                continue
+            miss = np.asarray(miss, np.int64)
+            own_x = np.asarray(g["miss_x"].iloc[at[0]], float).reshape(len(miss), k)
+            inverse = np.asarray(g["inv"].iloc[at[0]], float).reshape(k, k)
+            out, dosage = there[:, miss], self.left[:, miss]
+            left = called - out.sum(axis=1)
+            shift = np.divide(-dosage.sum(axis=1), left, out=np.zeros(len(v)), where=left > 0)  # of the mean
+            ss = cs2 - (dosage * dosage).sum(axis=1) - left * shift * shift
+            cx = c - dosage @ own_x - shift[:, None] * (x - out @ own_x)
+            raw = dosage + mean[:, None]
+            ends = ((out > 0) & (raw > 0.5)).sum(axis=1), ((out > 0) & (raw < 1.5)).sum(axis=1)
+            values = left, mean + shift, ss - np.einsum("vi,ij,vj->v", cx, inverse, cx), ss + left * (mean + shift) ** 2, None, None, shift
+            for name, value in zip(names, values):
+                if value is not None:
+                    getattr(self, name)[:, at] = value[:, None]
+            self.above[:, at] -= ends[0][:, None]
+            self.below[:, at] -= ends[1][:, None]
+            self.num[:, at] -= shift[:, None] * seen[:, at]
+            self.classes.append((at, np.setdiff1d(np.arange(n), miss, assume_unique=True)))
+        self.there = there
+
+    def usable(self, maf: float) -> np.ndarray:
+        """Pairs whose variant varies on the feature's samples, and isn't rarer there than ``maf`` (up to rounding of the shifted mean)."""
+        af = self.mean / 2
+        return np.broadcast_to((self.sg2 > VARIES * self.scale) & (np.minimum(af, 1 - af) >= maf - 1e-12), self.num.shape)
+
+    def centred(self, at: np.ndarray, samples: np.ndarray | None) -> np.ndarray:
+        """Dosages centred over a class's samples, those samples only."""
+        if samples is None:
+            return self.left
+        return self.left[:, samples] - self.shift[:, at[:1]] * self.there[:, samples]
+
+    def rows(self, i: np.ndarray, j: np.ndarray) -> dict[str, np.ndarray]:
+        """Statistics of the pairs (i, j)."""
+        pick = lambda a: np.broadcast_to(a, self.num.shape)[i, j]
+        mean, called, minor = pick(self.mean), pick(self.called), pick(self.mean) <= 1
+        return {
+            "af": mean / 2, "maf": np.minimum(mean / 2, 1 - mean / 2), "n": pick(self.n), "n_called": called.astype(np.int64),
+            "ma_samples": np.where(minor, pick(self.above), pick(self.below)).astype(np.int64), "ma_count": called * np.where(minor, mean, 2 - mean),
+            **_pair_stats(self.num[i, j], pick(self.sg2), pick(self.sy2), pick(self.dof)),
+        }
+
+
+def _pair_stats(num: np.ndarray, sg2: np.ndarray, sy2: np.ndarray, dof: np.ndarray | float) -> dict[str, np.ndarray]:
     slope = num / sg2
     with np.errstate(divide="ignore", invalid="ignore"):
         se = np.sqrt(np.maximum(sy2 - num * slope, 0.0) / dof / sg2)
@@ -115,25 +220,26 @@ _STATS = "beta double, se double, t double, p_value double, log10p double"
 
 
 def cis_nominal(prep: Prepared, variants: DataFrame, genes: DataFrame, window: int = 1_000_000, maf: float = 0.0) -> DataFrame:
-    """Every variant in the window of every feature: slope, se, t, p, frequencies and distance."""
-    n, dof = prep.n, prep.dof
+    """Every variant in the window of every feature: slope, se, t, p, frequencies, minor-allele samples and count, and distance.
+
+    ``n``, the frequency and the counts are those of the samples that have the feature.
+    """
+    n, k = prep.n, prep.k
 
     def scan(v: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         pos = v["pos"].to_numpy()[:, None]
         near = (pos >= g["gstart"].to_numpy() - window) & (pos <= g["gend"].to_numpy() + window)
-        i, j = np.nonzero(near)
-        num = (dense(v["idx"], v["val"], n) @ dense(g["idx"], g["val"], n).T)[i, j]
+        sums = PairSums(v, g, n, k)
+        i, j = np.nonzero(near & sums.usable(maf))
         vv, gg = v.iloc[i].reset_index(drop=True), g.iloc[j].reset_index(drop=True)
         tss = np.where(gg["strand"] == "+", gg["gstart"], gg["gend"])
-        st = _pair_stats(num, vv["sg2"].to_numpy(), gg["sy2"].to_numpy(), dof)
-        return pd.DataFrame({
-            "gene_id": gg["feature_id"], "variant_id": vv["variant_id"], "chrom": vv["chrom"], "pos": vv["pos"],
-            "distance": vv["pos"] - tss, "af": vv["af"], "maf": vv["maf"], "n": n, **st,
-        })
+        found = pd.DataFrame(sums.rows(i, j))
+        ids = {"gene_id": gg["feature_id"], "variant_id": vv["variant_id"], "chrom": vv["chrom"], "pos": vv["pos"], "distance": vv["pos"] - tss}
+        return pd.DataFrame(ids).join(found.drop(columns="n_called"))
 
     sides = window_sides(prep, variants, genes, window, maf)
     ids = f"gene_id {_kind(genes, 'gene_id')}, variant_id {_kind(variants, 'variant_id')}, chrom string, pos bigint, distance bigint"
-    schema = f"{ids}, af double, maf double, n int, {_STATS}"
+    schema = f"{ids}, af double, maf double, n int, ma_samples bigint, ma_count double, {_STATS}"
     return scan_blocks(*sides, ["chrom", "_bin"], rows_per_block(n), scan, schema)
 
 
@@ -149,26 +255,22 @@ def _kind(df: DataFrame, col: str) -> str:
 
 
 def trans_pairs(prep: Prepared, variants: DataFrame, genes: DataFrame, p: float = 1e-5, maf: float = 0.05) -> DataFrame:
-    """All variant x feature pairs, but only hits at ``p`` leave a block."""
-    n, dof = prep.n, prep.dof
-    cut = r_threshold(p, dof) ** 2
+    """All variant x feature pairs, but only hits at ``p`` leave a block.  Variants stay where they are, features come in turns."""
+    n, k = prep.n, prep.k
 
     def scan(v: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        num = dense(v["idx"], v["val"], n) @ dense(g["idx"], g["val"], n).T
-        sg2, sy2 = v["sg2"].to_numpy(), g["sy2"].to_numpy()
-        i, j = np.nonzero(num * num >= cut * np.outer(sg2, sy2))
-        st = _pair_stats(num[i, j], sg2[i], sy2[j], dof)
+        sums = PairSums(v, g, n, k)
+        cut = {dof: r_threshold(p, dof) ** 2 for dof in np.unique(sums.dof)}
+        cut = np.array([cut[d] for d in sums.dof[0]])
+        i, j = np.nonzero(sums.usable(maf) & (sums.num * sums.num >= cut * sums.sg2 * sums.sy2))
         vv, gg = v.iloc[i].reset_index(drop=True), g.iloc[j].reset_index(drop=True)
         tss = np.where(gg["strand"] == "+", gg["gstart"], gg["gend"])
-        return pd.DataFrame({
-            "gene_id": gg["feature_id"], "variant_id": vv["variant_id"], "v_chrom": vv["chrom"], "pos": vv["pos"],
-            "g_chrom": gg["g_chrom"], "tss": tss, "maf": vv["maf"], "n": n, **st,
-        })
+        ids = {"gene_id": gg["feature_id"], "variant_id": vv["variant_id"], "v_chrom": vv["chrom"], "pos": vv["pos"], "g_chrom": gg["chrom"], "tss": tss}
+        return pd.DataFrame(ids).join(pd.DataFrame(sums.rows(i, j)).drop(columns=["af", "n_called", "ma_samples", "ma_count"]))
 
-    g = prep.feature_rows(genes).withColumnRenamed("chrom", "g_chrom")
     ids = f"gene_id {_kind(genes, 'gene_id')}, variant_id {_kind(variants, 'variant_id')}, v_chrom string, pos bigint"
     schema = f"{ids}, g_chrom string, tss bigint, maf double, n int, {_STATS}"
-    return scan_blocks(prep.variant_rows(variants, maf), g, variants, genes, [], rows_per_block(n), scan, schema)
+    return in_turns(prep.variant_rows(variants, maf), prep.feature_rows(genes), n, k, scan, schema)
 
 
 def trans_scan(
@@ -223,38 +325,46 @@ def cis_permutation(
     Every block draws the same seeded permutations, returns only the largest |r| of each, and the
     maxima over a feature's blocks are an ordinary aggregate; a feature is never gathered whole.
     """
-    n, dof = prep.n, prep.dof
+    n, k = prep.n, prep.k
 
     def scan(v: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        left = dense(v["idx"], v["val"], n) / np.sqrt(v["sg2"].to_numpy())[:, None]
-        right = dense(g["idx"], g["val"], n) / np.sqrt(g["sy2"].to_numpy())[:, None]
-        pos = v["pos"].to_numpy()
-        near = [np.nonzero((pos >= a - window) & (pos <= b + window))[0] for a, b in zip(g["gstart"], g["gend"])]
-        top = np.zeros((len(g), permutations))
-        step = max(1, 2_000_000 // n)
-        for at in range(0, permutations, step):
-            perm = np.stack([np.random.default_rng([seed, q]).permutation(n) for q in range(at, min(at + step, permutations))])
-            for k, rows in enumerate(near):
+        sums, pos = PairSums(v, g, n, k), v["pos"].to_numpy()
+        near = (pos[:, None] >= g["gstart"].to_numpy() - window) & (pos[:, None] <= g["gend"].to_numpy() + window) & sums.usable(maf)
+        shape = sums.num.shape
+        sg2, freq = np.broadcast_to(sums.sg2, shape), np.broadcast_to(np.minimum(sums.mean / 2, 1 - sums.mean / 2), shape)
+        out, names = [], v["variant_id"].to_numpy()
+        for at, samples in sums.classes:
+            size = n if samples is None else len(samples)
+            centred = sums.centred(at, samples)
+            own = sums.right[at] if samples is None else sums.right[np.ix_(at, samples)]
+            norm = np.sqrt(np.maximum(sg2[:, at[0]], np.finfo(float).tiny))
+            left, right = centred / norm[:, None], own / np.sqrt(sums.sy2[0, at])[:, None]
+            top = np.zeros((len(at), permutations))
+            step = max(1, 2_000_000 // size)
+            lists = [np.nonzero(near[:, f])[0] for f in at]
+            for first in range(0, permutations, step):
+                perm = np.stack([np.random.default_rng([seed, q]).permutation(size) for q in range(first, min(first + step, permutations))])
+                for f, rows in enumerate(lists):
+                    if len(rows):
+                        top[f, first : first + len(perm)] = np.abs(left[rows] @ right[f][perm].T).max(axis=0)
+            r = sums.num[:, at] / norm[:, None] / np.sqrt(sums.sy2[:, at])
+            for f, (j, rows) in enumerate(zip(at, lists)):
                 if len(rows):
-                    top[k, at : at + len(perm)] = np.abs(left[rows] @ right[k][perm].T).max(axis=0)
-        r = left @ right.T
-        out = []
-        for k, rows in enumerate(near):
-            if len(rows):
-                b = rows[np.lexsort((v["variant_id"].to_numpy()[rows], -np.abs(r[rows, k]).round(12)))[0]]
-                slope = r[b, k] * np.sqrt(g["sy2"].iloc[k] / v["sg2"].iloc[b])
-                out.append((g["feature_id"].iloc[k], v["variant_id"].iloc[b], pos[b], v["maf"].iloc[b], r[b, k], slope, len(rows), top[k]))
-        return pd.DataFrame(out, columns=["gene_id", "variant_id", "pos", "maf", "r", "beta", "n_variants", "top"])
+                    b = rows[np.lexsort((names[rows], -np.abs(r[rows, f]).round(12)))[0]]
+                    slope = sums.num[b, j] / sg2[b, j]
+                    out.append((g["feature_id"].iloc[j], names[b], pos[b], freq[b, j], r[b, f], slope, len(rows), sums.dof[0, j], top[f]))
+        return pd.DataFrame(out, columns=["gene_id", "variant_id", "pos", "maf", "r", "beta", "n_variants", "dof", "top"])
 
     sides = window_sides(prep, variants, genes, window, maf)
     ids = f"gene_id {_kind(genes, 'gene_id')}, variant_id {_kind(variants, 'variant_id')}, pos bigint"
     blocks = materialize(scan_blocks(  # read by both aggregates below
         *sides, ["chrom", "_bin"], rows_per_block(n), scan,
-        f"{ids}, maf double, r double, beta double, n_variants bigint, top array<double>",
+        f"{ids}, maf double, r double, beta double, n_variants bigint, dof double, top array<double>",
     ))
     order = F.struct(F.round(-F.abs("r"), 12), "variant_id")
     best = blocks.groupBy("gene_id").agg(
-        F.min_by(F.struct("variant_id", "pos", "maf", "r", "beta"), order).alias("b"), F.sum("n_variants").alias("n_variants")
+        F.min_by(F.struct("variant_id", "pos", "maf", "r", "beta"), order).alias("b"), F.sum("n_variants").alias("n_variants"),
+        F.max("dof").alias("dof"),
     )
     null = blocks.select("gene_id", F.posexplode("top").alias("perm", "m")).groupBy("gene_id", "perm").agg(F.max("m").alias("m"))
     null = null.groupBy("gene_id").agg(F.collect_list("m").alias("null"))  # one number per permutation
@@ -263,15 +373,16 @@ def cis_permutation(
         for b in batches:
             null_r = np.stack(b["null"].to_list()) if len(b) else np.zeros((0, permutations))
             r = np.minimum(np.abs(b["r"].to_numpy()), 1 - 1e-15)
-            tail = lambda x: x * np.sqrt(dof / (1 - x * x))
-            p_nom = t_p(tail(r), dof)
-            a, c = fit_beta(t_p(tail(np.minimum(null_r, 1 - 1e-12)), dof)) if len(b) else (r, r)
-            yield b.drop(columns=["null"]).assign(
+            dof = b["dof"].to_numpy(float)
+            p_of = lambda x, nu: t_p(x * np.sqrt(nu / (1 - x * x)), nu)
+            p_nom = p_of(r, dof)
+            a, c = fit_beta(p_of(np.minimum(null_r, 1 - 1e-12), dof[:, None])) if len(b) else (r, r)
+            yield b.drop(columns=["null", "dof"]).assign(
                 p_value=p_nom, p_perm=(1 + (null_r >= r[:, None]).sum(axis=1)) / (1 + permutations),
                 shape1=a, shape2=c, p_beta=betainc(a, c, p_nom),
             )
 
-    joined = best.select("gene_id", "b.*", "n_variants").join(null, "gene_id")
+    joined = best.select("gene_id", "b.*", "n_variants", "dof").join(null, "gene_id")
     schema = f"{ids}, maf double, r double, beta double, n_variants bigint, p_value double, p_perm double, shape1 double, shape2 double, p_beta double"
     return joined.mapInPandas(finish, schema)
 
@@ -288,40 +399,50 @@ def by_type(scans: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     return out.withColumns({"qtl_type": F.split_part("_tag", F.lit("|"), F.lit(1)), "mode": F.split_part("_tag", F.lit("|"), F.lit(2))}).drop("_tag")
 
 
-def linear_gwas(geno: DataFrame, traits: DataFrame, cov: DataFrame | None = None, maf: float = 0.0) -> DataFrame:
+def scan_types(
+    geno: DataFrame, phenotypes: Mapping[str, DataFrame], variants: DataFrame, genes: DataFrame, cov: DataFrame | None = None,
+    modes: Sequence[str] = ("cis", "trans"), window: int = 1_000_000, maf: float = 0.0, p: float = 1e-5, cis_window: int = 5_000_000,
+) -> dict[str, DataFrame]:
+    """Scans of several phenotype matrices, as (qtl_type, gene_id, ...) for each mode.
+
+    The matrices are one right side: their features are told apart by type, and a matrix without some of the samples is a matter of
+    missing patterns.  So genotypes are read and packed once for all types and modes.
+    """
+    key = lambda kind, column: F.struct(F.lit(kind).alias("qtl_type"), F.col(column).alias("id"))
+    union = lambda parts: reduce(DataFrame.unionByName, parts)
+    pheno = union([d.select(key(kind, "feature_id").alias("feature_id"), "sample_id", "value") for kind, d in phenotypes.items()])
+    places = union([genes.withColumn("gene_id", key(kind, "gene_id")) for kind in phenotypes])
+    prep = Prepared(geno, pheno, cov, fill_nulls=False).pack()
+    scans = {
+        "cis": lambda: cis_nominal(prep, variants, places, window, maf),
+        "trans": lambda: drop_cis(trans_pairs(prep, variants, places, p, maf), cis_window),
+    }
+    return {m: scans[m]().withColumn("qtl_type", F.col("gene_id.qtl_type")).withColumn("gene_id", F.col("gene_id.id")) for m in modes}
+
+
+def linear_gwas(
+    geno: DataFrame, traits: DataFrame, cov: DataFrame | None = None, maf: float = 0.0, missing: float = 1.0, hwe: float = 0.0
+) -> DataFrame:
     """Trait ~ dosage + covariates for every variant and trait with 95% limits.
 
-    Complete traits ride on the sample rows as one vector, so genotypes are read and shuffled once.  A trait with missing
-    samples is fitted on those that have it, with its own degrees of freedom.
+    All traits share one pass over the genotypes.  A trait with missing samples is fitted on those that have it, with its own degrees of
+    freedom.  ``maf`` is the smallest frequency among them; ``missing`` and ``hwe`` filter variants over the cohort.
     """
-    known = traits.where(F.col("value").isNotNull())
-    seen = known.groupBy("trait").agg(F.count_distinct("sample_id").alias("n")).collect()
-    everyone = traits.select("sample_id").distinct().count()
-    gaps = sorted(r["trait"] for r in seen if r["n"] < everyone)
-    parts = [_linear_gwas(geno, known.where(F.col("trait") == c), cov, maf) for c in gaps]
-    if len(gaps) < len(seen) or not seen:
-        parts.append(_linear_gwas(geno, known.where(~F.col("trait").isin(*gaps)) if gaps else known, cov, maf))
-    return reduce(DataFrame.union, parts)
-
-
-def _linear_gwas(geno: DataFrame, traits: DataFrame, cov: DataFrame | None, maf: float) -> DataFrame:
-    prep = Prepared(geno, traits.withColumnRenamed("trait", "feature_id"), cov)
-    names = sorted(r[0] for r in prep.resid.select("feature_id").distinct().collect())
-    wide = prep.resid.groupBy("sample_id").pivot("feature_id", names).agg(F.first("value"))
-    vec = wide.select("sample_id", F.array(*[F.col(f"`{c}`") for c in names]).alias("rt"))
-    sy = columns_of(vec.agg(*[F.sum(F.element_at("rt", i + 1) * F.element_at("rt", i + 1)).alias(f"s{i}") for i in range(len(names))]))
-    mom = prep.variant_moments(vec, len(names)).where((F.col("sg2") > 1e-9) & (F.col("maf") >= maf))
-    per = F.array(*[
-        F.struct(F.lit(c).alias("phenotype"), F.element_at("num", i + 1).alias("num"), sy[i].alias("sy2")) for i, c in enumerate(names)
-    ])
-    out = mom.select("variant_id", "n_called", "af", "maf", "sg2", F.inline(per))
-    st = statistics(F.col("num"), F.col("sg2"), F.col("sy2"), prep.dof)
-    z = float(norm_ppf(0.975))
-    out = out.withColumns(st).withColumn("p_value", t_p_udf("t", F.lit(float(prep.dof))))
-    return out.select(
-        "phenotype", "variant_id", "n_called", "af", "maf", "beta", "se", "t", "p_value",
-        (F.col("beta") - z * F.col("se")).alias("ci_low"), (F.col("beta") + z * F.col("se")).alias("ci_high"),
-    )
+    known = traits.where(F.col("value").isNotNull()).withColumnRenamed("trait", "feature_id")
+    prep = Prepared(geno, known, cov)
+    n, k, z = prep.n, prep.k, float(norm_ppf(0.975))
+
+    def scan(v: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
+        sums = PairSums(v, g, n, k)
+        i, j = np.nonzero(sums.usable(maf))
+        out = pd.DataFrame({"phenotype": g["feature_id"].to_numpy()[j], "variant_id": v["variant_id"].to_numpy()[i], **sums.rows(i, j)})
+        out["ci_low"], out["ci_high"] = out["beta"] - z * out["se"], out["beta"] + z * out["se"]
+        return out.drop(columns=["n", "ma_samples", "ma_count", "log10p"])
+
+    ids = f"phenotype {_kind(traits, 'trait')}, variant_id {_kind(geno, 'variant_id')}"
+    schema = f"{ids}, af double, maf double, n_called bigint, beta double, se double, t double, p_value double, ci_low double, ci_high double"
+    out = in_turns(prep.variant_rows(None, maf, missing, hwe), prep.feature_rows(), n, k, scan, schema)
+    return out.select("phenotype", "variant_id", "n_called", "af", "maf", "beta", "se", "t", "p_value", "ci_low", "ci_high")
 
 
 def logistic_gwas(geno: DataFrame, trait: DataFrame, cov: DataFrame | None = None, maf: float = 0.0, steps: int = 25) -> DataFrame:

@@ -5,14 +5,16 @@ of limited size, and each block pair meets in one task as a matrix product.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from allelespark.operators.joins import bins
-from allelespark.operators.ordered import columns_of, one_row
+from allelespark.operators.ordered import columns_of, one_row, ordered
+from allelespark.session import materialize
 
 BLOCK_CELLS = 4_000_000  # doubles per side of a block, about 32 MB
 
@@ -74,6 +76,48 @@ def scan_blocks(
     return v.groupBy(*keys).cogroup(g.groupBy(*keys)).applyInPandas(both, schema)
 
 
+TURN_BYTES = 128 << 20
+
+
+def in_turns(
+    variants: DataFrame, features: DataFrame, n: int, k: int, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
+    turn_bytes: int = TURN_BYTES,
+) -> DataFrame:
+    """``fn(variant rows, feature rows)`` over all pairs, variants staying in their partitions.
+
+    Packed variants are written once; features come round in turns of at most ``turn_bytes`` (one feature at least), each broadcast to
+    the tasks and dropped before the next, and what ``fn`` returns is written turn by turn.  So neither a shuffle nor a task grows
+    with the number of features.  A task takes rows in slices whose dense arrays have ``BLOCK_CELLS`` cells at most.
+    """
+    spark = variants.sparkSession
+    each = 64 + 16 * n * (1 + k)  # a row of n cells, and at most as many missing ones with k covariates
+    per_turn = max(1, turn_bytes // each)
+    features = materialize(features)
+    numbered = ordered(features.select("feature_id"), [], [F.col("feature_id")], rank="_at")
+    turns = materialize(numbered.select("feature_id", F.floor((F.col("_at") - 1) / per_turn).cast("long").alias("_turn")))
+    count = turns.agg(F.max("_turn")).first()[0]
+    if count is None:
+        return spark.createDataFrame([], schema)
+    if count:
+        variants = materialize(variants)
+    slice_rows = max(1, BLOCK_CELLS // max(n, 1))
+    found = []
+    for turn in range(count + 1):
+        rows = features.join(turns.where(F.col("_turn") == turn).select("feature_id"), "feature_id").toPandas()
+        sent = spark.sparkContext.broadcast(rows)
+
+        def scan(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            side = sent.value
+            step = max(1, min(slice_rows, BLOCK_CELLS // max(len(side), 1)))
+            for batch in batches:
+                for at in range(0, len(batch), step):
+                    yield fn(batch.iloc[at : at + step].reset_index(drop=True), side)
+
+        found.append(materialize(variants.mapInPandas(scan, schema)))
+        sent.destroy()
+    return reduce(DataFrame.unionAll, found)
+
+
 def bin_width(variants: DataFrame, window: int, rows: int = 256) -> int:
     """Bin width of at least the window, wider where variants are sparse, so blocks are worth a task.
 

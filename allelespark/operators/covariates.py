@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from allelespark.operators.blocks import spread
 from allelespark.operators.normalize import fill_by_sample
-from allelespark.operators.ordered import scalars, with_group_stats
+from allelespark.operators.ordered import columns_of, scalars, with_group_stats
+from allelespark.operators.patterns import Fits, dot, solved
 from allelespark.session import materialize
 
 
@@ -50,32 +51,35 @@ def standardise(cov: DataFrame) -> DataFrame:
     return out.select("covariate", "sample_id", z.alias("value"))
 
 
-def design_rows(cov: DataFrame) -> tuple[DataFrame, list[str]]:
+def design_rows(cov: DataFrame, fill: bool = False) -> tuple[DataFrame, list[str]]:
     """Numeric long covariates as one vector per sample: (sample_id, x) and the covariate order.
 
-    Only the covariate names reach the driver.  Samples lacking a covariate are left out.  The
-    result (one row per sample) is checkpointed, as its users read it more than once.
+    Only the covariate names reach the driver.  Samples lacking a covariate are left out, or, with
+    ``fill``, take its mean.  The source is checkpointed, as it is read more than once.
     """
     cov = materialize(cov)
     names = sorted(r[0] for r in cov.select("covariate").distinct().collect())
     wide = cov.groupBy("sample_id").pivot("covariate", names).agg(F.first("value"))
-    x = F.array(*[F.col(f"`{n}`").cast("double") for n in names])
-    return wide.dropna().select("sample_id", x.alias("x")), names
+    cells = [F.col(f"`{n}`").cast("double") for n in names]
+    if fill:
+        means = columns_of(wide.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cells)]))
+        return wide.select("sample_id", F.array(*[F.coalesce(c, m) for c, m in zip(cells, means)]).alias("x")), names
+    return wide.dropna().select("sample_id", F.array(*cells).alias("x")), names
 
 
 class Design:
     """Centred sample vectors with their means and the inverse of their cross-products."""
 
-    def __init__(self, cov: DataFrame):
-        rows, names = design_rows(cov)
+    def __init__(self, cov: DataFrame, fill: bool = False):
+        rows, names = design_rows(cov, fill)
         self.k = len(names)
-        self.mean, self.inverse = gram_inverse(rows, self.k)
+        self.n, self.mean, self.inverse, self.power = gram_inverse(rows, self.k)
         mu = F.array(*[F.lit(float(m)) for m in self.mean])
         self.rows = rows.select("sample_id", F.zip_with("x", mu, lambda a, m: a - m).alias("xc"))
 
 
-def gram_inverse(design: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean of each covariate and pseudo-inverse of the centred cross-product matrix, from one k x k aggregate."""
+def gram_inverse(design: DataFrame, k: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Samples, means, pseudo-inverse of the centred cross-products and variances of the covariates, from one k x k aggregate."""
     at = lambda i: F.element_at("x", i + 1)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     row = design.agg(
@@ -86,42 +90,27 @@ def gram_inverse(design: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     s = np.zeros((k, k))
     for (i, j), v in zip(pairs, row[1 + k :]):
         s[i, j] = s[j, i] = v * n
-    return mean, np.linalg.pinv(s, rcond=1e-12, hermitian=True)
+    return n, mean, solved(s, np.diag(s) + n * mean * mean)[0], np.diag(s) / max(n, 1)
 
 
-def matrix_lit(m: np.ndarray) -> Column:
-    return F.array(*[F.array(*[F.lit(float(v)) for v in r]) for r in m])
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
-
-
-def remove_effects(df: DataFrame, cov: DataFrame | Design, centre: bool = False) -> DataFrame:
+def remove_effects(df: DataFrame, cov: DataFrame | Design, centre: bool = False, gaps: str = "fit") -> DataFrame:
     """Subtract the fitted covariate part of a least-squares model with intercept, feature by feature.
 
-    ``cov`` is numeric and long (one-hot included).  Cross-products with the covariates are
-    partial aggregates per feature; only the small covariate matrix is inverted on the driver.
-    Constant features and features with missing cells stay as they are.  With ``centre`` the
+    ``cov`` is numeric and long (one-hot included); its gaps take the covariate's mean.  A feature with missing cells is fitted on those
+    it has, or with ``gaps="keep"`` stays as it is.  Cross-products with the covariates are partial aggregates; constant features stay as they are.  With ``centre`` the
     intercept is removed as well, which leaves the residual.
     """
-    design = cov if isinstance(cov, Design) else Design(cov)
-    k, inv = design.k, design.inverse
-    mu = F.array(*[F.lit(float(m)) for m in design.mean])
+    design = cov if isinstance(cov, Design) else Design(cov, fill=True)
     rows = df.join(design.rows, "sample_id")
-    prods = [F.sum(F.col("value") * F.element_at("xc", i + 1)) for i in range(k)]
-    v = F.col("value")
-    per = rows.groupBy("feature_id").agg(
-        F.array(*prods).alias("_c"), F.avg(v).alias("_ybar"),
-        ((F.min(v) == F.max(v)) | (F.count(v) < F.count(F.lit(1)))).alias("_skip"),
-    )
-    beta = F.transform(matrix_lit(inv), lambda r: dot(r, F.col("_c")))
-    per = per.select("feature_id", "_ybar", F.when(~F.col("_skip"), beta).alias("_b"))
-    # raw x times the slopes is the covariate part; centred x leaves the feature mean in place
-    shift = F.lit(0.0) if centre else dot(F.col("_b"), mu)
-    effect = F.coalesce(dot(F.col("_b"), F.col("xc")) + shift, F.lit(0.0))
-    out = v - effect - (F.col("_ybar") if centre else F.lit(0.0))
-    return rows.join(per, "feature_id").select(*[out.alias(c) if c == "value" else F.col(c) for c in df.columns])
+    per = Fits(rows, design.k, design.inverse, design.n, design.power).features
+    slopes = F.when(F.col("n") == design.n, F.col("slopes")) if gaps == "keep" else F.col("slopes")
+    per = per.select(F.col("feature_id").alias("_f"), "ybar", slopes.alias("slopes"), "xbar")
+    out = rows.join(per, F.col("feature_id") == F.col("_f"), "left")
+    # raw x times the slopes is the covariate part; x centred over the feature's samples leaves its mean in place
+    mu = F.array(*[F.lit(float(m)) for m in design.mean])
+    at = F.zip_with("xc", F.col("xbar") if centre else mu, (lambda a, m: a - m) if centre else (lambda a, m: a + m))
+    value = F.col("value") - F.coalesce(dot(F.col("slopes"), at), F.lit(0.0)) - (F.col("ybar") if centre else F.lit(0.0))
+    return out.select(*[value.alias(c) if c == "value" else F.col(c) for c in df.columns])
 
 
 def sample_index(df: DataFrame) -> DataFrame:

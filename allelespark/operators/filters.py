@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from allelespark.functions.stats import hwe_midp_udf, norm_ppf
+from allelespark.functions.stats import hwe_exact_udf, hwe_midp_udf, norm_ppf
 from allelespark.operators.clean import neg_log10
 from allelespark.operators.ordered import exact_quantiles, first_rows, one_row
 from allelespark.session import materialize
@@ -65,6 +65,7 @@ def genotype_qc(
     maf: float = 0.01,
     hwe: float = 0.0,
     exact: bool = True,
+    midp: bool = True,
 ) -> DataFrame:
     """Drop poorly called samples first, then variants by missingness, MAF and HWE on those left."""
     bad = F.count_if(F.col("dosage").isNull()) / F.count(F.lit(1))
@@ -73,7 +74,7 @@ def genotype_qc(
     st = variant_stats(kept)
     cond = (F.col("f_missing") <= missing) & (F.col("maf") >= maf)
     if hwe > 0 and exact:
-        st = st.where(cond).withColumn("_p", hwe_midp_udf("hom_ref", "het", "hom_alt"))
+        st = st.where(cond).withColumn("_p", (hwe_midp_udf if midp else hwe_exact_udf)("hom_ref", "het", "hom_alt"))
         cond = F.col("_p") >= hwe
     elif hwe > 0:
         edge = float(norm_ppf(hwe / 2) ** 2)

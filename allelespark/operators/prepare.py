@@ -14,14 +14,14 @@ from allelespark.operators.qc import fence_outliers
 
 
 def prepare_phenotypes(
-    pheno: DataFrame, genotyped: DataFrame, method: str = "log2", batch: DataFrame | None = None, low: float = 0.1
+    pheno: DataFrame, genotyped: DataFrame, method: str = "log2", batch: DataFrame | None = None, low: float = 0.1, gaps: str = "keep"
 ) -> DataFrame:
-    """Align, validate, drop low expression, normalise and remove batch effects."""
+    """Align, validate, drop low expression, normalise and remove batch effects (of features with gaps, if ``gaps`` is "fit")."""
     tables = [pheno, genotyped] + ([batch] if batch is not None else [])
     common = shared_samples(*tables)
     out = restrict(pheno, common).transform(filters.validate_phenotypes).transform(filters.expressed, low)
     out = normalize(out, method)
-    return out if batch is None else remove_effects(out, restrict(batch, common))
+    return out if batch is None else remove_effects(out, restrict(batch, common), gaps=gaps)
 
 
 def enhanced_covariates(pheno: DataFrame, given: DataFrame | None = None, k: int = 10) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from allelespark.functions.stats import hwe_midp_udf
+from allelespark.functions.stats import hwe_exact_udf, hwe_midp_udf
 from allelespark.operators.filters import hwe_chi2, variant_stats
 from allelespark.operators.joins import overlap_report
 from allelespark.operators.ordered import columns_of, exact_quantiles, first_rows, one_row, scalars, with_group_stats
@@ -34,10 +34,11 @@ def maf_summary(geno: DataFrame) -> DataFrame:
     return one_row(st.agg(F.count("maf").alias("n_variants"), F.avg("maf").alias("mean_maf")), med)
 
 
-def hwe(geno: DataFrame, exact: bool = True) -> DataFrame:
+def hwe(geno: DataFrame, exact: bool = True, midp: bool = True) -> DataFrame:
+    """Genotype counts, chi-square and, with ``exact``, the exact p (mid-p, or plain as genotype tools give by default)."""
     st = variant_stats(geno).select("variant_id", "hom_ref", "het", "hom_alt")
     out = st.withColumn("chi2", hwe_chi2(F.col("hom_ref"), F.col("het"), F.col("hom_alt")))
-    return out.withColumn("p_hwe", hwe_midp_udf("hom_ref", "het", "hom_alt")) if exact else out
+    return out.withColumn("p_hwe", (hwe_midp_udf if midp else hwe_exact_udf)("hom_ref", "het", "hom_alt")) if exact else out
 
 
 def hwe_summary(tests: DataFrame, threshold: float = 1e-6) -> DataFrame:

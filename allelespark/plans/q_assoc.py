@@ -12,7 +12,7 @@ from allelespark.operators import normalize as N
 from allelespark.operators import summary as S
 from allelespark.operators.multitest import bh_fdr
 from allelespark.plans.fixtures import COHORT
-from allelespark.plans.q_filters import _CT, _out_sql, customer_traits
+from allelespark.plans.q_filters import _CT, EXACT_HWE, _out_sql, customer_traits
 from allelespark.plans.q_qc import rnd
 from allelespark.plans.registry import query
 from allelespark.session import materialize
@@ -187,6 +187,118 @@ def q7(t):
     return rnd(AS.gwas_inputs(geno, customer_traits(t), ["heavy", "cubic", "plain"]), "heavy", "cubic", "plain", digits=4)
 
 
+# ---- phenotypes that lack rows for some samples: each pair is fitted on the samples the feature has, gene by gene
+_WP = "OVER (PARTITION BY qtl_type, gene_id, variant_id)"
+
+
+def _gap_sql(pheno: str, pairs: str, keep: str = "TRUE") -> str:
+    """``pheno`` (qtl_type, feature_id, sample_id, value) has no row where a value is missing; ``pairs`` are (gene_id, variant_id)."""
+    on = lambda y, x: f"(sum({y} * {x}) {_WP}) / nullif(sum({x} * {x}) {_WP}, 0)"
+    return f"""yy AS ({pheno}),
+    x0 AS (SELECT qtl_type, gene_id, pr.variant_id, value AS y, dosage, rin AS a, CAST(sex AS DOUBLE) AS s FROM {pairs} pr JOIN yy ON yy.feature_id = pr.gene_id
+           JOIN covar c ON c.sample_id = yy.sample_id LEFT JOIN geno g ON g.variant_id = pr.variant_id AND g.sample_id = yy.sample_id),
+    x1 AS (SELECT qtl_type, gene_id, variant_id, dosage, y, coalesce(dosage, avg(dosage) {_WP}) - avg(dosage) {_WP} AS d1, y - avg(y) {_WP} AS y1, a - avg(a) {_WP} AS a1,
+                  s - avg(s) {_WP} AS s0 FROM x0),
+    x2 AS (SELECT *, coalesce(s0 - a1 * {on("s0", "a1")}, 0) AS s1 FROM x1),
+    x3 AS (SELECT *, d1 - a1 * {on("d1", "a1")} - coalesce(s1 * {on("d1", "s1")}, 0) AS gv, y1 - a1 * {on("y1", "a1")} - coalesce(s1 * {on("y1", "s1")}, 0) AS yv FROM x2),
+    ss AS (SELECT qtl_type, gene_id, variant_id, count(*) AS n, count(dosage) AS n_called, avg(dosage) AS mean, sum(dosage) AS total, count(*) FILTER (dosage > 0.5) AS above,
+                  count(*) FILTER (dosage < 1.5) AS below, sum(gv * yv) AS sxy, sum(gv * gv) AS sxx, sum(yv * yv) AS syy, sum(y * y) AS raw
+           FROM x3 GROUP BY ALL),
+    st AS (SELECT *, sxy / sxx AS beta, sqrt(greatest(syy - sxy * sxy / sxx, 0) / (n - 4) / sxx) AS se, least(mean / 2, 1 - mean / 2) AS maf
+           FROM ss WHERE n_called > 0 AND sxx > 1e-9 AND syy > 1e-12 * raw AND {keep})"""
+
+
+_GAPS = "SELECT 'one' AS qtl_type, * FROM pheno_na WHERE value IS NOT NULL"
+_TRANS_GAPS = "(SELECT gene_id, variant_id FROM genes, (SELECT DISTINCT variant_id FROM geno) v)"
+
+
+@query("q1_cis_nominal_gaps", f"""WITH {_CIS}, {_gap_sql(_GAPS, "pr")}
+    SELECT gene_id, variant_id, n, CASE WHEN mean <= 1 THEN above ELSE below END AS ma_samples,
+           CASE WHEN mean <= 1 THEN total ELSE 2 * n_called - total END AS ma_count, round(maf, 6) AS maf, round(beta, 6) AS beta, round(se, 6) AS se,
+           round(beta / se, 5) AS t FROM st""")
+def q1g(t):
+    prep = AS.Prepared(t.geno(), t.pheno_na().where("value IS NOT NULL"), covariates(t))
+    out = AS.cis_nominal(prep, t.variants(), t.genes()).select("gene_id", "variant_id", "n", "ma_samples", "ma_count", "maf", "beta", "se", "t")
+    out = out.withColumns({"n": F.col("n").cast("long"), "ma_count": F.round("ma_count", 6)})
+    return rnd(rnd(out, "maf", "beta", "se"), "t", digits=5)
+
+
+@query("q2_best_variant_gaps", f"""
+    WITH {_CIS}, {_gap_sql(_GAPS, "pr")},
+    rr AS (SELECT *, sxy / sqrt(sxx * syy) AS r, count(*) OVER (PARTITION BY gene_id) AS n_variants,
+                  row_number() OVER (PARTITION BY gene_id ORDER BY round(-abs(sxy / sqrt(sxx * syy)), 12), variant_id) AS k FROM st)
+    SELECT gene_id, variant_id, round(r, 6) AS r, round(beta, 6) AS beta, n_variants FROM rr WHERE k = 1""")
+def q2g(t):
+    prep = AS.Prepared(t.geno(), t.pheno_na().where("value IS NOT NULL"), covariates(t))
+    out = AS.cis_permutation(prep, t.variants(), t.genes(), permutations=20)
+    return rnd(out.select("gene_id", "variant_id", "r", "beta", "n_variants"), "r", "beta")
+
+
+@query("q3_trans_gaps", f"""WITH {_gap_sql(_GAPS, _TRANS_GAPS)}
+    SELECT st.gene_id, st.variant_id, n, round(maf, 6) AS maf, round(beta, 6) AS beta, round(beta / se, 4) AS t FROM st
+    JOIN variants v ON v.variant_id = st.variant_id JOIN genes g ON g.gene_id = st.gene_id
+    WHERE maf >= 0.05 AND sxy * sxy >= CASE n {" ".join(f"WHEN {m} THEN {r_threshold(1e-3, m - 4) ** 2!r}" for m in range(5, COHORT + 1))} END * sxx * syy
+      AND (v.chrom <> g.chrom OR abs(v.pos - CASE WHEN g.strand = '+' THEN g.gstart ELSE g.gend END) > 5000000)""")
+def q3g(t):
+    prep = AS.Prepared(t.geno(), t.pheno_na().where("value IS NOT NULL"), covariates(t))
+    out = AS.trans_scan(prep, t.variants(), t.genes(), 1e-3, lam=0.5).select("gene_id", "variant_id", F.col("n").cast("long").alias("n"), "maf", "beta", "t")
+    return rnd(rnd(out, "maf", "beta"), "t", digits=4)
+
+
+_TYPES = """SELECT 'eqtl' AS qtl_type, * FROM pheno UNION ALL SELECT 'pqtl', * FROM pheno_na WHERE value IS NOT NULL
+            UNION ALL SELECT 'sqtl', feature_id, sample_id, ln(1 + value) FROM counts WHERE sample_id % 7 <> 2"""
+
+
+@query("q4_types_cis_and_trans", f"""
+    WITH {_CIS}, ap AS (SELECT * FROM {_TRANS_GAPS}), {_gap_sql(_TYPES, "ap")},
+    sm AS (SELECT st.*, pr.gene_id IS NOT NULL AS near, v.chrom <> g.chrom OR abs(v.pos - CASE WHEN g.strand = '+' THEN g.gstart ELSE g.gend END) > 5000000 AS far
+           FROM st JOIN variants v ON v.variant_id = st.variant_id JOIN genes g ON g.gene_id = st.gene_id
+           LEFT JOIN pr ON pr.gene_id = st.gene_id AND pr.variant_id = st.variant_id WHERE maf >= 0.05)
+    SELECT qtl_type, 'cis' AS mode, gene_id, variant_id, n, round(beta, 6) AS beta, round(beta / se, 4) AS t FROM sm WHERE near
+    UNION ALL SELECT qtl_type, 'trans', gene_id, variant_id, n, round(beta, 6), round(beta / se, 4) FROM sm
+    WHERE far AND sxy * sxy >= CASE n {" ".join(f"WHEN {m} THEN {r_threshold(1e-3, m - 4) ** 2!r}" for m in range(5, COHORT + 1))} END * sxx * syy""")
+def q4t(t):
+    """Expression complete, proteins with gaps, splicing measured in six sevenths of the samples; cis and trans of each."""
+    kinds = {"eqtl": t.pheno(), "pqtl": t.pheno_na(), "sqtl": t.counts().where("sample_id % 7 <> 2").withColumn("value", F.log1p("value"))}
+    scans = AS.scan_types(t.geno(), kinds, t.variants(), t.genes(), covariates(t), maf=0.05, p=1e-3)
+    cols = ["qtl_type", "gene_id", "variant_id", F.col("n").cast("long").alias("n"), "beta", "t"]
+    out = scans["cis"].select(F.lit("cis").alias("mode"), *cols).unionByName(scans["trans"].select(F.lit("trans").alias("mode"), *cols))
+    return rnd(rnd(out, "beta"), "t", digits=4)
+
+
+_TRAIT_GAPS = """SELECT trait AS qtl_type, trait AS feature_id, sample_id, value FROM traits
+                 WHERE trait = 'height' OR (trait = 'weight' AND sample_id % 5 <> 1) OR (trait = 'ldl' AND sample_id % 3 <> 0)"""
+
+
+def trait_gaps(t):
+    keep = (F.col("trait") == "height") | ((F.col("trait") == "weight") & (F.col("sample_id") % 5 != 1)) | ((F.col("trait") == "ldl") & (F.col("sample_id") % 3 != 0))
+    return t.traits().where(keep)
+
+
+_TRAIT_PAIRS = "(SELECT f AS gene_id, variant_id FROM (VALUES ('height'), ('weight'), ('ldl')) x(f), (SELECT DISTINCT variant_id FROM geno) v)"
+_GWAS_OUT = """SELECT gene_id AS phenotype, variant_id, n_called, round(beta, 6) AS beta, round(se, 6) AS se, round(beta / se, 5) AS t,
+           round(beta - 1.959963984540054 * se, 6) AS ci_low, round(beta + 1.959963984540054 * se, 6) AS ci_high"""
+
+
+def _gwas_out(out):
+    out = out.select("phenotype", "variant_id", "n_called", *_GW)
+    return rnd(rnd(out, "beta", "se", "ci_low", "ci_high"), "t", digits=5)
+
+
+@query("q5_linear_gwas_gaps", f"WITH {_gap_sql(_TRAIT_GAPS, _TRAIT_PAIRS)} {_GWAS_OUT} FROM st")
+def q5g(t):
+    return _gwas_out(AS.linear_gwas(t.geno(), trait_gaps(t), covariates(t)))
+
+
+@query("q5_linear_gwas_filters", f"""
+    WITH {_gap_sql(_TRAIT_GAPS, _TRAIT_PAIRS)}, counts_of AS (SELECT variant_id, count(*) FILTER (dosage = 0) AS hom_ref, count(*) FILTER (dosage = 1) AS het,
+        count(*) FILTER (dosage = 2) AS hom_alt, count(dosage) AS m FROM geno GROUP BY variant_id), {EXACT_HWE}
+    {_GWAS_OUT} FROM st WHERE maf >= 0.4 AND variant_id IN (SELECT variant_id FROM counts_of WHERE 1 - m / {COHORT}.0 <= 0.5)
+        AND variant_id IN (SELECT variant_id FROM plain WHERE p_hwe >= 0.2)""")
+def q5f(t):
+    return _gwas_out(AS.linear_gwas(t.geno(), trait_gaps(t), covariates(t), maf=0.4, missing=0.5, hwe=0.2))
+
+
 def leads(t):
     best = D.top_hit(t.assoc().select("gene_id", "variant_id", "p_value"), "variant_id", keys=("gene_id",))
     return best.select(F.col("gene_id").alias("feature_id"), "variant_id")

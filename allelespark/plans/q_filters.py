@@ -30,6 +30,7 @@ _MIDP = """hw AS (SELECT variant_id, het, hom_ref + het + hom_alt AS m, 2 * leas
     ho AS (SELECT *, max(CASE WHEN own THEN w END) OVER (PARTITION BY variant_id) AS o FROM hp),
     midp AS (SELECT variant_id, CASE WHEN max(m) = 0 THEN 1 ELSE least(1, sum(CASE WHEN w < o * (1 - 1e-7) THEN w WHEN w <= o * (1 + 1e-7) THEN w / 2 ELSE 0 END)) END AS p_hwe
              FROM ho GROUP BY variant_id)"""
+EXACT_HWE = _MIDP.replace("midp AS", "plain AS").replace("WHEN w < o * (1 - 1e-7) THEN w WHEN w <= o * (1 + 1e-7) THEN w / 2 ELSE 0", "WHEN w <= o * (1 + 1e-7) THEN w ELSE 0")
 _CALLED = f"""gs AS (SELECT sample_id FROM geno GROUP BY sample_id
                 HAVING count(*) FILTER (dosage IS NULL) * 1.0 / count(*) <= 0.0435),
     kept AS (SELECT * FROM geno WHERE sample_id IN (SELECT sample_id FROM gs)),

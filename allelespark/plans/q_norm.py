@@ -163,6 +163,16 @@ def m13c(t):
     return rnd(V.remove_effects(t.pheno(), both), "value")
 
 
+@query("m13_remove_gaps", """
+    WITH c AS (SELECT sample_id, coalesce(CAST(value AS DOUBLE), avg(CAST(value AS DOUBLE)) OVER ()) AS r FROM covlong WHERE covariate = 'rin'),
+    s AS (SELECT feature_id, regr_slope(value, r) AS b FROM pheno_na p JOIN c ON c.sample_id = p.sample_id GROUP BY feature_id)
+    SELECT p.feature_id, p.sample_id, round(value - b * r, 6) AS value FROM pheno_na p JOIN c ON c.sample_id = p.sample_id JOIN s ON s.feature_id = p.feature_id""")
+def m13g(t):
+    """Cells and a covariate with gaps: the covariate takes its mean, each feature is fitted on the cells it has."""
+    cov = t.covlong().where("covariate = 'rin'").withColumn("value", F.col("value").cast("double"))
+    return rnd(V.remove_effects(t.pheno_na(), cov), "value")
+
+
 @query("m14_one_hot", """
     SELECT 'batch_b' || CAST(l AS VARCHAR) AS covariate, sample_id, CASE WHEN batch = l THEN 1 ELSE 0 END AS value
     FROM covar, (SELECT DISTINCT batch AS l FROM covar) WHERE l > (SELECT min(batch) FROM covar)
@@ -239,6 +249,20 @@ def m21(t):
     return rnd(PR.prepare_phenotypes(shifted(t.pheno_na(), 3), t.geno(), "log2", batch_dummies(t)), "value")
 
 
+@query("m21_prepare_phenotypes_gaps", """
+    WITH al AS (SELECT feature_id, sample_id + 3 AS sample_id, value FROM pheno_na WHERE sample_id + 3 IN (SELECT sample_id FROM geno)
+                AND sample_id + 3 IN (SELECT sample_id FROM covar)),
+    va AS (SELECT * FROM al WHERE feature_id IN (SELECT feature_id FROM al GROUP BY feature_id
+             HAVING min(value) < max(value) AND count(DISTINCT value) * 1.0 / count(*) > 1 - 0.95
+                AND count(*) FILTER (value IS NULL) * 1.0 / count(*) <= 0.2 AND 100.0 * count(*) FILTER (value < 0.1) / count(*) <= 10)),
+    lg AS (SELECT feature_id, v.sample_id, log2(value + 1) AS value, batch,
+                  count(*) FILTER (value IS NULL) OVER (PARTITION BY feature_id) AS gaps FROM va v JOIN covar c ON c.sample_id = v.sample_id),
+    lm AS (SELECT *, avg(value) OVER (PARTITION BY feature_id, batch) AS lm, (SELECT min(batch) FROM lg) AS b0 FROM lg)
+    SELECT feature_id, CAST(sample_id AS VARCHAR) AS sample_id, round(value - (lm - max(CASE WHEN batch = b0 THEN lm END) OVER (PARTITION BY feature_id)), 6) AS value FROM lm""")
+def m21gaps(t):
+    return rnd(PR.prepare_phenotypes(shifted(t.pheno_na(), 3), t.geno(), "log2", batch_dummies(t), gaps="fit"), "value")
+
+
 @query("m21_enhanced_covariates")
 def m21b(t):
     return PR.enhanced_covariates(t.pheno(), t.covlong(), 5)

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from allelespark.operators import qc as Q
-from allelespark.plans.q_filters import _CT, _MIDP, _VS, customer_traits
+from allelespark.plans.q_filters import _CT, _MIDP, _VS, EXACT_HWE, customer_traits
 from allelespark.plans.q_joins import shifted
 from allelespark.plans.registry import query
 
@@ -69,6 +69,11 @@ def a4x(t):
     return rnd(out.withColumn("chi2", F.when(called, F.round("chi2", 6))), "p_hwe")
 
 
+@query("a4_hwe_plain", f"WITH counts_of AS (SELECT * FROM (WITH {_CHI})), {EXACT_HWE} SELECT variant_id, round(p_hwe, 6) AS p_hwe FROM plain")
+def a4p(t):
+    return rnd(Q.hwe(t.geno(), midp=False).select("variant_id", "p_hwe"), "p_hwe")
+
+
 @query("a4_hwe_summary", f"""{_EXACT} SELECT count(*) FILTER (p_hwe < 0.01) AS violations, count(*) AS total_variants,
     count(*) FILTER (p_hwe < 0.01) / count(*) AS violation_rate FROM midp""")
 def a4s(t):
