@@ -118,9 +118,14 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 
 def cutoffs(feats: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(stratum, cutoff, p_value, n_good) for each stratum with a certified cutoff."""
+    """(stratum, cutoff, p_value, n_good) for each stratum with a certified cutoff.
+
+    A label is one trial, however many rows its doc_id has: of these, the one with the least hash of its counters stands for it.
+    """
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     held = feats.where(~F.col("base_failed")).join(known, "doc_id")
+    row = F.struct(F.xxhash64(*[c for c in feats.columns if c != "doc_id"]).alias("h"), "stratum", "score")
+    held = held.groupBy("doc_id", "quality").agg(F.min(row).alias("r")).select("quality", "r.stratum", "r.score")
     good = F.col("quality") > 0
     at = held.groupBy("stratum", "score").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
     grid = staged(at, "quality-grid")
