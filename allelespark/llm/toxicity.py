@@ -147,7 +147,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, buckets: int = BUCKETS) -> Model:
-    """Train on labelled rows that aren't held out, at most ``train_rows`` of them."""
+    """Train on labelled documents that aren't held out, at most ``train_rows`` of them; of rows with one doc_id, on that with the least text hash."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic"))
     known = known.where(~held_out()).join(docs.select("doc_id").distinct(), "doc_id")
     counts = {r[0]: r[1] for r in known.groupBy("_toxic").count().collect()}
@@ -165,6 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, bucket
         return doc_id, int(toxic != 0), at.tobytes(), w.tobytes()
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most train_rows ids
+    rows = rows.groupBy("doc_id", "_toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one row of each
     got = per_row(rows, ["doc_id", "text", "_toxic"], "doc_id long, toxic int, at binary, w binary", features).toArrow()
     order, bags = np.argsort(got.column("doc_id").to_numpy(), kind="stable"), []
     for at, w in zip(got.column("at"), got.column("w")):  # views of what came, not copies
