@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from allelespark.operators.blocks import spread
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -63,3 +65,20 @@ def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 def word_count(text: str = "text") -> Column:
     """Number of words of a text, 0 for null, without building them."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+HASHES = ["_h1", "_h2"]
+
+
+def content_hash(df: DataFrame) -> list[Column]:
+    """128 bits of hash of the whole row, in which nulls count, as ``HASHES``."""
+    parts = [part for c in df.columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast("string"))]
+    return [F.xxhash64(F.lit(i), *parts).alias(name) for i, name in enumerate(HASHES)]
+
+
+def repeated(once: DataFrame, times: str, run: int = 4096) -> DataFrame:
+    """Each row ``times`` times with its ``turn``; runs of turns are dealt out before they are unrolled."""
+    runs = once.where(F.col(times) > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / run))).alias("run"))
+    first = F.col("run") * run
+    last = F.least(first + run, F.col(times)) - 1
+    return spread(runs, *HASHES, "run").select("*", F.explode(F.sequence(first, last)).alias("turn"))

@@ -9,17 +9,17 @@ rows is cut into ranges like any other, since ranges are on (source, key); offse
 table of sources is ranked and summed by the same ranges, so nothing needs few sources.
 
 Defined cases: null text has size 0; a null source is a source of its own, last in order; a source of size 0 has target 0;
-ties of key fall back on doc_id and text hash, rows equal in all of these are interchangeable; an empty table gives no rows;
-other columns are ignored by ``plan`` and kept by ``mixed``.
+ties of key fall back on doc_id and a hash of the whole row, equal rows are interchangeable; an empty table gives no rows; other
+columns are ignored by ``plan`` and kept by ``mixed``, whatever their names.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from allelespark.llm.common import WORD, staged, word_count
+from allelespark.llm.common import HASHES, WORD, content_hash, repeated, staged, word_count
 from allelespark.operators.ordered import columns_of, ordered
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -28,10 +28,6 @@ MOST_EPOCHS = 2.0
 SEED = "mix-1"
 
 
-def row_key() -> Column:
-    return F.xxhash64("doc_id", "source", "text")
-
-
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS) -> DataFrame:
     """(source, source_size) with its number in code-point order ``k`` and its ``target``.
 
@@ -53,35 +49,55 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 def plan(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS, seed: str = SEED
 ) -> DataFrame:
-    """One row per document row: doc_id, source, size, source_size, target, taken, row_key."""
+    """One row per document row: doc_id, source, size, source_size, target, taken, and the row's hash."""
     key = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")), 1, 16)
-    base = staged(docs.select("doc_id", "source", word_count().alias("size"), key.alias("_key"), row_key().alias("row_key")), "mix-base")
+    base = staged(docs.select("doc_id", "source", word_count().alias("size"), key.alias("_key"), *content_hash(docs)), "mix-base")
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = staged(targets(sizes, weights, share, most), "mix-goals").withColumnRenamed("source", "_source")
     rows = base.join(goal.select("_source", "k"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    placed = ordered(rows, ["k"], [F.col("_key"), F.col("doc_id"), F.col("row_key")], {"before": F.col("size")}, "_rank")
+    placed = ordered(rows, ["k"], [F.col("_key"), F.col("doc_id"), *[F.col(h) for h in HASHES]], {"before": F.col("size")}, "_rank")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.floor("target") - whole * F.col("source_size") - F.col("before").cast("long")
     taken = whole * F.col("size") + F.least(F.greatest(rest, F.lit(0).cast("long")), F.col("size"))
     return placed.join(goal.select("k", "source_size", "target"), "k").select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "row_key"
+        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *HASHES
     )
 
 
+#: Rows that are equal in everything and more than this, or than a millionth of all rows, travel once with their count.
+MOST_EQUAL = 1000
+
+
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mix itself with the columns of ``docs``: a row for each whole time a document is taken; the one document of each
     source that the budget cuts keeps the words before the cut (and its ``n_chars``, if there, is theirs).
 
-    Equal rows are all taken like the most taken of them.
+    What equal rows are taken for is added up, whole times and the words of the cut apart, and given out by one of them, so the mix
+    has the words of the plan.  Many equal rows are sifted by a broadcast list of their hashes (at most a million by its own bound)
+    before the join, and unrolled again in runs.
     """
-    part = plan(docs, weights, share, most, seed).where("taken > 0").groupBy("row_key").agg(F.max("taken").alias("_taken"), F.max("size").alias("_size"))
-    rows = docs.withColumn("row_key", row_key()).join(part, "row_key")
-    whole = F.floor(F.col("_taken") / F.col("_size")).cast("int")
-    left = (F.col("_taken") % F.col("_size")).cast("int")
-    times = F.concat(F.array_repeat(F.lit(-1), whole), F.when(left > 0, F.array(left)).otherwise(F.array().cast("array<int>")))
-    out = rows.withColumn("_cut", F.explode(times))
-    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.greatest("_cut", F.lit(1))))
-    out = out.withColumn("text", F.when(F.col("_cut") < 0, F.col("text")).otherwise(cut))
+    size = F.greatest("size", F.lit(1))
+    takes = plan(docs, weights, share, most, seed).groupBy(*HASHES).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.floor(F.col("taken") / size)).alias("times"), F.sum(F.col("taken") % size).cast("int").alias("cut")
+    )
+    takes = staged(takes, "mix-takes")
+    n = takes.agg(F.sum("rows")).first()[0] or 0
+    many = F.col("rows") > max(MOST_EQUAL, n // 1_000_000)
+    heavy = F.broadcast(takes.where(many).select(*HASHES))
+    takes = takes.where("times > 0 OR cut > 0")
+    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")
+    rows = docs.select(*content_hash(docs), record)
+    light = rows.join(heavy, HASHES, "left_anti").join(takes.where(~many), HASHES)
+    one = F.row_number().over(Window.partitionBy(*HASHES).orderBy(F.lit(0)))  # of at most MOST_EQUAL or a millionth
+    cuts = F.concat(F.array_repeat(F.lit(-1), F.col("times").cast("int")), F.when(F.col("cut") > 0, F.array("cut")).otherwise(F.array().cast("array<int>")))
+    few = light.withColumn("one", one).where("one = 1").select("record", F.explode(cuts).alias("cut"))
+    single = rows.join(heavy, HASHES, "left_semi").groupBy(*HASHES).agg(F.first("record").alias("record")).join(takes.where(many), HASHES)
+    whole = repeated(single, "times").select("record", F.lit(-1).alias("cut"))
+    out = few.union(whole).union(single.where("cut > 0").select("record", "cut"))
+    field = lambda c: F.col("record").getField(c)
+    kept = F.concat_ws(" ", F.slice(F.regexp_extract_all(field("text"), F.lit(WORD), F.lit(0)), F.lit(1), F.greatest("cut", F.lit(1))))
+    text = F.when(F.col("cut") < 0, field("text")).otherwise(kept)
+    new = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut") < 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("cut") < 0, field("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, field(c)).alias(c) for c in docs.columns])

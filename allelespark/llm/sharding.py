@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from allelespark.llm.common import shared_folder, staged
+from allelespark.llm.common import HASHES, content_hash, repeated, shared_folder, staged
 from allelespark.operators.blocks import spread
 from allelespark.operators.ordered import ordered
 
@@ -37,9 +37,6 @@ BUCKET_BYTES = 32 << 20
 #: Buckets are at least this many for each shard, so that small tables use all machines.
 BUCKETS_PER_SHARD = 8
 MOST_HEAVY = 1_000_000
-#: Repeats of one row that a task unrolls at a time.
-RUN = 4096
-HASHES = ["_h1", "_h2"]
 
 
 def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
@@ -54,16 +51,10 @@ def size(text: str = "text") -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 16
 
 
-def _content(docs: DataFrame) -> list[Column]:
-    """128 bits of hash of the whole row, in which nulls count."""
-    parts = [part for c in docs.columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast("string"))]
-    return [F.xxhash64(F.lit(i), *parts).alias(name) for i, name in enumerate(HASHES)]
-
-
 def scattered(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
     """(key, bucket, record) for every row, not shuffled yet, and (bucket, n, start): rows in the bucket and before it."""
     record = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")
-    narrow = staged(docs.select(*_content(docs), size().alias("size")), "shuffle-sizes")
+    narrow = staged(docs.select(*content_hash(docs), size().alias("size")), "shuffle-sizes")
     total = narrow.agg(F.sum("size")).first()[0] or 0
     buckets = max(-(-total // bucket_bytes), BUCKETS_PER_SHARD * shards)
     most = max(bucket_bytes // 8, total // MOST_HEAVY)
@@ -71,22 +62,14 @@ def scattered(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_by
     repeats = staged(repeats.where((F.col("bytes") > most) & (F.col("times") > 1)).drop("bytes"), "shuffle-repeats")
     heavy = F.broadcast(repeats)  # under total / most rows, so MOST_HEAVY at most
     single = lambda df: _keyed(df.join(heavy.select(*HASHES), HASHES, "left_anti"), seed, buckets)
-    rows = docs.select(*_content(docs), record)
+    rows = docs.select(*content_hash(docs), record)
     once = rows.join(heavy, HASHES, "left_semi").groupBy(*HASHES).agg(F.first("record").alias("record")).join(heavy, HASHES)
-    counts = single(narrow).select("bucket").union(_keyed(_repeated(repeats), seed, buckets).select("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = single(narrow).select("bucket").union(_keyed(repeated(repeats, "times"), seed, buckets).select("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     starts = ordered(staged(counts, "shuffle-counts"), [], [F.col("bucket")], {"start": F.col("n")}, "_turn")
-    every = single(rows).select("key", "bucket", "record").union(_keyed(_repeated(once), seed, buckets).select("key", "bucket", "record"))
+    every = single(rows).select("key", "bucket", "record").union(_keyed(repeated(once, "times"), seed, buckets).select("key", "bucket", "record"))
     return every, staged(starts.select("bucket", "n", F.col("start").cast("long").alias("start")), "shuffle-starts")
 
 
-def _repeated(once: DataFrame) -> DataFrame:
-    """Each row ``times`` times with its ``turn``; the runs of ``RUN`` turns are dealt out before they are unrolled."""
-    runs = once.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / RUN))).alias("run"))
-    first = F.col("run") * RUN
-    last = F.least(first + RUN, "times") - 1
-    return spread(runs, *HASHES, "run").select("*", F.explode(F.sequence(first, last)).alias("turn"))
-
-
 def _keyed(rows: DataFrame, seed: int, buckets: int) -> DataFrame:
     turn = [F.col("turn")] if "turn" in rows.columns else []
     key = F.xxhash64(F.lit(seed), *HASHES, *turn)
