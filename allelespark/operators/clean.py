@@ -158,8 +158,8 @@ def drop_uncalled_sites(df: DataFrame, keys: Sequence[str] = ("variant_id",)) ->
     return df.join(seen, list(keys), "left_semi")
 
 
-def hover_text() -> Column:
-    """Label lines joined by ``<br>``; missing statistics are left out."""
+def hover_text(r2: str | None = None) -> Column:
+    """Label lines joined by ``<br>``; missing statistics are left out.  ``r2`` may name a column with the linkage to the lead variant."""
 
     def part(label: str, fmt: str, name: str) -> Column:
         return F.when(F.col(name).isNotNull(), F.format_string(f"{label}: {fmt}", F.col(name)))
@@ -173,6 +173,7 @@ def hover_text() -> Column:
         part("Beta", "%.3f", "beta"),
         part("SE", "%.3f", "se"),
         part("MAF", "%.3f", "maf"),
+        *([part("R²", "%.3f", r2)] if r2 else []),
     )
 
 

@@ -5,15 +5,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelespark.operators.blocks import spread
 from allelespark.operators.normalize import fill_by_sample
-from allelespark.operators.ordered import columns_of, scalars, with_group_stats
+from allelespark.operators.ordered import columns_of, with_group_stats
 from allelespark.operators.patterns import Fits, dot, solved
 from allelespark.session import materialize
 
@@ -135,40 +132,95 @@ def dense(idx: Sequence, val: Sequence, n: int) -> np.ndarray:
     return out
 
 
-def dense_vectors(packed: DataFrame, key: str, n: int) -> DataFrame:
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _gram(df: DataFrame, column: Column, m: int) -> np.ndarray:
+    """Sum over rows of the outer product of an array column of length ``m``: one matrix per task, added up row by row."""
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((m, m))
+        for b in batches:
+            if len(b):
+                x = np.stack(b["v"].to_list())
+                total += x.T @ x
+        yield pd.DataFrame({"i": np.arange(m), "row": list(total)})
+
+    parts = df.select(column.alias("v")).mapInPandas(part, "i int, row array<double>")
+    rows = parts.groupBy("i").agg(F.array(*[F.sum(F.element_at("row", j + 1)) for j in range(m)]).alias("row")).toPandas().sort_values("i")
+    return np.array(rows["row"].to_list()).reshape(m, m)
+
+
+def _times(df: DataFrame, key: str, column: Column, matrix: np.ndarray, out: str) -> DataFrame:
+    """(key, out): each row's array times a small matrix."""
+
+    def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({key: b[key], "row": list(dense(b["idx"], b["val"], n))})
+            x = np.stack(b["v"].to_list()) @ matrix if len(b) else np.zeros((0, matrix.shape[1]))
+            yield pd.DataFrame({key: b[key], out: list(x)})
 
-    kind = packed.schema[key].dataType.simpleString()
-    return packed.select(key, "idx", "val").mapInPandas(fill, f"{key} {kind}, row array<double>")
+    return df.select(key, column.alias("v")).mapInPandas(product, f"{key} {df.schema[key].dataType.simpleString()}, {out} array<double>")
 
 
-def principal_components(scaled: DataFrame, k: int, key: str = "feature_id") -> DataFrame:
+def principal_components(scaled: DataFrame, k: int, key: str = "feature_id", extra: int = 8, steps: int = 12, tol: float = 1e-8) -> DataFrame:
     """Sample scores of the top components: (component, sample_id, score, explained).
 
-    ``scaled`` holds rows centred over samples (absent cells count as 0).  The distributed row
-    matrix computes its right singular vectors; only samples x k numbers come back.  Signs are
-    fixed so that the largest loading is positive.
+    ``scaled`` holds rows centred over samples (absent cells count as 0).  A random block of ``k + extra`` vectors is multiplied by the
+    matrix and its transpose again and again; the blocks, made orthogonal, span a space in which the components are found (Rayleigh-Ritz).
+    Samples and features stay rows of DataFrames: products are joins with the cells and sums, and only cross-products of the basis,
+    some hundred numbers squared, visit the driver.  It ends when the eigen equation holds to ``tol`` of the largest eigenvalue, when the
+    space is exhausted, or after ``steps`` blocks.  Signs are fixed so that the largest loading is positive.
     """
-    spark = scaled.sparkSession
-    index = materialize(sample_index(scaled))
-    n = index.count()
-    # the solver and the trace both read the packed matrix, so it is computed once
-    packed = materialize(packed_rows(scaled, index, key))
-    vectors = dense_vectors(packed, key, n).select(array_to_vector("row").alias("row"))
-    rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "row"))
-    k = min(k, n)
-    svd = rows.computeSVD(k, computeU=False)
-    s, v = np.array(svd.s.toArray()), np.array(svd.V.toArray())
-    v = v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
-    (total,) = scalars(packed, F.sum(dot(F.col("val"), F.col("val"))).alias("_t"))
-    long = pd.DataFrame({
-        "component": np.repeat(np.arange(1, len(s) + 1), n), "idx": np.tile(np.arange(n), len(s)),
-        "score": (v * s).T.ravel(), "_s2": np.repeat(s * s, n),
-    })
-    table = spark.createDataFrame(long, "component int, idx int, score double, _s2 double")
-    return table.join(index, "idx").select("component", "sample_id", "score", (F.col("_s2") / total).alias("explained"))
+    cells = materialize(scaled.where(F.col("value").isNotNull()).select(key, "sample_id", "value"))
+    samples = cells.select("sample_id").distinct()
+    n = samples.count()
+    width = min(n, k + extra)
+    if not width:
+        return cells.sparkSession.createDataFrame([], f"component int, sample_id {scaled.schema['sample_id'].dataType.simpleString()}, score double, explained double")
+    total = cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0] or 0.0
+
+    def applied(by: str, to: str, vectors: DataFrame, column: Column, m: int) -> DataFrame:
+        rows = cells.join(vectors.select(by, column.alias("_v")), by)
+        return rows.groupBy(to).agg(F.array(*[F.sum(F.col("value") * F.element_at("_v", j + 1)) for j in range(m)]).alias("z"))
+
+    noise = F.array(*[F.xxhash64(F.lit(j), F.col("sample_id").cast("string")) / 2.0**63 for j in range(width)])
+    state = materialize(samples.select("sample_id", F.array().cast("array<double>").alias("b"), noise.alias("z")))  # basis and next block
+    image = None  # (key, w): the matrix times the basis
+    size, ritz, values = 0, None, np.zeros(0)
+    for step in range(steps):
+        grams = _gram(state, F.concat("b", "z"), size + width)
+        s_bb, s_bz, s_zz = grams[:size, :size], grams[:size, size:], grams[size:, size:]
+        along = np.linalg.solve(s_bb, s_bz) if size else s_bz
+        rest = s_zz - s_bz.T @ along
+        spread_, turn = np.linalg.eigh((rest + rest.T) / 2)
+        if size:
+            last = ritz[size - width_before :, :k]
+            left = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", last, rest, last), 0))
+            if (left <= tol * values[0]).all():
+                break
+        use = spread_ > 1e-13 * max(np.diag(s_zz).max(), 1e-300)
+        fresh = int(use.sum())
+        if not fresh:
+            break
+        change = turn[:, use] / np.sqrt(spread_[use])
+        combine = np.vstack([-along @ change, change])
+        block = materialize(_times(state, "sample_id", F.concat("b", "z"), combine, "x"))
+        basis = state.join(block, "sample_id").select("sample_id", F.concat("b", "x").alias("b"))
+        new = applied("sample_id", key, block, F.col("x"), fresh)
+        image = new.withColumnRenamed("z", "w") if image is None else image.join(new, key).select(key, F.concat("w", "z").alias("w"))
+        image = materialize(image)
+        size, width_before = size + fresh, fresh
+        h = _gram(image, F.col("w"), size)
+        values, ritz = np.linalg.eigh((h + h.T) / 2)
+        values, ritz = values[::-1], ritz[:, ::-1]
+        back = applied(key, "sample_id", image, F.slice("w", size - fresh + 1, fresh), fresh)
+        state, width = materialize(basis.join(back, "sample_id").select("sample_id", "b", "z")), fresh
+    k = int(min(k, (values[:k] > 1e-12 * max(values.max(initial=0.0), 1e-300)).sum()))
+    if not k:
+        return cells.sparkSession.createDataFrame([], f"component int, sample_id {scaled.schema['sample_id'].dataType.simpleString()}, score double, explained double")
+    found = materialize(_times(state, "sample_id", F.col("b"), ritz[:, :k], "v"))
+    at = lambda j: F.element_at("v", j + 1)
+    largest = found.agg(*[F.max_by(at(j), F.struct(F.round(F.abs(at(j)), 9), "sample_id")).alias(f"c{j}") for j in range(k)]).first()
+    sign = [1.0 if x >= 0 else -1.0 for x in largest]
+    scale = F.array(*[F.struct(F.lit(j + 1).alias("component"), (at(j) * sign[j] * float(np.sqrt(values[j]))).alias("score"), F.lit(float(values[j] / total)).alias("explained")) for j in range(k)])
+    return found.select("sample_id", F.inline(scale)).select("component", "sample_id", "score", "explained")
 
 
 def scale_features(df: DataFrame) -> DataFrame:
@@ -182,8 +234,8 @@ def scale_features(df: DataFrame) -> DataFrame:
 
 
 def phenotype_pcs(df: DataFrame, k: int = 10) -> DataFrame:
-    size = df.agg(F.count_distinct("feature_id").alias("f"), F.count_distinct("sample_id").alias("s")).first()
-    return principal_components(scale_features(df), max(1, min(k, size["f"], size["s"] - 1)))
+    """PCs of the scaled features, as many as there are up to ``k``."""
+    return principal_components(scale_features(df), k)
 
 
 def genotype_pcs(geno: DataFrame, k: int = 10) -> DataFrame:

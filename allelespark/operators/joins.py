@@ -168,12 +168,15 @@ def graph_nodes(assoc: DataFrame) -> DataFrame:
 
 
 def graph_edges(assoc: DataFrame) -> DataFrame:
+    """Variant to gene: strength and line width, with the effect (0 where the table has none) and the p-value."""
     strength = -F.log10("p_value")
+    beta = F.coalesce(F.col("beta"), F.lit(0.0)) if "beta" in assoc.columns else F.lit(0.0)
     return assoc.select(
         F.col("variant_id").cast("string").alias("source"),
         F.col("gene_id").cast("string").alias("target"),
         strength.alias("value"),
         F.greatest(F.lit(1.0), F.least(F.lit(10.0), strength / 2)).alias("width"),
+        beta.alias("beta"), "p_value",
     )
 
 

@@ -53,8 +53,8 @@ def _join_pieces(rows: DataFrame, pieces: DataFrame, grp: list[str]) -> DataFram
     return rows.join(other, on).drop(*[f"_j{c}" for c in names])
 
 
-def pi0(df: DataFrame, p: str = "p_value", at: float | None = None, min_tests: int = 300) -> Column:
-    """Share of true nulls: at one lambda, or a natural spline through the lambda grid.
+def pi0(df: DataFrame, p: str = "p_value", at: float | None = None) -> Column:
+    """Share of true nulls: at the lambda ``at``, or without it by a natural spline through the lambda grid, whatever the number of tests.
 
     The grid is one aggregate of 19 counts; only those reach the driver.
     """
@@ -65,8 +65,8 @@ def pi0(df: DataFrame, p: str = "p_value", at: float | None = None, min_tests: i
     grid = np.round(np.arange(0.05, 1.0, 0.05), 2)
     row = good.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(p) > float(v)).alias(f"c{i}") for i, v in enumerate(grid)]).first()
     n = row["n"]
-    if n < min_tests:
-        return F.lit(min(1.0, row["c9"] / max(n, 1) / 0.5))
+    if not n:
+        return F.lit(1.0)
     y = np.array([row[f"c{i}"] for i in range(len(grid))]) / n / (1 - grid)
     # natural cubic spline with knots at the ends and the middle (three degrees of freedom)
     k = np.array([grid[0], grid[len(grid) // 2], grid[-1]])

@@ -101,6 +101,8 @@ def with_views(sql: str) -> str:
     visit(sql)
     ctes = [f"{n} AS ({VIEWS[n]})" for n in need]
     body = sql.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ", ".join([*ctes, body[15:]])
     if body[:5].upper() == "WITH ":
         return "WITH " + ", ".join([*ctes, body[5:]]) if ctes else body
     return ("WITH " + ", ".join(ctes) + " " if ctes else "") + body

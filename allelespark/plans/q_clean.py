@@ -236,6 +236,19 @@ def p16(t):
     return raw.select("phenotype", "variant_id", C.hover_text().alias("label"))
 
 
+@query("p16_hover_text_r2", """
+    SELECT gene_id, variant_id, 'Variant: ' || CAST(variant_id AS VARCHAR) || '<br>Position: ' || format('{:,}', variant_id * 10000)
+           || '<br>Beta: ' || printf('%.3f', beta) || '<br>SE: ' || printf('%.3f', se)
+           || CASE WHEN variant_id % 3 = 0 THEN '' ELSE '<br>R²: ' || printf('%.3f', (variant_id % 89 + 1) / 101.0) END AS label FROM assoc""")
+def p16r(t):
+    v = F.col("variant_id")
+    raw = t.assoc().select(
+        "gene_id", "variant_id", (v * 10000).alias("position"), "beta", "se", F.when(v % 3 != 0, (v % 89 + 1) / 101.0).alias("linkage"),
+        *[F.lit(None).cast("double").alias(c) for c in ("p_value", "log10p", "maf")],
+    )
+    return raw.select("gene_id", "variant_id", C.hover_text("linkage").alias("label"))
+
+
 @query("p17_significance", """
     SELECT gene_id, variant_id, mode,
            CASE WHEN p_value <= (CASE WHEN mode = 'trans' THEN 1e-10 ELSE 5e-8 END) THEN 'significant'

@@ -154,10 +154,18 @@ def j14(t):
            round(-log10(p_value), 6) AS value, round(greatest(1, least(10, -log10(p_value) / 2)), 6) AS width
     FROM assoc WHERE p_value < 1e-5""")
 def j15(t):
-    e = J.graph_edges(t.assoc().where("p_value < 1e-5"))
+    e = J.graph_edges(t.assoc().where("p_value < 1e-5")).select("source", "target", "value", "width")
     return e.withColumns({c: F.round(c, 6) for c in ("value", "width")})
 
 
+@query("j15_edge_statistics", """
+    SELECT CAST(variant_id AS VARCHAR) AS source, CAST(gene_id AS VARCHAR) AS target, round(greatest(1, least(10, -log10(p_value) / 2)), 6) AS width,
+           round(beta, 6) AS beta, p_value FROM assoc WHERE p_value < 1e-5""")
+def j15s(t):
+    e = J.graph_edges(t.assoc().where("p_value < 1e-5")).select("source", "target", "width", "beta", "p_value")
+    return e.withColumns({c: F.round(c, 6) for c in ("width", "beta")})
+
+
 @query("u1_common_samples", """
     SELECT sample_id FROM geno INTERSECT SELECT sample_id + 3 FROM pheno INTERSECT SELECT sample_id + 7 FROM covar""")
 def u1(t):

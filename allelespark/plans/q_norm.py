@@ -202,6 +202,50 @@ def m17(t):
     return V.phenotype_pcs(t.pheno_na(), 5)
 
 
+def _top_pcs(cells: str) -> str:
+    """The first two components of ``cells`` (feature, sample_id, z): the matrix of sample products is squared 24 times, then deflated."""
+    dot = "list_dot_product"
+    square = f"list_transform(m, lambda a: list_transform(m, lambda b: {dot}(a, b)))"
+
+    def lead(tag: str, source: str) -> str:
+        return f"""{tag}p(n, m) AS (SELECT 0, m FROM {source} UNION ALL SELECT n + 1, list_transform(q, lambda a: list_transform(a, lambda x: x / t))
+              FROM (SELECT n, q, sqrt(list_sum(list_transform(q, lambda c: {dot}(c, c)))) AS t FROM (SELECT n, {square} AS q FROM {tag}p WHERE n < 24))),
+            {tag}r AS (SELECT c FROM (SELECT unnest(m) AS c FROM {tag}p WHERE n = 24) ORDER BY {dot}(c, c) DESC LIMIT 1),
+            {tag}u AS (SELECT list_transform(c, lambda x: x / sqrt({dot}(c, c))) AS v FROM {tag}r),
+            {tag}v AS (SELECT v, {dot}(v, list_transform(m, lambda a: {dot}(a, v))) AS l FROM {tag}u, {source})"""
+
+    return f"""WITH RECURSIVE z AS ({cells}),
+        g AS (SELECT a.sample_id AS i, b.sample_id AS j, sum(a.z * b.z) AS s FROM z a JOIN z b ON a.feature = b.feature GROUP BY 1, 2),
+        ids AS (SELECT list(i ORDER BY i) AS ids FROM (SELECT DISTINCT i FROM g)), tr AS (SELECT sum(s) AS tr FROM g WHERE i = j),
+        m0 AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(s ORDER BY j) AS r FROM
+               (SELECT x.i, y.i AS j, coalesce(s, 0) AS s FROM (SELECT DISTINCT i FROM g) x CROSS JOIN (SELECT DISTINCT i FROM g) y
+                LEFT JOIN g ON g.i = x.i AND g.j = y.i) GROUP BY i)),
+        {lead("a", "m0")},
+        m1 AS (SELECT list_transform(m, lambda a, i: list_transform(a, lambda x, j: x - l * v[i] * v[j])) AS m FROM m0, av),
+        {lead("b", "m1")},
+        duo AS (SELECT 1 AS component, v, l FROM av UNION ALL SELECT 2, v, l FROM bv),
+        flat AS (SELECT component, l, unnest(ids) AS sample_id, unnest(v) AS x FROM duo, ids),
+        sg AS (SELECT *, CASE WHEN max(x) OVER w > -min(x) OVER w THEN 1 ELSE -1 END AS sign FROM flat WINDOW w AS (PARTITION BY component))
+        SELECT component, sample_id, round(x * sign * sqrt(l), 5) AS score, round(l / tr, 6) AS explained FROM sg, tr"""
+
+
+def _top_two(pcs):
+    return rnd(rnd(pcs.where("component <= 2"), "score", digits=5), "explained")
+
+
+@query("m17_phenotype_pcs_top", _top_pcs("""
+    SELECT feature_id AS feature, sample_id, (value - avg(value) OVER w) / stddev_pop(value) OVER w AS z FROM pheno WINDOW w AS (PARTITION BY feature_id)"""))
+def m17t(t):
+    return _top_two(V.phenotype_pcs(t.pheno(), 10))
+
+
+@query("m18_genotype_pcs_top", _top_pcs("""
+    SELECT variant_id AS feature, sample_id, (dosage - m) / sqrt(m * (1 - m / 2)) AS z
+    FROM (SELECT *, avg(dosage) OVER (PARTITION BY variant_id) AS m FROM geno WHERE dosage IS NOT NULL) WHERE m > 0 AND m < 2"""))
+def m18t(t):
+    return _top_two(V.genotype_pcs(t.geno(), 10))
+
+
 @query("m18_genotype_pcs")
 def m18(t):
     return V.genotype_pcs(t.geno(), 10)

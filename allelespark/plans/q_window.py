@@ -1,6 +1,7 @@
 """Registered queries: ranking windows (W) and fine-mapping (Q10-Q13, A36)."""
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from allelespark.operators import display as D
@@ -43,7 +44,20 @@ def w2(t):
     return rnd(MT.qvalues(t.assoc(), lam=0.5).select("gene_id", "variant_id", "qval"), "qval")
 
 
-@query("w2_qvalue_threshold")
+def _spline_sql() -> str:
+    """The natural spline's value at 0.95 is a fixed weighting of the shares above the grid's lambdas."""
+    x = np.arange(1, 20) / 20
+    d = lambda c: (np.clip(x - c, 0, None) ** 3 - np.clip(x - x[-1], 0, None) ** 3) / (x[-1] - c)
+    basis = np.stack([np.ones(19), x, d(x[0]) - d(x[9])], axis=1)
+    weights = basis[-1] @ np.linalg.pinv(basis)
+    parts = " + ".join(f"({w!r}) * count(*) FILTER (p_value > {l:.2f}) / count(*) / {1 - l:.2f}" for w, l in zip(weights.tolist(), x.tolist()))
+    return f"SELECT least(1, greatest({parts}, 1.0 / count(*))) AS pi0 FROM assoc"
+
+
+@query("w2_qvalue_threshold", f"""
+    WITH a AS (SELECT 1 AS g, * FROM assoc), b AS ({_BH.format(g='g', src='a')}), z AS ({_spline_sql()}),
+    q AS (SELECT a.p_value, least(1, least(b.f, 1) * pi0) AS qval FROM a JOIN b ON a.p_value = b.p_value, z)
+    SELECT max(p_value) FILTER (qval <= 0.05) AS p_threshold, count(*) FILTER (qval <= 0.05) AS n_significant FROM q""")
 def w2s(t):
     return MT.significance_threshold(MT.qvalues(t.assoc()))
 

@@ -1,13 +1,16 @@
 """Text and result-table readers.  Wide files are parsed as lines, never as thousands of CSV columns.
 
 A path may name many files.  Each is read by its own header; a file without one continues the file before it, as the parts of a
-folder do whose header stands only in the first.  Headers are found by one pass that keeps a line per file; the distinct ones,
-and the names of files where there are several, reach the driver.
+folder do whose header stands only in the first.  Headers are found by opening the first lines of each file, through Spark's file
+systems and codecs, some files at a time; what is read for them doesn't grow with the files.  Only covariates that may have junk before
+their header take a pass over all lines.
 """
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,6 +52,47 @@ def file_headers(raw: DataFrame, own: Column, same: Callable[[Column, Column], C
     return sorted(((x.head, x.files) for x in rows), key=lambda x: x[1][0])
 
 
+def first_lines(spark: SparkSession, path: str, wanted: Callable[[str], bool | None]) -> list[tuple[str, str | None]]:
+    """Each file with its first line that is ``wanted``; None from ``wanted`` ends the search in a file."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def open_one(file: str) -> tuple[str, str | None]:
+        path_of = jvm.org.apache.hadoop.fs.Path
+        where = path_of(path_of(jvm.java.net.URI(file)).toString())
+        name = where.toUri().toString()  # as the rows' metadata has it
+        stream, codec = where.getFileSystem(conf).open(where), codecs.getCodec(where)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+        try:
+            while (line := reader.readLine()) is not None:
+                found = wanted(line)
+                if found is None:
+                    return name, None
+                if found:
+                    return name, line
+            return name, None
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(open_one, sorted(spark.read.text(path).inputFiles())))
+
+
+def file_heads(
+    spark: SparkSession, path: str, wanted: Callable[[str], bool | None] = lambda line: True, same: Callable[[str, str], bool] = lambda own, lead: True
+) -> Headers:
+    """Distinct headers in path order, each with its files: the ``wanted`` line of a file if ``same(it, the first file's)``."""
+    found = first_lines(spark, path, wanted)
+    lead = head = next((line for _, line in found if line is not None), None)
+    heads: dict[str, list[str]] = {}
+    for file, line in found:
+        if line is not None and same(line, lead):
+            head = line
+        if head is not None:
+            heads.setdefault(head, []).append(file)
+    return list(heads.items())
+
+
 def first_of_file() -> Column:
     return F.min_by("value", "_at")
 
@@ -59,6 +103,15 @@ def same_label(own: Column, lead: Column) -> Column:
     return label(own) == label(lead)
 
 
+def _label(line: str) -> str:
+    return re.match(r"[^\t,; ]*", line).group()
+
+
+def label_is(own: str, lead: str) -> bool:
+    """Whether two lines have the same first cell."""
+    return _label(own) == _label(lead)
+
+
 def need(heads: Headers, path: str) -> Headers:
     if not heads:
         raise ValueError(f"no header in {path}")
@@ -82,10 +135,13 @@ def named_cells(rows: DataFrame, names: list[list[str]], heads: Headers) -> Data
     return cells.join(index, ["_h", "i"]).drop("_h", "i")
 
 
-def separated(raw: DataFrame, sep: str | None, path: str) -> DataFrame:
-    """Placed lines as string columns, without their headers; files may order their columns differently."""
-    cells = lambda c: F.array_sort(F.split(c, r"[\t,]"))
-    heads = need(file_headers(raw, first_of_file(), lambda own, lead: cells(own) == cells(lead)), path)
+def separated(raw: DataFrame, sep: str | None, path: str, notes: str | None = None) -> DataFrame:
+    """Placed lines as string columns, without their headers; files may order their columns differently.
+
+    Lines that start with ``notes`` are no headers.
+    """
+    cells = lambda line: sorted(re.split(r"[\t,]", line))
+    heads = need(file_heads(raw.sparkSession, path, lambda x: not (notes and x.startswith(notes)), lambda own, lead: cells(own) == cells(lead)), path)
     sep = sep or sniff(heads[0][0], ("\t", ","))
     out = None
     for head, files in heads:
@@ -99,9 +155,8 @@ def separated(raw: DataFrame, sep: str | None, path: str) -> DataFrame:
 
 
 def header_line(spark: SparkSession, path: str) -> str:
-    """First line of the first file; only that file is opened."""
-    files = sorted(spark.read.text(path).inputFiles())
-    return spark.read.text(files[0]).first()[0]
+    """First line of the first file that has one; only first lines are read."""
+    return need(file_heads(spark, path), path)[0][0]
 
 
 def sniff(header: str, choices: Sequence[str] = ("\t", ",", " ")) -> str:
@@ -111,9 +166,9 @@ def sniff(header: str, choices: Sequence[str] = ("\t", ",", " ")) -> str:
 # ---- VCF ----
 
 
-def vcf_headers(raw: DataFrame) -> Headers:
-    mark = F.startswith("value", F.lit("#CHROM"))
-    return file_headers(raw, F.min_by(F.when(mark, F.col("value")), F.when(mark, F.col("_at"))))
+def vcf_headers(spark: SparkSession, path: str) -> Headers:
+    """``#CHROM`` lines; a file whose first line that isn't ``##`` is a record has none."""
+    return file_heads(spark, path, lambda line: line.startswith("#CHROM") or (False if line.startswith("#") or not line else None))
 
 
 def _vcf_names(heads: Headers) -> list[list[str]]:
@@ -122,7 +177,7 @@ def _vcf_names(heads: Headers) -> list[list[str]]:
 
 def vcf_samples(spark: SparkSession, path: str) -> list[str]:
     """Sample names of all ``#CHROM`` lines (columns 10 on), each once, in the order they appear."""
-    return list(dict.fromkeys(n for own in _vcf_names(vcf_headers(placed_lines(spark, path))) for n in own))
+    return list(dict.fromkeys(n for own in _vcf_names(vcf_headers(spark, path)) for n in own))
 
 
 def vcf_fixed(raw: DataFrame, *keep: str) -> DataFrame:
@@ -160,7 +215,7 @@ def cell_dosage(cell: Column, format_: Column) -> Column:
 def vcf_long(spark: SparkSession, path: str) -> DataFrame:
     """One row per variant and sample."""
     raw = placed_lines(spark, path)
-    heads = need(vcf_headers(raw), path)
+    heads = need(vcf_headers(spark, path), path)
     cells = named_cells(vcf_fixed(raw, "_file"), _vcf_names(heads), heads)
     out = cells.withColumns({"gt": _field(F.col("cell"), F.col("format"), "GT"), "dosage": cell_dosage(F.col("cell"), F.col("format"))})
     return out.drop("cell", "format")
@@ -169,7 +224,7 @@ def vcf_long(spark: SparkSession, path: str) -> DataFrame:
 def vcf_dosages(spark: SparkSession, path: str) -> DataFrame:
     """One row per variant with dosages as an array in the order of ``vcf_samples``: no explode and no shuffle."""
     raw = placed_lines(spark, path)
-    heads = need(vcf_headers(raw), path)
+    heads = need(vcf_headers(spark, path), path)
     v = vcf_fixed(raw, "_file").withColumn("dosages", F.transform("cells", lambda c: cell_dosage(c, F.col("format"))))
     if len(heads) > 1:
         names = _vcf_names(heads)
@@ -183,9 +238,9 @@ def vcf_dosages(spark: SparkSession, path: str) -> DataFrame:
 # ---- matrices and tables ----
 
 
-def _matrix_headers(raw: DataFrame, path: str) -> tuple[Headers, str, list[list[str]]]:
+def _matrix_headers(spark: SparkSession, path: str) -> tuple[Headers, str, list[list[str]]]:
     """Headers, separator and sample names of feature x sample text."""
-    heads = need(file_headers(raw, first_of_file(), same_label), path)
+    heads = need(file_heads(spark, path, same=label_is), path)
     sep = sniff(heads[0][0])
     return heads, sep, [[n.strip() for n in head.split(sep)][1:] for head, _ in heads]
 
@@ -193,7 +248,7 @@ def _matrix_headers(raw: DataFrame, path: str) -> tuple[Headers, str, list[list[
 def wide_matrix(spark: SparkSession, path: str, key: str = "feature_id", numeric: bool = True) -> DataFrame:
     """Feature x sample text to long form; separator from the header; bad cells become null."""
     raw = placed_lines(spark, path)
-    heads, sep, names = _matrix_headers(raw, path)
+    heads, sep, names = _matrix_headers(spark, path)
     c = F.split("value", sep)
     body = raw.where(~F.col("value").isin([h for h, _ in heads])).select(c[0].alias(key), "_file", F.slice(c, 2, F.size(c)).alias("cells"))
     cell = to_number(F.trim("cell")) if numeric else na_to_null(F.trim("cell"))
@@ -232,7 +287,7 @@ def nominal_pairs(spark: SparkSession, glob: str) -> DataFrame:
 
 def bed(spark: SparkSession, path: str) -> DataFrame:
     """Annotation intervals; chr, start, end and gene_id are required."""
-    df = separated(placed_lines(spark, path).where(~F.startswith("value", F.lit("#"))), "\t", path)
+    df = separated(placed_lines(spark, path).where(~F.startswith("value", F.lit("#"))), "\t", path, notes="#")
     absent = [c for c in ("chr", "start", "end", "gene_id") if c not in df.columns]
     if absent:
         raise ValueError(f"annotation lacks {absent}")
@@ -261,15 +316,19 @@ def gtf(spark: SparkSession, path: str, gene_types: Sequence[str] = ("protein_co
 
 
 def eigenvectors(spark: SparkSession, path: str, k: int = 5) -> DataFrame:
-    """PCA scores: FID, IID and up to k PCs that exist, tab or blank separated."""
-    head = header_line(spark, path)
-    names = [n.strip().replace("#", "") for n in head.split()]
-    pcs = [f"PC{i}" for i in range(1, k + 1) if f"PC{i}" in names]
-    c = F.split(F.trim("value"), r"\s+")
-    ids = [n for n in ("FID", "IID") if n in names]
-    cols = [(sample_key(c[names.index(n)]) if n == "IID" else c[names.index(n)]).alias(n) for n in ids]
-    cols += [c[names.index(n)].try_cast("double").alias(n) for n in pcs]
-    return lines(spark, path).where(F.col("value") != head).select(*cols)
+    """PCA scores: FID, IID and up to k PCs that exist, tab or blank separated; each file by its own header."""
+    names_of = lambda line: [n.strip().replace("#", "") for n in line.split()]
+    heads = need(file_heads(spark, path, same=lambda own, lead: own == lead or not {"FID", "IID"}.isdisjoint(names_of(own))), path)
+    raw, c, out = placed_lines(spark, path), F.split(F.trim("value"), r"\s+"), None
+    every = [names_of(head) for head, _ in heads]
+    wanted = [n for n in ("FID", "IID", *(f"PC{i}" for i in range(1, k + 1))) if any(n in names for names in every)]
+    for (head, files), names in zip(heads, every):
+        at = {n: c[names.index(n)] if n in names else F.lit(None).cast("string") for n in wanted}
+        cells = [(sample_key(v) if n == "IID" else v if n == "FID" else v.try_cast("double")).alias(n) for n, v in at.items()]
+        body = raw.where(F.col("value") != head)
+        part = (body if len(heads) == 1 else body.where(F.col("_file").isin(files))).select(*cells)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def encoded_table(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -280,7 +339,8 @@ def encoded_table(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
 
 def batch_design(spark: SparkSession, path: str) -> DataFrame:
     """Sample x covariate design in long form, whichever way round the file is."""
-    first = header_line(spark, path).split(sniff(header_line(spark, path)))[0].strip().lower()
+    head = header_line(spark, path)
+    first = head.split(sniff(head))[0].strip().lower()
     long = wide_matrix(spark, path, "row_id", numeric=False).withColumnRenamed("sample_id", "col_id")
     rows_are_samples = first in ID_HEADERS
     sample, cov = ("row_id", "col_id") if rows_are_samples else ("col_id", "row_id")
@@ -340,7 +400,7 @@ def input_samples(spark: SparkSession, path: str, kind: str) -> DataFrame:
     if kind == "vcf":
         names = vcf_samples(spark, path)
     elif kind == "matrix":
-        names = [n for own in _matrix_headers(placed_lines(spark, path), path)[2] for n in own]
+        names = [n for own in _matrix_headers(spark, path)[2] for n in own]
     elif kind == "fam":
         return fam(spark, path).select("sample_id").distinct()
     else:

@@ -22,11 +22,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def write_results(df: DataFrame, base: str, qval: float = 0.05, column: str = "qval") -> tuple[str, str]:
-    """Full table and significant subset, tab separated and gzipped."""
+    """Full table and significant subset, tab separated and gzipped; the subset is taken from what was written, so ``df`` runs once."""
     full, hits = f"{base}.all.tsv", f"{base}.significant.tsv"
     opts = {"sep": "\t", "header": True, "compression": "gzip"}
     df.write.mode("overwrite").options(**opts).csv(full)
-    df.where(F.col(column) < qval).write.mode("overwrite").options(**opts).csv(hits)
+    again = df.sparkSession.read.schema(df.schema).csv(full, sep="\t", header=True)
+    again.where(F.col(column) < qval).write.mode("overwrite").options(**opts).csv(hits)
     return full, hits
 
 

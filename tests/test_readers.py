@@ -46,3 +46,24 @@ def test_header_of_covariates_may_stand_anywhere(spark, tmp_path):
     got = {(r.covariate, r.sample_id): r.value for r in R.tolerant_covariates(spark, path).where("covariate = 'sex'").collect()}
     assert got == {("sex", "SAMP1"): "1", ("sex", "SAMP2"): None, ("sex", "SAMP3"): "2"}
     assert [r.value for r in R.ragged_lines(spark, path).collect()] == ["broken,1"]
+
+
+def test_eigenvectors_follow_each_file(spark, tmp_path):
+    path = put(tmp_path, a="#FID IID PC1 PC2\nf1 s1 0.1 0.2\n", b="f2 s2 0.3 0.4\n", c="#IID\tPC2\tPC1\ns3\t0.6\t0.5\n")
+    got = sorted(tuple(r) for r in R.eigenvectors(spark, path).select("IID", "FID", "PC1", "PC2").collect())
+    assert got == [("s1", "f1", 0.1, 0.2), ("s2", "f2", 0.3, 0.4), ("s3", None, 0.5, 0.6)]
+
+
+def test_headers_take_first_lines_only(spark, tmp_path):
+    """Also of compressed files; no job runs for them."""
+    import gzip
+
+    with gzip.open(tmp_path / "a.vcf.gz", "wt") as f:
+        f.write("##x\n" * 50 + "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tA\tB\n" + "1\t1\trs1\tA\tG\t50\tPASS\t.\tGT\t0|0\t0|1\n" * 1000)
+    (tmp_path / "b.vcf").write_text("1\t2\trs2\tA\tG\t50\tPASS\t.\tGT\t0|0\t0|1\n#CHROM\tno header\n")
+    (tmp_path / "c.vcf").write_text("")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    heads = R.vcf_headers(spark, str(tmp_path))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    assert [(h.split("\t")[9:], len(files)) for h, files in heads] == [(["A", "B"], 3)]
+    assert R.vcf_samples(spark, str(tmp_path)) == ["A", "B"]
