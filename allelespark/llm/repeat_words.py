@@ -6,13 +6,14 @@ Nodes are 19-word strings, edges the 20-word windows between two of them.  Only
 2. What is left leaves its block as strings of nodes, grouped by minimizer, equal ones of a block once with their places.
 3. In a minimizer's partition edges are counted and get their source, the smallest (doc_id, start).  Where every occurrence of an edge is
    followed by one and the same edge and the other way round, the two become one path, so most of the compaction is local.
-4. Spark joins glue paths: the path that alone ends at a node and the one that alone starts there, equally frequent, become one if
-   their sources are neighbours.  What has been glued is a long repeated span with one source.
-5. Every place of a path is held against the path's source coordinates, as the compacted span gives them; all places but the source are
-   removed.
+4. Spark joins glue paths: the places behind one path are those of the next exactly (both sides carry 128 bits of an order-free hash of
+   them).  Doubling joins along these links give each chain its first path and its length, so only one row for each long span and block
+   goes on, with its places, and the other paths of the chain are dropped.
+5. A span's words are read at its source coordinates, and every other place is held against them word by word; places that agree are removed.
 
 Scale: copies of whole texts are settled by their hash; texts are written once and never shuffled; a minimizer has one row for each block
-and spelling; joins are on paths, not on windows.
+and spelling; joins are on paths, not on windows, and on hashes of places, so a frequent node is no hot key.  The number of doubling joins
+is the logarithm of the longest chain.
 
 Defined cases: null and short texts lose nothing; a null doc_id is larger than all others; rows of one doc_id are one document, of which
 only later starts are removed; an empty table gives no rows; other columns are ignored.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from allelespark.llm.blocks import Block, block_table, copies, mark, recurring, rolling, runs, scramble, sliding_min, with_blocks
@@ -143,6 +144,17 @@ def _totals(keys: tuple[np.ndarray, ...], weight: np.ndarray) -> tuple[np.ndarra
     return cls, np.bincount(number, weights=weight[order]).astype(np.int64)
 
 
+PRINTS = ["h1", "h2", "t1", "t2"]
+
+
+def _print_of(blk: int, idx: np.ndarray, start: np.ndarray) -> list[int]:
+    """Two exclusive-or hashes of a set of places; sets of several blocks are combined by exclusive or."""
+    place = scramble((idx.astype(np.uint64) + np.uint64((int(blk) * 0x9E3779B97F4A7C15) & (2**64 - 1))) * np.uint64(0x369DEA0F31A53F85))
+    place = scramble((place ^ start.astype(np.uint64)) * np.uint64(0xDB4F0B9175AE2165))
+    again = scramble((place + np.uint64(0x2545F4914F6CDD1D)) * np.uint64(0xBBE0563303A4615F))
+    return [int(np.bitwise_xor.reduce(place)), int(np.bitwise_xor.reduce(again))]
+
+
 def _paths(rows: pa.Table) -> pa.RecordBatch:
     """Local paths of all edges of some minimizers: one row for each path and node string."""
     blk, doc, start = (rows.column(c).to_numpy() for c in ("blk", "doc", "start"))
@@ -168,16 +180,20 @@ def _paths(rows: pa.Table) -> pa.RecordBatch:
     ends = np.concatenate((head[1:], [len(row)])) if len(head) else head
     once = np.concatenate((np.flatnonzero(~again), [len(row)]))
     ends = np.minimum(ends, once[np.searchsorted(once, head)]) if len(head) else ends
-    packed = []
-    for r, t in zip(row[head].tolist(), turn[head].tolist()):
+    packed, prints = [], []
+    for r, t, m in zip(row[head].tolist(), turn[head].tolist(), (ends - head).tolist()):
         p = np.frombuffer(places[r], PLACE).copy()
         p["start"] += t
         packed.append(p.tobytes())
+        prints.append(_print_of(blk[r], p["idx"], p["start"]) + _print_of(blk[r], p["idx"], p["start"] + m))
     e = edge[head]
+    prints = np.array(prints, np.uint64).reshape(-1, 4).view(np.int64)
+    own = (doc[row[head]] == src_doc[e]) & (start[row[head]] + turn[head] == src_start[e])
     return pa.RecordBatch.from_arrays([
         pa.array(blk[row[head]].astype(np.int64)), pa.array(packed, pa.binary()), pa.array((ends - head).astype(np.int64)), pa.array(a[head]), pa.array(b[head]),
         pa.array(b[ends - 1] if len(head) else b[:0]), pa.array(total[e]), pa.array(src_doc[e].astype(np.int64)), pa.array(src_start[e].astype(np.int64)),
-    ], names=["blk", "places", "n", "a", "b", "z", "total", "src_doc", "src_start"])
+        *[pa.array(prints[:, i]) for i in range(4)], pa.array(own),
+    ], names=["blk", "places", "n", "a", "b", "z", "total", "src_doc", "src_start", *PRINTS, "own"])
 
 
 def _by_minimizer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,40 +216,67 @@ def _by_minimizer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def compacted(paths: DataFrame) -> DataFrame:
-    """(a, b, unit_doc, unit_start, offset): for each path, the long span it is part of, by the span's source coordinates."""
-    one = paths.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in ("z", "n", "total", "src_doc", "src_start")])
-    into = one.groupBy("z").agg(F.count("*").alias("in"), F.min("total").alias("p_total"), F.min("src_doc").alias("p_doc"), F.min(F.col("src_start") + F.col("n")).alias("p_end"))
-    out_of = one.groupBy("a").agg(F.count("*").alias("out"))
-    glue = out_of.join(into, F.col("a") == F.col("z")).where("out = 1 and in = 1").select(F.col("a").alias("node"), "p_total", "p_doc", "p_end")
-    told = one.join(glue, F.col("a") == F.col("node"), "left")
-    goes_on = F.coalesce((F.col("p_total") == F.col("total")) & (F.col("p_doc") == F.col("src_doc")) & (F.col("p_end") == F.col("src_start")), F.lit(False))
-    along = Window.partitionBy("src_doc").orderBy("src_start").rowsBetween(Window.unboundedPreceding, 0)  # paths with their source in one text
-    begin = F.max(F.when(~goes_on, F.col("src_start"))).over(along)
-    spans = told.select("a", "b", "src_doc", "src_start", begin.alias("unit_start"))
-    return spans.select("a", "b", F.col("src_doc").alias("unit_doc"), "unit_start", (F.col("src_start") - F.col("unit_start")).alias("offset"))
+    """(a, b, length, src_doc, src_start): the long spans, by their first path, with their length in windows and their source."""
+    one = paths.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in ("z", "n", "total", "src_doc", "src_start")], *[F.bit_xor(c).alias(c) for c in PRINTS])
+    one = staged(one, "word-spans")
+    before = one.select(F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("z").alias("a"), F.col("t1").alias("h1"), F.col("t2").alias("h2"), "total", F.col("n").alias("far"))
+    links = staged(one.select("a", "b", "n", "h1", "h2", "total").join(before, ["a", "h1", "h2", "total"]).select("a", "b", "n", "pa", "pb", "far"), "word-links")
+    while True:  # each link then reaches twice as far
+        up = links.select(F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("pa").alias("qa"), F.col("pb").alias("qb"), F.col("far").alias("more"))
+        told = links.join(up, ["pa", "pb"], "left")
+        step = told.select("a", "b", "n", F.coalesce("qa", "pa").alias("pa"), F.coalesce("qb", "pb").alias("pb"), (F.col("far") + F.coalesce("more", F.lit(0))).alias("far"), F.col("qa").isNotNull().alias("moved"))
+        step = staged(step, "word-links")
+        links = step.drop("moved")
+        if step.where("moved").isEmpty():
+            break
+    ends = links.groupBy("pa", "pb").agg(F.max(F.col("far") + F.col("n")).alias("length")).withColumnsRenamed({"pa": "a", "pb": "b"})
+    heads = one.join(links.select("a", "b"), ["a", "b"], "left_anti").join(ends, ["a", "b"], "left")
+    return heads.select("a", "b", F.coalesce("length", "n").alias("length"), "src_doc", "src_start")
+
+
+def _spelled(block: Block, blk: int, rows: pa.Table) -> list:
+    """The words of the spans whose source is in this block."""
+    out: list[list] = [[], [], []]
+    split: dict[int, list[bytes]] = {}
+    for place, a, b, n in zip(*(rows.column(c).to_pylist() for c in ("place", "a", "b", "length"))):
+        ((idx, start),) = np.frombuffer(place, PLACE).tolist()
+        words = _words_of(block, split, idx)
+        for column, x in zip(out, (a, b, b" ".join(words[start : start + n + WINDOW - 1]))):
+            column.append(x)
+    return out
+
+
+def _words_of(block: Block, split: dict[int, list[bytes]], idx: int) -> list[bytes]:
+    if idx not in split:
+        split[idx] = block.bodies[int(np.searchsorted(block.idx, idx))].split()
+    return split[idx]
 
 
 def _cut(block: Block, blk: int, rows: pa.Table) -> list:
     """What is left of each document, hashed."""
-    words = Words(block)
-    edge = np.zeros(len(words.hash) + 1, np.int64)
-    if rows.num_rows:
-        each = [np.frombuffer(p, PLACE) for p in rows.column("places").to_pylist()]
-        row = np.repeat(np.arange(len(each)), [len(p) for p in each])
-        spots = np.concatenate(each)
-        n, unit_doc, unit_start, offset = (rows.column(c).to_numpy()[row] for c in ("n", "unit_doc", "unit_start", "offset"))
-        place = np.searchsorted(block.idx, spots["idx"])
-        source = (block.order[place] == unit_doc) & (spots["start"] == unit_start + offset)
-        begin = (words.first[place] + spots["start"])[~source]
-        np.add.at(edge, begin, 1)
-        np.add.at(edge, begin + n[~source] + WINDOW - 1, -1)
-    gone = np.cumsum(edge[:-1]) > 0
+    edges: dict[int, np.ndarray] = {}
+    split: dict[int, list[bytes]] = {}
+    order = dict(zip(block.idx.tolist(), block.order.tolist()))
+    columns = (rows.column(c).to_pylist() for c in ("places", "length", "src_doc", "src_start", "words")) if rows.num_rows else [[]] * 5
+    for places, n, src_doc, src_start, words in zip(*columns):
+        size = n + WINDOW - 1
+        for idx, start in np.frombuffer(places, PLACE).tolist():
+            if order[idx] == src_doc and start == src_start:
+                continue
+            own = _words_of(block, split, idx)
+            if b" ".join(own[start : start + size]) == words:
+                edge = edges.setdefault(idx, np.zeros(len(own) + 1, np.int64))
+                edge[start] += 1
+                edge[start + size] -= 1
     out = [[], [], [], []]
-    for k, (doc_id, body, first, n) in enumerate(zip(block.ids, block.bodies, words.first.tolist(), words.count.tolist())):
-        whole = bool(block.skip[k]) and n >= WINDOW
-        mask = gone[first : first + n] | whole
-        rest = b" ".join([w for w, g in zip(body.split(), mask.tolist()) if not g])
-        for column, x in zip(out, (doc_id, n, int(mask.sum()), hashlib.sha256(rest).hexdigest())):
+    for k, (doc_id, idx) in enumerate(zip(block.ids, block.idx.tolist())):
+        own = _words_of(block, split, idx)
+        split.pop(idx)
+        whole = bool(block.skip[k]) and len(own) >= WINDOW
+        mask = np.cumsum(edges[idx][:-1]) > 0 if idx in edges else np.zeros(len(own), bool)
+        mask = mask | whole
+        rest = b" ".join([w for w, g in zip(own, mask.tolist()) if not g]) if mask.any() else b" ".join(own)
+        for column, x in zip(out, (doc_id, len(own), int(mask.sum()), hashlib.sha256(rest).hexdigest())):
             column.append(x)
     return out
 
@@ -253,9 +296,12 @@ def dedup(docs: DataFrame) -> DataFrame:
     known = recurring(blocks, settled, _owners).select("blk", "h", F.lit(None).cast("int").alias("idx"))
     known = known.union(settled.select("blk", F.lit(None).cast("long"), "idx"))
     strings = with_blocks(blocks, known, _strings, "h long, blk long, doc long, start long, places binary, nodes binary")
-    schema = "blk long, places binary, n long, a long, b long, z long, total long, src_doc long, src_start long"
+    schema = "blk long, places binary, n long, a long, b long, z long, total long, src_doc long, src_start long, h1 long, h2 long, t1 long, t2 long, own boolean"
     paths = staged(strings.repartition("h").sortWithinPartitions("h").mapInArrow(_by_minimizer, schema), "word-paths")
-    placed = paths.select("blk", "places", "n", "a", "b").join(compacted(paths), ["a", "b"]).select("blk", F.lit(None).cast("int").alias("idx"), "places", "n", "unit_doc", "unit_start", "offset")
-    nothing = [F.lit(None).cast(t) for t in ("binary", "long", "long", "long", "long")]
+    spans = staged(paths.select("blk", "places", "a", "b", "own").join(compacted(paths), ["a", "b"]), "word-places")
+    source = spans.where("own").select("blk", F.substring("places", 1, PLACE.itemsize).alias("place"), "a", "b", "length")
+    texts = with_blocks(blocks, source, _spelled, "a long, b long, words binary").groupBy("a", "b").agg(F.min("words").alias("words"))
+    placed = spans.join(texts, ["a", "b"]).select("blk", F.lit(None).cast("int").alias("idx"), "places", "length", "src_doc", "src_start", "words")
+    nothing = [F.lit(None).cast(t) for t in ("binary", "long", "long", "long", "binary")]
     placed = placed.union(settled.select("blk", "idx", *nothing))
     return with_blocks(blocks, placed, _finish, "doc_id long, n_words long, n_removed long, kept_sha256 string")
