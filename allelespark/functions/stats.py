@@ -1,6 +1,8 @@
 """Distribution functions: NumPy-vectorised tails, and a pure-column normal quantile."""
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -255,6 +257,12 @@ def t_log10p_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(-t_log_p(t.to_numpy(float), dof.to_numpy(float)) / np.log(10))
 
 
+@F.pandas_udf(DoubleType())
+def norm_p_udf(z: pd.Series) -> pd.Series:
+    """Two-sided p of a standard normal."""
+    return pd.Series([math.erfc(abs(x) / math.sqrt(2)) for x in z.to_numpy(float)])
+
+
 @F.pandas_udf(DoubleType())
 def hwe_midp_udf(hom1: pd.Series, het: pd.Series, hom2: pd.Series) -> pd.Series:
     return pd.Series(hwe_midp(hom1.to_numpy(), het.to_numpy(), hom2.to_numpy()))

@@ -7,10 +7,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from allelespark.functions.stats import betainc, hwe_exact_udf, norm_ppf, r_threshold, t_log_p, t_p
+from allelespark.functions.stats import betainc, hwe_exact_udf, norm_p_udf, norm_ppf, r_threshold, t_log_p, t_p
 from allelespark.operators.blocks import bin_width, gene_bins, in_turns, rows_per_block, scan_blocks, spread, variant_bins
 from allelespark.operators.covariates import Design, dense, packed_rows, sample_index
 from allelespark.operators.filters import remove_trait_outliers
@@ -502,6 +502,100 @@ def logistic_gwas(geno: DataFrame, trait: DataFrame, cov: DataFrame | None = Non
     return spread(left, "_b").groupBy("_b").cogroup(spread(right, "_b").groupBy("_b")).applyInPandas(fit, schema)
 
 
+def null_logistic(samples: DataFrame, k: int, steps: int = 50) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients of y ~ 1 + covariates and the inverse information, by Newton's method: one small aggregate per step.
+
+    ``samples`` has ``y`` (0/1) and ``xc`` (k covariates, centred).
+    """
+    z = [F.lit(1.0), *[F.element_at("xc", i + 1) for i in range(k)]]
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    b = np.zeros(k + 1)
+    for _ in range(steps):
+        mu = logistic_mean(b)
+        row = samples.agg(*[F.sum((F.col("y") - mu) * c) for c in z], *[F.sum(mu * (1 - mu) * z[i] * z[j]) for i, j in pairs]).first()
+        slope, info = np.array(row[: k + 1], float), np.zeros((k + 1, k + 1))
+        for (i, j), v in zip(pairs, row[k + 1 :]):
+            info[i, j] = info[j, i] = v
+        inverse = np.linalg.pinv(info, rcond=1e-12, hermitian=True)
+        move = np.clip(inverse @ slope, -5, 5)
+        b = b + move
+        if np.abs(move).max() < 1e-12:
+            break
+    return b, inverse
+
+
+def logistic_mean(b: np.ndarray) -> Column:
+    eta = F.lit(float(b[0]))
+    for i, v in enumerate(b[1:]):
+        eta = eta + F.element_at("xc", i + 1) * float(v)
+    return 1 / (1 + F.exp(-F.least(F.greatest(eta, F.lit(-30.0)), F.lit(30.0))))
+
+
+def _cases(geno: DataFrame, trait: DataFrame, cov: DataFrame | None) -> tuple[Prepared, DataFrame]:
+    y = trait.where(F.col("value").isNotNull()).select(F.lit("y").alias("feature_id"), "sample_id", F.col("value").cast("double").alias("value"))
+    prep = Prepared(geno, y, cov)
+    case = y.withColumn("sample_id", F.trim(F.col("sample_id").cast("string"))).select("sample_id", F.col("value").alias("y"))
+    return prep, materialize(prep.samples.join(case, "sample_id"))
+
+
+def logistic_score(geno: DataFrame, trait: DataFrame, cov: DataFrame | None = None, maf: float = 0.0, refine: float = 0.0, steps: int = 25) -> DataFrame:
+    """Score test of every variant for a binary trait (0/1) given covariates; variants with p up to ``refine`` are fitted as well.
+
+    The null model is fitted once.  Each variant then needs sums over its called samples only, from one join with the sample table and one
+    aggregation: nothing is packed, and no task holds a cohort.  Where the score p is small enough to matter, the full model is fitted by
+    Newton's method; only those variants are packed, each row with its own samples' design, so memory doesn't depend on how many others
+    there are.  ``beta`` and ``se`` are those of the fit, or without one the one-step estimates of the score.
+    """
+    prep, samples = _cases(geno, trait, cov)
+    k, n = prep.k, prep.n
+    b, inverse = null_logistic(samples, k)
+    mu = logistic_mean(b)
+    rows = prep.geno.join(samples.select("sample_id", "xc", (F.col("y") - mu).alias("r"), (mu * (1 - mu)).alias("w")), "sample_id")
+    g, w, r = F.col("dosage"), F.col("w"), F.col("r")
+    z = [F.lit(1.0), *[F.element_at("xc", i + 1) for i in range(k)]]
+    sums = rows.groupBy("variant_id").agg(
+        F.count(g).alias("n_called"), F.avg(g).alias("m"), F.sum(g * g).alias("ss"), F.sum(g * r).alias("gr"), F.sum(r).alias("sr"),
+        F.sum(w * g * g).alias("wgg"), F.array(*[F.sum(w * g * c) for c in z]).alias("wgz"), F.array(*[F.sum(w * c) for c in z]).alias("wz"),
+    )
+    m = F.col("m")  # a missing call sits at the variant's mean and has no part
+    cross = F.zip_with("wgz", "wz", lambda x, y: x - m * y)
+    sums = sums.withColumn("c", cross).withColumn("u", F.col("gr") - m * F.col("sr"))
+    whole = F.col("wgg") - 2 * m * F.element_at("wgz", 1) + m * m * F.element_at("wz", 1)
+    sums = sums.withColumn("v", whole - dot(F.transform(matrix_lit(inverse), lambda x: dot(x, F.col("c"))), F.col("c")))
+    sums = sums.withColumn("maf", F.least(m / 2, 1 - m / 2)).where((F.col("v") > VARIES * F.col("ss")) & (F.col("maf") >= maf))
+    sums = sums.select("variant_id", "n_called", (m / 2).alias("af"), "maf", "u", "v", (F.col("u") / F.sqrt("v")).alias("z_score"))
+    scored = sums.withColumn("p_score", norm_p_udf("z_score"))
+    if refine <= 0:
+        return scored.select("variant_id", "n_called", "af", "maf", "z_score", "p_score", (F.col("u") / F.col("v")).alias("beta"), (1 / F.sqrt("v")).alias("se"), F.lit(None).cast("boolean").alias("converged"))
+    scored = materialize(scored)
+    picked = scored.where(F.col("p_score") <= refine).select("variant_id", (2 * F.col("af")).alias("m"))
+    every = picked.select("variant_id", "m", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("idx")).join(samples.select("idx", "sample_id", "y", "xc"), "idx")
+    cells = every.join(prep.geno.select("variant_id", "sample_id", "dosage"), ["variant_id", "sample_id"], "left")
+    cell = F.struct((F.coalesce("dosage", "m") - F.col("m")).alias("g"), "y", "xc")
+    packed = cells.groupBy("variant_id").agg(F.collect_list(cell).alias("s")).select("variant_id", F.col("s.g").alias("g"), F.col("s.y").alias("y"), F.flatten(F.col("s.xc")).alias("x"))
+
+    def fit(batches):
+        for batch in batches:
+            out = []
+            for name, gv, yv, x in zip(batch["variant_id"], batch["g"], batch["y"], batch["x"]):
+                design = np.column_stack([np.asarray(gv, float), np.ones(len(gv)), np.asarray(x, float).reshape(len(gv), k)])
+                at, done = np.zeros(k + 2), False
+                for _ in range(steps):
+                    p = 1 / (1 + np.exp(-np.clip(design @ at, -30, 30)))
+                    cover = np.linalg.pinv(design.T @ (design * (p * (1 - p))[:, None]), hermitian=True)
+                    move = cover @ (design.T @ (np.asarray(yv, float) - p))
+                    at = at + np.clip(move, -5, 5)
+                    done = bool(np.abs(move).max() < 1e-8)
+                    if done:
+                        break
+                out.append((name, at[0], math.sqrt(max(cover[0, 0], 0.0)), done))
+            yield pd.DataFrame(out, columns=["variant_id", "b", "s", "converged"])
+
+    fits = packed.mapInPandas(fit, f"variant_id {_kind(geno, 'variant_id')}, b double, s double, converged boolean")
+    joined = scored.join(fits, "variant_id", "left")
+    return joined.select("variant_id", "n_called", "af", "maf", "z_score", "p_score", F.coalesce("b", F.col("u") / F.col("v")).alias("beta"), F.coalesce("s", 1 / F.sqrt("v")).alias("se"), "converged")
+
+
 def gwas_inputs(geno: DataFrame, traits: DataFrame, names: Sequence[str], cov: DataFrame | None = None) -> DataFrame:
     """Aligned samples, outliers removed trait by trait, one row per sample."""
     tables = [geno, traits] + ([cov] if cov is not None else [])

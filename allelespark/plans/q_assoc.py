@@ -178,6 +178,31 @@ def q6(t):
     return AS.logistic_gwas(t.geno(), case, cov, maf=0.05)
 
 
+@query("q6_score_test", f"""
+    WITH RECURSIVE {_GRID.replace("sv c", "covar c")},
+    cc AS (SELECT sample_id, CAST(sex AS DOUBLE) AS y, rin - avg(rin) OVER () AS x FROM covar),
+    it(n, a, b) AS (SELECT 0, 0::DOUBLE, 0::DOUBLE UNION ALL
+        SELECT n + 1, a + (i11 * s0 - i01 * s1) / (i00 * i11 - i01 * i01), b + (i00 * s1 - i01 * s0) / (i00 * i11 - i01 * i01)
+        FROM (SELECT n, a, b, sum(y - mu) AS s0, sum((y - mu) * x) AS s1, sum(mu * (1 - mu)) AS i00, sum(mu * (1 - mu) * x) AS i01, sum(mu * (1 - mu) * x * x) AS i11
+              FROM (SELECT n, a, b, y, x, 1 / (1 + exp(-(a + b * x))) AS mu FROM it, cc WHERE n < 30) GROUP BY n, a, b)),
+    nl AS (SELECT sample_id, x, y - mu AS r, mu * (1 - mu) AS w FROM (SELECT cc.*, 1 / (1 + exp(-(a + b * x))) AS mu FROM cc, it WHERE n = 30)),
+    sm AS (SELECT variant_id, sum(g * r) AS u, sum(w * g * g) AS gg, sum(w * g) AS g0, sum(w * g * x) AS g1, sum(w) AS w0, sum(w * x) AS w1, sum(w * x * x) AS w2, max(m) AS m
+           FROM (SELECT variant_id, sample_id, d - avg(d) OVER (PARTITION BY variant_id) AS g, avg(d) OVER (PARTITION BY variant_id) AS m FROM gi) JOIN nl USING (sample_id) GROUP BY variant_id),
+    sv2 AS (SELECT variant_id, m, u, gg - (g0 * g0 * w2 - 2 * g0 * g1 * w1 + g1 * g1 * w0) / (w0 * w2 - w1 * w1) AS v FROM sm)
+    SELECT variant_id, round(m / 2, 6) AS af, round(u / sqrt(v), 6) AS z_score, round(u / v, 6) AS beta, round(1 / sqrt(v), 6) AS se
+    FROM sv2 WHERE least(m / 2, 1 - m / 2) >= 0.05""")
+def q6s(t):
+    case = t.covar().select("sample_id", F.col("sex").alias("value"))
+    out = AS.logistic_score(t.geno(), case, covariates(t).where("covariate = 'rin'"), maf=0.05)
+    return rnd(out.select("variant_id", "af", "z_score", "beta", "se"), "af", "z_score", "beta", "se")
+
+
+@query("q6_logistic_refined")
+def q6r(t):
+    case = t.covar().select("sample_id", F.col("sex").alias("value"))
+    return AS.logistic_score(t.geno(), case, covariates(t).where("covariate = 'rin'"), maf=0.05, refine=0.1)
+
+
 @query("q7_gwas_inputs", f"""
     WITH ct AS (SELECT * FROM ({_CT}) WHERE sample_id IN (SELECT sample_id + 5 FROM geno)), {_out_sql('s1', 'ct', 'heavy')}, {_out_sql('s2', 's1', 'cubic')}, {_out_sql('s3', 's2', 'plain')}
     SELECT CAST(sample_id AS VARCHAR) AS sample_id, round(max(value) FILTER (trait = 'heavy'), 4) AS heavy, round(max(value) FILTER (trait = 'cubic'), 4) AS cubic,
