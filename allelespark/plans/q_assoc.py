@@ -15,6 +15,7 @@ from allelespark.plans.fixtures import COHORT
 from allelespark.plans.q_filters import _CT, EXACT_HWE, _out_sql, customer_traits
 from allelespark.plans.q_qc import rnd
 from allelespark.plans.registry import query
+from allelespark.plans.sqltext import t_p_sql
 from allelespark.session import materialize
 
 
@@ -248,6 +249,20 @@ def q1g(t):
     return rnd(rnd(out, "maf", "beta", "se"), "t", digits=5)
 
 
+_BH_GENE = """SELECT gene_id, variant_id, min(least(p * m / rk, 1)) OVER (PARTITION BY gene_id ORDER BY p DESC, variant_id ROWS UNBOUNDED PRECEDING) AS f
+    FROM (SELECT *, count(*) OVER (PARTITION BY gene_id) AS m, rank() OVER (PARTITION BY gene_id ORDER BY p) + count(*) OVER (PARTITION BY gene_id, p) - 1 AS rk FROM pv)"""
+
+
+@query("q1_cis_p_values", f"""
+    WITH {_CIS}, {_gap_sql(_GAPS, "pr")}, pv AS (SELECT *, {t_p_sql("(beta / se)", "(n - 4)")} AS p FROM st), fd AS ({_BH_GENE})
+    SELECT pv.gene_id, pv.variant_id, round(p, 6) AS p_value, round(f, 6) AS fdr FROM pv JOIN fd ON fd.gene_id = pv.gene_id AND fd.variant_id = pv.variant_id""")
+def q1p(t):
+    """p of every pair, on the degrees of freedom of each gene's own samples, and the FDR over the pairs of a gene."""
+    prep = AS.Prepared(t.geno(), t.pheno_na().where("value IS NOT NULL"), covariates(t))
+    out = bh_fdr(materialize(AS.cis_nominal(prep, t.variants(), t.genes())), ["gene_id"])
+    return rnd(out.select("gene_id", "variant_id", "p_value", "fdr"), "p_value", "fdr")
+
+
 @query("q2_best_variant_gaps", f"""
     WITH {_CIS}, {_gap_sql(_GAPS, "pr")},
     rr AS (SELECT *, sxy / sqrt(sxx * syy) AS r, count(*) OVER (PARTITION BY gene_id) AS n_variants,
@@ -315,6 +330,12 @@ def q5g(t):
     return _gwas_out(AS.linear_gwas(t.geno(), trait_gaps(t), covariates(t)))
 
 
+@query("q5_linear_gwas_p_values", f"""
+    WITH {_gap_sql(_TRAIT_GAPS, _TRAIT_PAIRS)} SELECT gene_id AS phenotype, variant_id, round({t_p_sql("(beta / se)", "(n - 4)")}, 6) AS p_value FROM st""")
+def q5p(t):
+    return rnd(AS.linear_gwas(t.geno(), trait_gaps(t), covariates(t)).select("phenotype", "variant_id", "p_value"), "p_value")
+
+
 @query("q5_linear_gwas_filters", f"""
     WITH {_gap_sql(_TRAIT_GAPS, _TRAIT_PAIRS)}, counts_of AS (SELECT variant_id, count(*) FILTER (dosage = 0) AS hom_ref, count(*) FILTER (dosage = 1) AS het,
         count(*) FILTER (dosage = 2) AS hom_alt, count(dosage) AS m FROM geno GROUP BY variant_id), {EXACT_HWE}
