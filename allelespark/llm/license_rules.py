@@ -215,12 +215,16 @@ def _entries(tree: dict, words: list[str], start: int) -> list[tuple[int, str]]:
 
 
 def _chain(tree: dict, words: list[str], ends: set[int], start: int) -> list[tuple[int, int, str]]:
-    """Known sentences one after another from ``start`` on that close at an atom's end: (from, to, identifier) in words."""
-    stack = [(start, [])]
-    for _ in range(64):
-        if not stack:
-            break
+    """Known sentences one after another from ``start`` on that close at an atom's end: (from, to, identifier) in words.
+
+    Longest first; a place from which no end was reached isn't tried again, so steps are at most as many as words.
+    """
+    stack, tried = [(start, [])], set()
+    while stack:
         at, done = stack.pop()
+        if at in tried:
+            continue
+        tried.add(at)
         more = _entries(tree, words, at)
         for end, name in more:
             if end in ends:

@@ -48,3 +48,15 @@ def test_real_headers(spark):
     assert got[0].n_unknown == got[6].n_unknown == 0
     span = got[6].spans[0]
     assert BSD_3[span["from"] : span["to"]].startswith("Redistribution and use") and BSD_3[span["from"] : span["to"]].endswith("permission.")
+
+
+def test_a_long_chain_has_no_cap():
+    """Many ways to go on that end nowhere, before the one that does: 2**20 paths by a plain search, 64 steps by the old one."""
+    from allelespark.llm import license_rules as L
+
+    entries = {f"s{i}": text for i, text in enumerate(["a", "a a", "a a a", "z end"])}
+    tree, heads, longest = L.tables(entries)
+    words = ["a"] * 200 + ["z", "end"]
+    chain = L._chain(tree, words, {len(words)}, 0)
+    assert chain[0][0] == 0 and chain[-1] == (200, 202, "s3") and all(a[1] == b[0] for a, b in zip(chain, chain[1:]))
+    assert L._chain(tree, words[:-1], {999}, 0) == []
