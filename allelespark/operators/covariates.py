@@ -69,7 +69,7 @@ class Design:
 
     def __init__(self, cov: DataFrame, fill: bool = False):
         rows, names = design_rows(cov, fill)
-        self.k = len(names)
+        self.k, self.names = len(names), names
         self.n, self.mean, self.inverse, self.power = gram_inverse(rows, self.k)
         mu = F.array(*[F.lit(float(m)) for m in self.mean])
         self.rows = rows.select("sample_id", F.zip_with("x", mu, lambda a, m: a - m).alias("xc"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from allelespark.functions.stats import t_p
-from allelespark.operators.covariates import design_rows
+from allelespark.operators.covariates import Design
 from allelespark.operators.filters import usable_covariates
 from allelespark.operators.multitest import bh_fdr
 from allelespark.operators.ranking import top_variance
@@ -27,8 +27,12 @@ def interaction_scan(
 
     ``leads`` maps each feature to its lead variant.  Cross-products are partial sums per
     (feature, covariate); only those small vectors reach Python, where systems are solved in batches.
+    Covariates are centred over the cohort for that, and the genotype's main effect is stated for them as they were given.
+    A model that can't be fitted has nulls for its results, so it takes no part in an FDR.
     """
-    design, names = design_rows(cov)
+    whole = Design(cov)
+    names, mean = whole.names, whole.mean
+    design = whole.rows.withColumnRenamed("xc", "x")
     at = {c: i + 1 for i, c in enumerate(names)}
     rows = (
         pheno.where("value IS NOT NULL").join(leads.select("feature_id", "variant_id"), "feature_id")
@@ -73,12 +77,18 @@ def interaction_scan(
             with np.errstate(divide="ignore", invalid="ignore"):
                 t = beta / se
                 r2 = 1 - rss / tss
-            take = lambda a, bad: np.where(ok, a, bad)
+            # the main effect where the covariate, not its distance from the mean, is 0
+            mu = np.array([mean[at[c] - 1] for c in b["covariate"]])
+            back = np.zeros((len(b), width))
+            back[:, 1], back[:, -1] = 1 / scale[:, 1], -mu / scale[:, -1]
+            main = (back * beta).sum(axis=1)
+            spread_ = np.sqrt(np.maximum(rss / dof * np.einsum("vi,vij,vj->v", back, np.linalg.inv(m), back), 0))
+            take = lambda a: np.where(ok, a, np.nan)
             yield pd.DataFrame({
                 "gene_id": b["feature_id"], "covariate": b["covariate"], "n_observations": b["n"],
-                "interaction_beta": take(beta[:, -1] / scale[:, -1], 0.0), "interaction_se": take(se[:, -1] / scale[:, -1], 0.0),
-                "interaction_pvalue": take(t_p(t[:, -1], dof), 1.0), "main_effect_beta": take(beta[:, 1] / scale[:, 1], 0.0),
-                "main_effect_pvalue": take(t_p(t[:, 1], dof), 1.0), "r_squared": take(r2, 0.0),
+                "interaction_beta": take(beta[:, -1] / scale[:, -1]), "interaction_se": take(se[:, -1] / scale[:, -1]),
+                "interaction_pvalue": take(t_p(t[:, -1], dof)), "main_effect_beta": take(main),
+                "main_effect_pvalue": take(t_p(np.divide(main, spread_, out=np.full(len(b), np.nan), where=spread_ > 0), dof)), "r_squared": take(r2),
             })
 
     return sums.mapInPandas(solve, _OUT.format(k=pheno.schema["feature_id"].dataType.simpleString()))
