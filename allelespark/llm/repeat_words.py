@@ -147,12 +147,21 @@ def _totals(keys: tuple[np.ndarray, ...], weight: np.ndarray) -> tuple[np.ndarra
 PRINTS = ["h1", "h2", "t1", "t2"]
 
 
-def _print_of(blk: int, idx: np.ndarray, start: np.ndarray) -> list[int]:
-    """Two exclusive-or hashes of a set of places; sets of several blocks are combined by exclusive or."""
-    place = scramble((idx.astype(np.uint64) + np.uint64((int(blk) * 0x9E3779B97F4A7C15) & (2**64 - 1))) * np.uint64(0x369DEA0F31A53F85))
-    place = scramble((place ^ start.astype(np.uint64)) * np.uint64(0xDB4F0B9175AE2165))
-    again = scramble((place + np.uint64(0x2545F4914F6CDD1D)) * np.uint64(0xBBE0563303A4615F))
-    return [int(np.bitwise_xor.reduce(place)), int(np.bitwise_xor.reduce(again))]
+def _prints(blk: np.ndarray, spots: np.ndarray, n: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each set of places (from ``first`` on): two exclusive-or hashes of it and two of the places ``n`` further on.
+
+    Sets of several blocks are combined by exclusive or.
+    """
+    if not len(first):
+        return np.zeros((0, 4), np.int64)
+    at = blk.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + spots["idx"].astype(np.uint64)
+    at = scramble(at * np.uint64(0x369DEA0F31A53F85))
+    out = []
+    for start in (spots["start"], spots["start"] + n):
+        place = scramble((at ^ start.astype(np.uint64)) * np.uint64(0xDB4F0B9175AE2165))
+        again = scramble((place + np.uint64(0x2545F4914F6CDD1D)) * np.uint64(0xBBE0563303A4615F))
+        out += [np.bitwise_xor.reduceat(place, first), np.bitwise_xor.reduceat(again, first)]
+    return np.stack(out, axis=1).view(np.int64)
 
 
 def _paths(rows: pa.Table) -> pa.RecordBatch:
@@ -180,14 +189,13 @@ def _paths(rows: pa.Table) -> pa.RecordBatch:
     ends = np.concatenate((head[1:], [len(row)])) if len(head) else head
     once = np.concatenate((np.flatnonzero(~again), [len(row)]))
     ends = np.minimum(ends, once[np.searchsorted(once, head)]) if len(head) else ends
-    packed, prints = [], []
-    for r, t, m in zip(row[head].tolist(), turn[head].tolist(), (ends - head).tolist()):
-        p = np.frombuffer(places[r], PLACE).copy()
-        p["start"] += t
-        packed.append(p.tobytes())
-        prints.append(_print_of(blk[r], p["idx"], p["start"]) + _print_of(blk[r], p["idx"], p["start"] + m))
-    e = edge[head]
-    prints = np.array(prints, np.uint64).reshape(-1, 4).view(np.int64)
+    r, t, m, e = row[head], turn[head], ends - head, edge[head]
+    counts = np.array([len(p) // PLACE.itemsize for p in places], np.int64)[r] if len(head) else np.zeros(0, np.int64)
+    spots = np.frombuffer(b"".join([places[i] for i in r.tolist()]), PLACE).copy()
+    spots["start"] += np.repeat(t, counts)
+    prints = _prints(np.repeat(blk[r], counts), spots, np.repeat(m, counts), np.cumsum(counts) - counts)
+    whole, cuts = spots.tobytes(), (np.concatenate(([0], np.cumsum(counts))) * PLACE.itemsize).tolist()
+    packed = [whole[i:j] for i, j in zip(cuts, cuts[1:])]
     own = (doc[row[head]] == src_doc[e]) & (start[row[head]] + turn[head] == src_start[e])
     return pa.RecordBatch.from_arrays([
         pa.array(blk[row[head]].astype(np.int64)), pa.array(packed, pa.binary()), pa.array((ends - head).astype(np.int64)), pa.array(a[head]), pa.array(b[head]),
@@ -221,14 +229,18 @@ def compacted(paths: DataFrame) -> DataFrame:
     one = staged(one, "word-spans")
     before = one.select(F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("z").alias("a"), F.col("t1").alias("h1"), F.col("t2").alias("h2"), "total", F.col("n").alias("far"))
     links = staged(one.select("a", "b", "n", "h1", "h2", "total").join(before, ["a", "h1", "h2", "total"]).select("a", "b", "n", "pa", "pb", "far"), "word-links")
-    while True:  # each link then reaches twice as far
-        up = links.select(F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("pa").alias("qa"), F.col("pb").alias("qb"), F.col("far").alias("more"))
+    done = None
+    while True:  # each open link then reaches twice as far; its parent is no other open link's, so no key is hot
+        every = links if done is None else links.union(done)
+        up = every.select(F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("pa").alias("qa"), F.col("pb").alias("qb"), F.col("far").alias("more"))
         told = links.join(up, ["pa", "pb"], "left")
         step = told.select("a", "b", "n", F.coalesce("qa", "pa").alias("pa"), F.coalesce("qb", "pb").alias("pb"), (F.col("far") + F.coalesce("more", F.lit(0))).alias("far"), F.col("qa").isNotNull().alias("moved"))
         step = staged(step, "word-links")
-        links = step.drop("moved")
-        if step.where("moved").isEmpty():
+        ended, links = step.where("NOT moved").drop("moved"), step.where("moved").drop("moved")
+        done = ended if done is None else done.union(ended)
+        if links.isEmpty():
             break
+    links = done
     ends = links.groupBy("pa", "pb").agg(F.max(F.col("far") + F.col("n")).alias("length")).withColumnsRenamed({"pa": "a", "pb": "b"})
     heads = one.join(links.select("a", "b"), ["a", "b"], "left_anti").join(ends, ["a", "b"], "left")
     return heads.select("a", "b", F.coalesce("length", "n").alias("length"), "src_doc", "src_start")
