@@ -134,6 +134,26 @@ def m12(t):
     return out
 
 
+@query("m12_dispatch_all", f"""
+    WITH {_DI}, vs AS ({_VST.replace("END, 6)", "END, 4)")}),
+    r AS (SELECT *, rank() OVER (PARTITION BY feature_id ORDER BY value) - 1 AS lo, count(*) OVER w - rank() OVER (PARTITION BY feature_id ORDER BY value DESC) AS hi,
+          count(*) OVER w - 1 AS d, min(value) OVER w AS a, max(value) OVER w AS z, avg(value) OVER w AS m, stddev_samp(value) OVER w AS s FROM counts WINDOW w AS (PARTITION BY feature_id))
+    SELECT 'log2' AS method, feature_id, sample_id, round(log2(value + 1), 4) AS value FROM counts
+    UNION ALL SELECT 'vst', feature_id, sample_id, value FROM vs
+    UNION ALL SELECT 'quantile', feature_id, sample_id, round(CASE WHEN value = a THEN 0 WHEN value = z THEN 1 ELSE (lo + hi) / 2.0 / d END, 4) FROM r
+    UNION ALL SELECT 'zscore', feature_id, sample_id, round(CASE WHEN coalesce(s, 0) = 0 THEN 0 ELSE (value - m) / s END, 4) FROM r
+    UNION ALL SELECT 'arcsinh', feature_id, sample_id, round(asinh(value), 4) FROM counts
+    UNION ALL SELECT 'tpm', feature_id, sample_id, round(value / sum(value) OVER (PARTITION BY sample_id) * 1e6, 4) FROM counts
+    UNION ALL SELECT 'other', feature_id, sample_id, round(value, 4) FROM counts""")
+def m12all(t):
+    """Every method by its name, and a name that none has."""
+    out = None
+    for m in (*N.METHODS, "other"):
+        part = N.normalize(t.counts(), m).select(F.lit(m).alias("method"), "feature_id", "sample_id", F.round("value", 4).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def batch_dummies(t):
     return V.one_hot(t.covlong().where("covariate = 'batch'"))
 
