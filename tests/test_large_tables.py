@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from allelespark.functions.stats import r_threshold
 from allelespark.operators import assoc, summary
+from allelespark.plans import catalog
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +42,24 @@ def test_tiles_give_the_hits_of_all_pair_sums(sides, monkeypatch, p, maf):
     assert len(want) > 20 and got.index.equals(want.index)
     for name in ("maf", "beta", "se", "t", "p_value", "log10p"):
         assert np.allclose(got[name], want[name], rtol=1e-9)
+
+
+def beside_sql(spark, folder, name, lineitem):
+    """Sorted rows of a registered query and of its SQL over one generated table."""
+    con = duckdb.connect()
+    con.execute(f"COPY ({lineitem}) TO '{folder}/lineitem.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{folder}/lineitem.parquet'")
+    df = catalog.QUERIES[name](spark, str(folder))
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({catalog.ORACLES[name]})").fetchall()
+    return sorted(str(tuple(r)) for r in df.collect()), sorted(map(str, want))
+
+
+def test_correlations_of_hits_with_one_p_value(spark, tmp_path):
+    got, want = beside_sql(spark, tmp_path, "a26_statistic_correlations", """
+        SELECT 1::BIGINT AS l_suppkey, 99991 * i AS l_partkey, (i * 7 % 11) / 100.0::DOUBLE AS l_discount, (i % 9) / 100.0::DOUBLE AS l_tax FROM range(150) r(i)""")
+    assert got == want and sum("nan" in r for r in got) == 3
+
+
+def test_trend_over_a_constant(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 9.0)], "a double, b double")
+    assert np.isnan(summary.trend(df, "a", "b").first()["r"])
