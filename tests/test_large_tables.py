@@ -63,3 +63,9 @@ def test_correlations_of_hits_with_one_p_value(spark, tmp_path):
 def test_trend_over_a_constant(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 9.0)], "a double, b double")
     assert np.isnan(summary.trend(df, "a", "b").first()["r"])
+
+
+def test_missing_matrix_has_the_features_of_its_sql(spark, tmp_path):
+    got, want = beside_sql(spark, tmp_path, "a42_missing_matrix", """
+        SELECT f AS l_suppkey, s AS l_orderkey, 10.0::DOUBLE * f + s AS l_extendedprice FROM range(1300) a(f), range(2) b(s)""")
+    assert len(want) == 2000 and got == want
