@@ -378,6 +378,26 @@ def fit_beta(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
+FINISH_ROWS = 256  # features whose permutations are judged at once: a batch of 10,000 would take gigabytes of temporaries
+
+
+def _permutation_p(batches: Iterator[pd.DataFrame], permutations: int) -> Iterator[pd.DataFrame]:
+    """p-values of the best variants against the largest |r| of each permutation, some features at a time."""
+    p_of = lambda x, nu: t_p(x * np.sqrt(nu / (1 - x * x)), nu)
+    for batch in batches:
+        for at in range(0, len(batch), FINISH_ROWS):
+            b = batch.iloc[at : at + FINISH_ROWS]
+            null_r = np.stack(b["null"].to_list())
+            r = np.minimum(np.abs(b["r"].to_numpy()), 1 - 1e-15)
+            dof = b["dof"].to_numpy(float)
+            p_nom = p_of(r, dof)
+            a, c = fit_beta(p_of(np.minimum(null_r, 1 - 1e-12), dof[:, None]))
+            yield b.drop(columns=["null", "dof"]).assign(
+                p_value=p_nom, p_perm=(1 + (null_r >= r[:, None]).sum(axis=1)) / (1 + permutations),
+                shape1=a, shape2=c, p_beta=betainc(a, c, p_nom),
+            )
+
+
 def cis_permutation(
     prep: Prepared, variants: DataFrame, genes: DataFrame, window: int = 1_000_000, permutations: int = 1000,
     seed: int = 12345, maf: float = 0.0,
@@ -431,22 +451,9 @@ def cis_permutation(
     null = blocks.select("gene_id", F.posexplode("top").alias("perm", "m")).groupBy("gene_id", "perm").agg(F.max("m").alias("m"))
     null = null.groupBy("gene_id").agg(F.collect_list("m").alias("null"))  # one number per permutation
 
-    def finish(batches):
-        for b in batches:
-            null_r = np.stack(b["null"].to_list()) if len(b) else np.zeros((0, permutations))
-            r = np.minimum(np.abs(b["r"].to_numpy()), 1 - 1e-15)
-            dof = b["dof"].to_numpy(float)
-            p_of = lambda x, nu: t_p(x * np.sqrt(nu / (1 - x * x)), nu)
-            p_nom = p_of(r, dof)
-            a, c = fit_beta(p_of(np.minimum(null_r, 1 - 1e-12), dof[:, None])) if len(b) else (r, r)
-            yield b.drop(columns=["null", "dof"]).assign(
-                p_value=p_nom, p_perm=(1 + (null_r >= r[:, None]).sum(axis=1)) / (1 + permutations),
-                shape1=a, shape2=c, p_beta=betainc(a, c, p_nom),
-            )
-
     joined = best.select("gene_id", "b.*", "n_variants", "dof").join(null, "gene_id")
     schema = f"{ids}, maf double, r double, beta double, n_variants bigint, p_value double, p_perm double, shape1 double, shape2 double, p_beta double"
-    return joined.mapInPandas(finish, schema)
+    return joined.mapInPandas(lambda batches: _permutation_p(batches, permutations), schema)
 
 
 def cis_map(prep: Prepared, variants: DataFrame, genes: DataFrame, lam: float | None = None, **kw) -> DataFrame:

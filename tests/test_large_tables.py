@@ -69,3 +69,18 @@ def test_missing_matrix_has_the_features_of_its_sql(spark, tmp_path):
     got, want = beside_sql(spark, tmp_path, "a42_missing_matrix", """
         SELECT f AS l_suppkey, s AS l_orderkey, 10.0::DOUBLE * f + s AS l_extendedprice FROM range(1300) a(f), range(2) b(s)""")
     assert len(want) == 2000 and got == want
+
+
+def test_permutations_are_judged_some_features_at_a_time(monkeypatch):
+    rng = np.random.default_rng(4)
+    b = pd.DataFrame({"gene_id": range(300), "r": rng.uniform(-0.7, 0.7, 300), "null": list(rng.uniform(0.05, 0.7, (300, 40))), "dof": 30.0})
+    monkeypatch.setattr(assoc, "FINISH_ROWS", 300)
+    whole = pd.concat(assoc._permutation_p([b], 40))
+    monkeypatch.setattr(assoc, "FINISH_ROWS", 64)
+    seen, fit = [], assoc.fit_beta
+    monkeypatch.setattr(assoc, "fit_beta", lambda p: seen.append(len(p)) or fit(p))
+    parts = pd.concat(assoc._permutation_p([b, b.iloc[:0]], 40))
+    assert seen == [64, 64, 64, 64, 44]
+    assert list(parts["gene_id"]) == list(whole["gene_id"])
+    for name in ("p_value", "p_perm", "shape1", "shape2", "p_beta"):
+        assert np.allclose(parts[name], whole[name], rtol=1e-7)
