@@ -9,7 +9,7 @@
 5. ``write_shards`` writes each shard as one file: its n records, then n short lines with the document and sequence of each, so a reader
    knows n from the file's size.  ``written`` returns the rows as read again from the files.
 
-Scale: one shuffle of the tokens, by slot range.  Slots are pseudo-random, so a source, a long text or a group of copies is spread over
+Scale: one shuffle of the tokens, by slot range, in turns whose files go before the next.  Slots are pseudo-random, so a source, a long text or a group of copies is spread over
 all shards evenly.  ``write_shards`` writes with Spark's own writer to any file system; a lost executor's task is written again.
 
 Defined cases: null and empty texts have no sequence; repeated rows give their own sequences; a null doc_id is carried; an empty
@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelespark.llm.common import shared_folder, staged
+from allelespark.llm.common import shared_folder, shuffles_freed, slices, staged
 from allelespark.llm.tokens import VOCABULARY, encoder, id_type, ranks_of
 from allelespark.operators.ordered import ordered
 
@@ -88,7 +88,7 @@ def tokenized(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULAR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, before = encoder(sent.value), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches, 1024):
             rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if text:
@@ -118,20 +118,18 @@ def training_order(
     stride = step + 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            start, doc_ids, tokens = (c.to_pylist() for c in batch.columns)
-            for i in range(0, len(tokens), 64):
-                pieces, number, doc, turn = [], [], [], []
-                for s, d, t in zip(start[i : i + 64], doc_ids[i : i + 64], tokens[i : i + 64]):
-                    own = [t[j : j + step] for j in range(0, len(t), step)]
-                    pieces += own
-                    number += range(s, s + len(own))
-                    doc += [d] * len(own)
-                    turn += range(len(own))
-                slot = slots(np.array(number, np.int64), n, key)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot), pa.array(doc, pa.int64()), pa.array(turn, pa.int64()), pa.array(pieces, pa.binary())], names=["slot", "doc_id", "sequence", "tokens"]
-                )
+        for batch in slices(batches, 64):
+            pieces, number, doc, turn = [], [], [], []
+            for s, d, t in zip(*(c.to_pylist() for c in batch.columns)):
+                own = [t[j : j + step] for j in range(0, len(t), step)]
+                pieces += own
+                number += range(s, s + len(own))
+                doc += [d] * len(own)
+                turn += range(len(own))
+            slot = slots(np.array(number, np.int64), n, key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slot), pa.array(doc, pa.int64()), pa.array(turn, pa.int64()), pa.array(pieces, pa.binary())], names=["slot", "doc_id", "sequence", "tokens"]
+            )
 
     numbered = rows.join(offsets, "part").select((F.col("before") + F.col("first")).alias("start"), "doc_id", "tokens")
     cuts = numbered.mapInArrow(cut, "slot long, doc_id long, sequence long, tokens binary")
@@ -147,6 +145,8 @@ def training_order(
 
 #: Bytes after the records for each: a mark of whether doc_id is there, doc_id, sequence, line end.
 TAIL = 18
+#: Shards are written in so many turns, each with its share of the shuffle.
+TURNS = 3
 
 
 def write_shards(ordered_rows: DataFrame, path: str, length: int = LENGTH, width: int = 2) -> None:
@@ -160,8 +160,11 @@ def write_shards(ordered_rows: DataFrame, path: str, length: int = LENGTH, width
     long = lambda c: F.unhex(F.lpad(F.hex(F.coalesce(F.col(c), F.lit(0).cast("long"))), 16, "0"))
     about = F.concat(F.when(F.col("doc_id").isNull(), F.unhex(F.lit("00"))).otherwise(F.unhex(F.lit("01"))), long("doc_id"), long("sequence"))
     lines = ordered_rows.select("shard", "slot", F.posexplode(F.array(F.concat("tokens", pad), about)).alias("kind", "line"))
-    lines = lines.sortWithinPartitions("shard", "kind", "slot").select("shard", F.col("line").cast("string").alias("value"))  # bytes as they are
-    lines.write.partitionBy("shard").option("compression", "none").text(path)
+    with shuffles_freed(ordered_rows.sparkSession):
+        for i in range(TURNS):  # every task has shards of each turn, and a turn's shuffle is gone before the next
+            turn = lines.where(F.col("shard") % TURNS == i).sortWithinPartitions("shard", "kind", "slot")
+            turn = turn.select("shard", F.col("line").cast("string").alias("value"))  # bytes as they are
+            turn.write.mode("append" if i else "error").partitionBy("shard").option("compression", "none").text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:

@@ -39,3 +39,17 @@ def test_query_and_pipeline_write_shards(spark, monkeypatch):
     for rows in (queries.op1_token_output(spark, sf), corpus_pipeline.STAGES[-1][1](spark, docs, sf)):
         assert rows.count() == token_shards.training_order(docs).count()
     assert len(calls) == 2
+
+
+def test_shards_are_written_in_turns_whose_shuffles_go(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"w{i} " * (20 + i % 90)) for i in range(1200)], "doc_id long, text string").repartition(4)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {x for x in blocks.getAllFiles().mkString("\n").split("\n") if x.endswith(".data")}
+    rows = token_shards.training_order(docs, length=16, per_shard=64)
+    rows.count()
+    before, path = held(), str(tmp_path / "t")
+    token_shards.write_shards(rows, path, 16)
+    assert held() - before == set()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    got = token_shards.read_shards(spark, path, length=16, per_shard=64)
+    assert sorted(r.slot for r in got.collect()) == list(range(rows.count()))
