@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 from allelespark.functions.stats import norm_ppf_col
 from allelespark.operators.filters import significant
 from allelespark.operators.ordered import ordered, with_group_stats
+from allelespark.session import materialize
 
 
 def pval() -> Column:
     return F.col("p_value")
 
 
+def gene_stats(df: DataFrame, *aggs: Column) -> DataFrame:
+    """Per-gene aggregates on rows that are written first.
+
+    A statistic joins back to the rows it is of, so each further one on top would double what a single stage reads and sorts.
+    """
+    return with_group_stats(materialize(df), ["gene_id"], *aggs)
+
+
 def posterior_from_bf(df: DataFrame, bf: str = "bf", log_scale: bool = False) -> DataFrame:
     """Normalise Bayes factors per gene; log values are shifted by the gene maximum first."""
     if log_scale:
@@ -32,21 +41,23 @@ def susie_bf(df: DataFrame) -> DataFrame:
 
 def run_susie(df: DataFrame) -> DataFrame:
     # exp(l) + 1e-10 over its sum, rewritten with the gene maximum taken out
-    out = with_group_stats(susie_bf(df), ["gene_id"], F.max("log_bf").alias("_top"))
+    out = gene_stats(susie_bf(df), F.max("log_bf").alias("_top"))
     out = out.withColumn("_w", F.exp(F.col("log_bf") - F.col("_top")) + 1e-10 * F.exp(-F.col("_top")))
-    out = with_group_stats(out, ["gene_id"], F.sum("_w").alias("_sum"))
+    out = gene_stats(out, F.sum("_w").alias("_sum"))
     return out.withColumn("posterior", F.col("_w") / F.col("_sum")).drop("_w", "_sum", "_top", "log_bf")
 
 
 def run_finemap(df: DataFrame) -> DataFrame:
     """-ln p as evidence with a prior of 0.7 uniform + 0.3 MAF share (uniform without MAF)."""
     aggs = [F.count(F.lit(1)).alias("_n")] + ([F.sum("maf").alias("_maf")] if "maf" in df.columns else [])
-    out = with_group_stats(df, ["gene_id"], *aggs)
+    out = gene_stats(df, *aggs)
     prior = 1 / F.col("_n")
     if "maf" in df.columns:
         prior = 0.7 * prior + 0.3 * F.col("maf") / F.col("_maf")
     out = out.withColumn("log_bf", -F.log(pval() + 1e-300) + F.log(prior)).drop("_n", "_maf")
-    return posterior_from_bf(out, "log_bf", log_scale=True).drop("log_bf")
+    out = gene_stats(out, F.max("log_bf").alias("_top"))
+    out = gene_stats(out.withColumn("_w", F.exp(F.col("log_bf") - F.col("_top"))), F.sum("_w").alias("_sum"))
+    return out.withColumn("posterior", F.col("_w") / F.col("_sum")).drop("_w", "_sum", "_top", "log_bf")
 
 
 def run_abf(df: DataFrame, prior_variance: float = 0.04) -> DataFrame:
@@ -93,5 +104,5 @@ def credible_sets(df: DataFrame, threshold: float = 0.95, min_lead: float = 0.01
 def fine_map(df: DataFrame, method: str = "susie", fdr: float = 0.05, p: float = 1e-5, threshold: float = 0.95) -> DataFrame:
     """Significant pairs, genes with at least two variants, posteriors by method, credible sets."""
     hits = significant(df, fdr, p)
-    hits = with_group_stats(hits, ["gene_id"], F.count(F.lit(1)).alias("_n")).where("_n >= 2").drop("_n")
+    hits = gene_stats(hits, F.count(F.lit(1)).alias("_n")).where("_n >= 2").drop("_n")
     return credible_sets(METHODS.get(method, run_susie)(hits), threshold)

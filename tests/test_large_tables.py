@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from allelespark.functions.stats import r_threshold
-from allelespark.operators import assoc, summary
+from allelespark.operators import assoc, finemap, summary
 from allelespark.plans import catalog
 
 
@@ -84,3 +84,10 @@ def test_permutations_are_judged_some_features_at_a_time(monkeypatch):
     assert list(parts["gene_id"]) == list(whole["gene_id"])
     for name in ("p_value", "p_perm", "shape1", "shape2", "p_beta"):
         assert np.allclose(parts[name], whole[name], rtol=1e-7)
+
+
+@pytest.mark.parametrize("method", ["finemap", "susie"])
+def test_statistics_of_fine_mapping_dont_pile_up_in_one_plan(spark, method):
+    df = spark.range(60).selectExpr("id % 6 AS gene_id", "id AS variant_id", "1e-7D * (1 + id % 13) AS p_value", "0.1D AS maf")
+    plan = finemap.METHODS[method](df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # the last statistic's; those before it are written
