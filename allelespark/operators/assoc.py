@@ -33,8 +33,8 @@ class Prepared:
     freedom.  Its row carries the covariates of the samples it lacks, and a variant's cohort sums
     are reduced by theirs (``pair_sums``), so genotypes are still read and packed once.
 
-    The per-sample table and the residuals (phenotype size) are checkpointed because every scan
-    reads them several times; genotypes are read once per scan.
+    The phenotype is checkpointed as it comes, and so are the per-sample table and the residuals, because
+    all are read several times; genotypes are read once per scan.
     """
 
     def __init__(
@@ -44,6 +44,7 @@ class Prepared:
 
         Null phenotype cells take the mean of their sample, or with ``fill_nulls=False`` count as absent.
         """
+        pheno = materialize(pheno)  # read for its samples, its means, its fits, its residuals and its gaps
         tables = [geno if samples is None else samples, pheno] + ([cov] if cov is not None else [])
         common = shared_samples(*tables)
         self.geno = geno.where("dosage IS NOT NULL").withColumn("sample_id", F.trim(F.col("sample_id").cast("string")))
@@ -136,13 +137,14 @@ _SUMS = ["mean", "ss", "cs2", "c", "x", "above", "below"]
 
 def _classes(g: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray] | None]]:
     """Rows of the features that lack the same samples, with those samples, their covariates and the class's inverse (None if all are there)."""
-    for _, at in g.groupby("cls", sort=False).indices.items():
-        miss = g["miss"].iloc[at[0]] if "miss" in g.columns else None
+    lacking, lacking_x, inverse = (g[c].to_numpy() if c in g.columns else None for c in ("miss", "miss_x", "inv"))
+    for at in g.groupby("cls", sort=False).indices.values():
+        miss = None if lacking is None else lacking[at[0]]
         if miss is None or not len(miss):
             yield at, None
             continue
-        own_x = np.asarray(g["miss_x"].iloc[at[0]], float).reshape(len(miss), k)
-        yield at, (np.asarray(miss, np.int64), own_x, np.asarray(g["inv"].iloc[at[0]], float).reshape(k, k))
+        own_x = np.asarray(lacking_x[at[0]], float).reshape(len(miss), k)
+        yield at, (np.asarray(miss, np.int64), own_x, np.asarray(inverse[at[0]], float).reshape(k, k))
 
 
 class VariantSums:
@@ -155,23 +157,27 @@ class VariantSums:
         self.mean, self.called, self.cs2 = v["mean"].to_numpy(float), v["n_called"].to_numpy(float), v["cs2"].to_numpy(float)
         self.above, self.below = v["above"].to_numpy(float), v["below"].to_numpy(float)
 
-    def without(self, miss: np.ndarray, own_x: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(called, mean, sg2, scale, above, below, shift of the mean) on the other samples."""
-        out, dosage = self.there[:, miss], self.left[:, miss]
-        left = self.called - out.sum(axis=1)
+    def without(self, miss: np.ndarray, own_x: np.ndarray, inverse: np.ndarray, rows: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, ...]:
+        """(called, mean, sg2, scale, above, below, shift of the mean) of the variants ``rows`` on the other samples."""
+        out, dosage, mean = self.there[rows][:, miss], self.left[rows][:, miss], self.mean[rows]
+        left = self.called[rows] - out.sum(axis=1)
         shift = np.divide(-dosage.sum(axis=1), left, out=np.zeros(len(left)), where=left > 0)
-        ss = self.cs2 - (dosage * dosage).sum(axis=1) - left * shift * shift
-        cx = self.c - dosage @ own_x - shift[:, None] * (self.x - out @ own_x)
-        raw = dosage + self.mean[:, None]
+        ss = self.cs2[rows] - (dosage * dosage).sum(axis=1) - left * shift * shift
+        cx = self.c[rows] - dosage @ own_x - shift[:, None] * (self.x[rows] - out @ own_x)
+        raw = dosage + mean[:, None]
         above, below = ((out > 0) & (raw > 0.5)).sum(axis=1), ((out > 0) & (raw < 1.5)).sum(axis=1)
         sg2 = ss - ((cx @ inverse) * cx).sum(axis=1)
-        return left, self.mean + shift, sg2, ss + left * (self.mean + shift) ** 2, self.above - above, self.below - below, shift
+        return left, mean + shift, sg2, ss + left * (mean + shift) ** 2, self.above[rows] - above, self.below[rows] - below, shift
 
 
 class PairSums:
-    """Sums of every variant x feature pair of a block, as arrays that broadcast to its shape."""
+    """Sums of every variant x feature pair of a block, as arrays that broadcast to its shape.
 
-    def __init__(self, v: pd.DataFrame, g: pd.DataFrame, n: int, k: int):
+    Where only the pairs ``near`` are wanted, a class with gaps is worked out for the variants near one of its features; the rest of its
+    columns is not to be used.
+    """
+
+    def __init__(self, v: pd.DataFrame, g: pd.DataFrame, n: int, k: int, near: np.ndarray | None = None):
         self.left, self.right = dense(v["idx"], v["val"], n), dense(g["idx"], g["val"], n)
         self.num = self.left @ self.right.T
         self.dof, self.sy2, self.n = g["dof"].to_numpy()[None, :], g["sy2"].to_numpy()[None, :], g["n"].to_numpy()[None, :]
@@ -181,13 +187,12 @@ class PairSums:
         self.shift = np.zeros_like(self.mean)
         self.classes: list[tuple[np.ndarray, np.ndarray | None]] = [(np.arange(len(g)), None)]
         if "miss" in g.columns:
-            self._reduce(v, g, n, k)
+            self._reduce(v, g, n, k, near)
 
-    def _reduce(self, v: pd.DataFrame, g: pd.DataFrame, n: int, k: int) -> None:
+    def _reduce(self, v: pd.DataFrame, g: pd.DataFrame, n: int, k: int, near: np.ndarray | None) -> None:
         """Take the samples that a class of features lacks out of the variants' sums."""
         names = ["called", "mean", "sg2", "scale", "above", "below", "shift"]
-        for name in names:
-            setattr(self, name, np.repeat(getattr(self, name), len(g), axis=1))
+        each = np.repeat(np.stack([getattr(self, name) for name in names]), len(g), axis=2)
         sums = VariantSums(v, self.left, n, k)
         self.there = sums.there
         seen = self.there @ self.right.T
@@ -196,10 +201,14 @@ class PairSums:
             if gaps is None:
                 self.classes.append((at, None))
                 continue
-            for name, value in zip(names, sums.without(*gaps)):
-                getattr(self, name)[:, at] = value[:, None]
-            self.num[:, at] -= self.shift[:, at[:1]] * seen[:, at]
-            self.classes.append((at, np.setdiff1d(np.arange(n), gaps[0], assume_unique=True)))
+            rows = np.arange(len(v)) if near is None else np.flatnonzero(near[:, at].any(axis=1))
+            cells = np.ix_(rows, at)
+            own = np.stack(sums.without(*gaps, rows))
+            each[:, cells[0], cells[1]] = own[:, :, None]
+            self.num[cells] -= own[-1][:, None] * seen[cells]
+            self.classes.append((at, np.delete(np.arange(n), gaps[0])))
+        for name, value in zip(names, each):
+            setattr(self, name, value)
 
     def usable(self, maf: float) -> np.ndarray:
         """Pairs whose variant varies on the feature's samples, and isn't rarer there than ``maf`` (up to rounding of the shifted mean)."""
@@ -245,7 +254,7 @@ def cis_nominal(prep: Prepared, variants: DataFrame, genes: DataFrame, window: i
     def scan(v: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         pos = v["pos"].to_numpy()[:, None]
         near = (pos >= g["gstart"].to_numpy() - window) & (pos <= g["gend"].to_numpy() + window)
-        sums = PairSums(v, g, n, k)
+        sums = PairSums(v, g, n, k, near)
         i, j = np.nonzero(near & sums.usable(maf))
         vv, gg = v.iloc[i].reset_index(drop=True), g.iloc[j].reset_index(drop=True)
         tss = np.where(gg["strand"] == "+", gg["gstart"], gg["gend"])
@@ -253,15 +262,15 @@ def cis_nominal(prep: Prepared, variants: DataFrame, genes: DataFrame, window: i
         ids = {"gene_id": gg["feature_id"], "variant_id": vv["variant_id"], "chrom": vv["chrom"], "pos": vv["pos"], "distance": vv["pos"] - tss}
         return pd.DataFrame(ids).join(found.drop(columns="n_called"))
 
-    sides = window_sides(prep, variants, genes, window, maf)
+    sides = window_sides(prep, variants, genes, window, maf, rows=1024)
     ids = f"gene_id {_kind(genes, 'gene_id')}, variant_id {_kind(variants, 'variant_id')}, chrom string, pos bigint, distance bigint"
     schema = f"{ids}, af double, maf double, n int, ma_samples bigint, ma_count double, {_STATS}"
     return scan_blocks(*sides, ["chrom", "_bin"], rows_per_block(n), scan, schema)
 
 
-def window_sides(prep: Prepared, variants: DataFrame, genes: DataFrame, window: int, maf: float):
-    """Packed rows keyed by position bin, and the narrow position tables that size the blocks."""
-    width = bin_width(variants, window)
+def window_sides(prep: Prepared, variants: DataFrame, genes: DataFrame, window: int, maf: float, rows: int = 256):
+    """Packed rows keyed by position bin of about ``rows`` variants, and the narrow position tables that size the blocks."""
+    width = bin_width(variants, window, rows)
     v, g = variant_bins(variants, width), gene_bins(genes, window, width)
     return variant_bins(prep.variant_rows(variants, maf), width), gene_bins(prep.feature_rows(genes), window, width), v, g
 
@@ -410,8 +419,10 @@ def cis_permutation(
     n, k = prep.n, prep.k
 
     def scan(v: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        sums, pos = PairSums(v, g, n, k), v["pos"].to_numpy()
-        near = (pos[:, None] >= g["gstart"].to_numpy() - window) & (pos[:, None] <= g["gend"].to_numpy() + window) & sums.usable(maf)
+        pos = v["pos"].to_numpy()
+        near = (pos[:, None] >= g["gstart"].to_numpy() - window) & (pos[:, None] <= g["gend"].to_numpy() + window)
+        sums = PairSums(v, g, n, k, near)
+        near = near & sums.usable(maf)
         shape = sums.num.shape
         sg2, freq = np.broadcast_to(sums.sg2, shape), np.broadcast_to(np.minimum(sums.mean / 2, 1 - sums.mean / 2), shape)
         out, names = [], v["variant_id"].to_numpy()

@@ -25,6 +25,10 @@ def covariates(t):
     return wide.unpivot("sample_id", ["rin", "sex"], "covariate", "value")
 
 
+def prepared(t, pheno, cov=None):
+    return AS.Prepared(t.geno(), pheno, cov, samples=t.genotyped())
+
+
 # sample vectors orthogonalised one after the other, then both sides residualised on the full grid
 _SV = """cv AS (SELECT sample_id, rin - avg(rin) OVER () AS a, sex - avg(sex) OVER () AS s0 FROM covar),
     sv AS (SELECT sample_id, a, s0 - a * (SELECT sum(a * s0) / sum(a * a) FROM cv) AS s FROM cv)"""
@@ -66,28 +70,28 @@ _NOMINAL = "SELECT gene_id, variant_id, round(beta, 6) AS beta, round(se, 6) AS
 
 @query("q1_cis_nominal", f"WITH {_models(False)}, {_CIS}, {_scan_sql(False, 'pr')} {_NOMINAL}")
 def q1(t):
-    prep = AS.Prepared(t.geno(), t.pheno())
+    prep = prepared(t, t.pheno())
     out = AS.cis_nominal(prep, t.variants(), t.genes()).select("gene_id", "variant_id", "beta", "se", "t")
     return rnd(out, "beta", "se", "t")
 
 
 @query("q1_cis_nominal_covariates", f"WITH {_models(True)}, {_CIS}, {_scan_sql(True, 'pr')} {_NOMINAL}")
 def q1c(t):
-    prep = AS.Prepared(t.geno(), t.pheno(), covariates(t))
+    prep = prepared(t, t.pheno(), covariates(t))
     out = AS.cis_nominal(prep, t.variants(), t.genes()).select("gene_id", "variant_id", "beta", "se", "t")
     return rnd(out, "beta", "se", "t")
 
 
 @query("q1_cis_nominal_full")
 def q1f(t):
-    prep = AS.Prepared(t.geno(), t.pheno(), covariates(t))
+    prep = prepared(t, t.pheno(), covariates(t))
     return bh_fdr(materialize(AS.cis_nominal(prep, t.variants(), t.genes(), maf=0.05)), ["gene_id"])
 
 
 def slice_one(t):
     """Filter, log, cis scan, lead variant per gene and its FDR."""
     pheno = t.pheno_na().transform(X.expressed).transform(X.varying).transform(X.complete_enough).transform(N.log2)
-    scan = materialize(AS.cis_nominal(AS.Prepared(t.geno(), pheno, covariates(t)), t.variants(), t.genes(), maf=0.05))
+    scan = materialize(AS.cis_nominal(prepared(t, pheno, covariates(t)), t.variants(), t.genes(), maf=0.05))
     lead = D.top_hit(bh_fdr(scan), "variant_id", keys=("gene_id",))
     return lead.select("gene_id", "variant_id", "chrom", "pos", "beta", "se", "t", "p_value", "maf", "n", "fdr")
 
@@ -103,14 +107,14 @@ def q1_lead(t):
                   row_number() OVER (PARTITION BY gene_id ORDER BY round(-abs(sxy / sqrt(sxx * syy)), 12), variant_id) AS k FROM st)
     SELECT gene_id, variant_id, round(r, 6) AS r, round(beta, 6) AS beta, n_variants FROM rr WHERE k = 1""")
 def q2(t):
-    prep = AS.Prepared(t.geno(), t.pheno(), covariates(t))
+    prep = prepared(t, t.pheno(), covariates(t))
     out = AS.cis_permutation(prep, t.variants(), t.genes(), permutations=20)
     return rnd(out.select("gene_id", "variant_id", "r", "beta", "n_variants"), "r", "beta")
 
 
 @query("q2_cis_permutation")
 def q2p(t):
-    prep = AS.Prepared(t.geno(), t.pheno(), covariates(t))
+    prep = prepared(t, t.pheno(), covariates(t))
     return AS.cis_map(prep, t.variants(), t.genes(), lam=0.5)
 
 
@@ -122,7 +126,7 @@ _RCUT = r_threshold(1e-3, COHORT - 4) ** 2
     WITH {_models(True)}, {_scan_sql(True, _ALLPAIRS, f'sxx > 1e-9 AND sxy * sxy >= {_RCUT!r} * sxx * syy')}
     SELECT gene_id, variant_id, round(beta, 6) AS beta, round(beta / se, 6) AS t FROM st""")
 def j5(t):
-    prep = AS.Prepared(t.geno(), t.pheno(), covariates(t))
+    prep = prepared(t, t.pheno(), covariates(t))
     return rnd(AS.trans_pairs(prep, t.variants(), t.genes(), 1e-3).select("gene_id", "variant_id", "beta", "t"), "beta", "t")
 
 
@@ -132,7 +136,7 @@ def j5(t):
     JOIN variants v ON v.variant_id = st.variant_id JOIN genes g ON g.gene_id = st.gene_id
     WHERE v.chrom <> g.chrom OR abs(v.pos - CASE WHEN g.strand = '+' THEN g.gstart ELSE g.gend END) > 5000000""")
 def q3(t):
-    prep = AS.Prepared(t.geno(), t.pheno(), covariates(t))
+    prep = prepared(t, t.pheno(), covariates(t))
     out = AS.trans_scan(prep, t.variants(), t.genes(), 1e-3, lam=0.5)
     return rnd(out.select("gene_id", "variant_id", "beta", "t"), "beta", "t")
 
@@ -145,7 +149,7 @@ def q4(t):
     scans = {}
     for kind, factor in (("eqtl", 1), ("pqtl", 2)):
         y = t.pheno().withColumn("value", F.col("value") * factor)
-        scans[(kind, "cis")] = AS.cis_nominal(AS.Prepared(t.geno(), y, covariates(t)), t.variants(), t.genes())
+        scans[(kind, "cis")] = AS.cis_nominal(prepared(t, y, covariates(t)), t.variants(), t.genes())
     return rnd(AS.by_type(scans).select("qtl_type", "mode", "gene_id", "variant_id", "beta"), "beta")
 
 
@@ -243,7 +247,7 @@ _TRANS_GAPS = "(SELECT gene_id, variant_id FROM genes, (SELECT DISTINCT variant_
            CASE WHEN mean <= 1 THEN total ELSE 2 * n_called - total END AS ma_count, round(maf, 6) AS maf, round(beta, 6) AS beta, round(se, 6) AS se,
            round(beta / se, 5) AS t FROM st""")
 def q1g(t):
-    prep = AS.Prepared(t.geno(), t.pheno_na().where("value IS NOT NULL"), covariates(t))
+    prep = prepared(t, t.pheno_na().where("value IS NOT NULL"), covariates(t))
     out = AS.cis_nominal(prep, t.variants(), t.genes()).select("gene_id", "variant_id", "n", "ma_samples", "ma_count", "maf", "beta", "se", "t")
     out = out.withColumns({"n": F.col("n").cast("long"), "ma_count": F.round("ma_count", 6)})
     return rnd(rnd(out, "maf", "beta", "se"), "t", digits=5)
@@ -258,7 +262,7 @@ _BH_GENE = """SELECT gene_id, variant_id, min(least(p * m / rk, 1)) OVER (PARTIT
     SELECT pv.gene_id, pv.variant_id, round(p, 6) AS p_value, round(f, 6) AS fdr FROM pv JOIN fd ON fd.gene_id = pv.gene_id AND fd.variant_id = pv.variant_id""")
 def q1p(t):
     """p of every pair, on the degrees of freedom of each gene's own samples, and the FDR over the pairs of a gene."""
-    prep = AS.Prepared(t.geno(), t.pheno_na().where("value IS NOT NULL"), covariates(t))
+    prep = prepared(t, t.pheno_na().where("value IS NOT NULL"), covariates(t))
     out = bh_fdr(materialize(AS.cis_nominal(prep, t.variants(), t.genes())), ["gene_id"])
     return rnd(out.select("gene_id", "variant_id", "p_value", "fdr"), "p_value", "fdr")
 
@@ -269,7 +273,7 @@ def q1p(t):
                   row_number() OVER (PARTITION BY gene_id ORDER BY round(-abs(sxy / sqrt(sxx * syy)), 12), variant_id) AS k FROM st)
     SELECT gene_id, variant_id, round(r, 6) AS r, round(beta, 6) AS beta, n_variants FROM rr WHERE k = 1""")
 def q2g(t):
-    prep = AS.Prepared(t.geno(), t.pheno_na().where("value IS NOT NULL"), covariates(t))
+    prep = prepared(t, t.pheno_na().where("value IS NOT NULL"), covariates(t))
     out = AS.cis_permutation(prep, t.variants(), t.genes(), permutations=20)
     return rnd(out.select("gene_id", "variant_id", "r", "beta", "n_variants"), "r", "beta")
 
@@ -280,7 +284,7 @@ def q2g(t):
     WHERE maf >= 0.05 AND sxy * sxy >= CASE n {" ".join(f"WHEN {m} THEN {r_threshold(1e-3, m - 4) ** 2!r}" for m in range(5, COHORT + 1))} END * sxx * syy
       AND (v.chrom <> g.chrom OR abs(v.pos - CASE WHEN g.strand = '+' THEN g.gstart ELSE g.gend END) > 5000000)""")
 def q3g(t):
-    prep = AS.Prepared(t.geno(), t.pheno_na().where("value IS NOT NULL"), covariates(t))
+    prep = prepared(t, t.pheno_na().where("value IS NOT NULL"), covariates(t))
     out = AS.trans_scan(prep, t.variants(), t.genes(), 1e-3, lam=0.5).select("gene_id", "variant_id", F.col("n").cast("long").alias("n"), "maf", "beta", "t")
     return rnd(rnd(out, "maf", "beta"), "t", digits=4)
 
