@@ -14,6 +14,7 @@ from allelespark.plans.fixtures import COHORT
 from allelespark.plans.q_qc import rnd
 from allelespark.plans.q_window import _FIN, _HITS, _SETS
 from allelespark.plans.registry import query
+from allelespark.session import materialize
 from allelespark.sources import readers as R
 from allelespark.sources import sinks as K
 
@@ -56,10 +57,12 @@ def vcf_file(t):
     gt = F.when(d.isNull(), "./.").when(d == 0, "0|0").when(d == 1, "0|1").otherwise("1|1")
     cell = F.when(v % 2 == 1, F.concat(gt, F.lit(":"), F.coalesce(F.col("dosage").cast("string"), F.lit(".")))).otherwise(gt)
     per = g.groupBy("variant_id").agg(F.collect_list(F.struct(F.col("sample_id").cast("int").alias("s"), cell.alias("c"))).alias("m"))
-    body = per.join(t.variants(), "variant_id").select("*", F.format_string("%012d", v).alias("_o"), v.alias("_n"))
+    per = per.withColumn("m", F.map_from_entries("m"))
+    # written once for both orders and their ranges; in the lines' plan the map would be made anew for every sample
+    body = materialize(per.join(t.variants(), "variant_id").select("*", F.format_string("%012d", v).alias("_o"), v.alias("_n")))
 
     def line(flip):
-        row = F.transform(samples(flip), lambda i: F.coalesce(F.map_from_entries("m")[i], F.lit("./.")))
+        row = F.transform(samples(flip), lambda i: F.coalesce(F.col("m")[i], F.lit("./.")))
         return F.concat_ws(
             "\t", F.concat(F.lit("chr"), "chrom"), F.col("pos").cast("string"), F.concat(F.lit("rs"), v.cast("string")), F.lit("A"),
             F.lit("G"), F.col("qual").cast("int").cast("string"), F.lit("PASS"),
