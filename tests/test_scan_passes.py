@@ -1,9 +1,11 @@
 """How often a scan reads its inputs, and which pairs of a block it works out."""
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from allelespark.operators import assoc
+from allelespark.operators import assoc, prepare
+from allelespark.plans import catalog, q_io
 from allelespark.plans.fixtures import Tables
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +60,32 @@ def test_classes_with_gaps_are_worked_out_for_near_variants_only(spark, monkeypa
     i, j = np.nonzero(near & every.usable(0.1))
     assert len(i) > 20 and (near & some.usable(0.1) == near & every.usable(0.1)).all()
     pd.testing.assert_frame_equal(pd.DataFrame(some.rows(i, j)), pd.DataFrame(every.rows(i, j)))
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sections_of_a_comparison_share_one_computation(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.range(240).selectExpr("id % 12 AS feature_id", "id DIV 12 AS sample_id", "CAST(id * 7 % 31 AS DOUBLE) AS value")
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    out = prepare.comparison_bundle(rows.mapInPandas(counted, rows.schema), rows)
+    assert out.select("section").distinct().count() == 6 and seen.value == 240
+
+
+@pytest.mark.parametrize("name", ["m12_dispatch", "m12_dispatch_all"])
+def test_methods_share_one_aggregation(spark, name):
+    assert "parquet" not in plan(catalog.QUERIES[name](spark, SF))
+
+
+def test_lines_of_a_vcf_share_one_aggregation(spark, monkeypatch):
+    bodies, text = [], q_io.text
+    monkeypatch.setattr(q_io, "text", lambda t, name, body, *args: bodies.append(body) or text(t, name, body, *args))
+    q_io.vcf_file(Tables(spark, SF))
+    assert len(bodies) == 2 and not any("parquet" in plan(b) or "map_from_entries" in plan(b) for b in bodies)
