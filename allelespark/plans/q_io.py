@@ -10,7 +10,7 @@ from allelespark.operators import finemap as FM
 from allelespark.operators import joins as J
 from allelespark.operators import qc as Q
 from allelespark.operators.multitest import qvalues
-from allelespark.plans.fixtures import COHORT
+from allelespark.plans.fixtures import COHORT, whole
 from allelespark.plans.q_qc import rnd
 from allelespark.plans.q_window import _FIN, _HITS, _SETS
 from allelespark.plans.registry import query
@@ -101,7 +101,7 @@ def s2(t):
 
 def matrix_file(t, sep="\t"):
     s = F.col("sample_id")
-    cell = F.when((F.col("feature_id") + s) % 19 == 0, "bad").otherwise(F.col("value").cast("bigint").cast("string"))
+    cell = F.when((F.col("feature_id") + s) % 19 == 0, "bad").otherwise(F.col("value").cast("string"))
     per = t.counts().groupBy("feature_id").agg(F.collect_list(F.struct(s.cast("int").alias("s"), cell.alias("c"))).alias("m"))
     body = per.select("m", F.format_string("%012d", "feature_id").alias("_o"), F.col("feature_id").alias("_n"))
 
@@ -276,7 +276,7 @@ def k2(t):
     UNION ALL SELECT '#chr' || chr(9) || 'start' || chr(9) || 'end' || chr(9) || 'phenotype_id' || chr(9) || string_agg(CAST(s AS VARCHAR), chr(9) ORDER BY s) FROM range({COHORT}) r(s)""")
 def k3(t):
     rows = J.with_coordinates(t.counts(), t.genes())
-    return R.lines(t.spark, K.write_lines(K.phenotype_bed(rows, F.col("value").cast("bigint").cast("string")), K.scratch(t.spark, "phenobed")))
+    return R.lines(t.spark, K.write_lines(K.phenotype_bed(rows, whole("value").cast("string")), K.scratch(t.spark, "phenobed")))
 
 
 @query("k4_covariate_matrix", """
