@@ -93,8 +93,8 @@ def locus_from_id(df: DataFrame, column: str = "variant_id") -> DataFrame:
 
 
 def neg_log10(p: Column) -> Column:
-    """-log10 p; p = 0 maps to infinity instead of null."""
-    return F.when(p == 0, float("inf")).otherwise(-F.log10(p))
+    """-log10 p; p = 0 maps to infinity and p < 0 to NaN instead of null."""
+    return F.when(p == 0, float("inf")).when(p < 0, float("nan")).otherwise(-F.log10(p))
 
 
 def signed_significance(p: Column, beta: Column) -> Column:

@@ -8,8 +8,11 @@ from allelespark.operators.clean import locus_from_id, neg_log10
 from allelespark.operators.ordered import ordered, with_group_stats
 
 
-def manhattan_input(df: DataFrame, p: str = "p_value") -> DataFrame:
-    """Chromosome, position and -log10 p; falls back to the id, then to one chromosome and row order."""
+def manhattan_input(df: DataFrame, p: str = "p_value", scored: bool = True) -> DataFrame:
+    """Chromosome, position and -log10 p; falls back to the id, then to one chromosome and row order.
+
+    Rows without a place are dropped, and those without a -log10 p unless ``scored`` is false.
+    """
     if "chromosome" not in df.columns and "variant_id" in df.columns:
         df = locus_from_id(df)
     if "chromosome" not in df.columns:
@@ -17,7 +20,7 @@ def manhattan_input(df: DataFrame, p: str = "p_value") -> DataFrame:
     if "position" not in df.columns:
         key = F.col("variant_id") if "variant_id" in df.columns else F.col(p)
         df = ordered(df, [], [key], rank="position")
-    return df.withColumn("log10p", neg_log10(F.col(p))).dropna(subset=["chromosome", "position", "log10p"])
+    return df.withColumn("log10p", neg_log10(F.col(p))).dropna(subset=["chromosome", "position", *(["log10p"] if scored else [])])
 
 
 def genome_coordinate(df: DataFrame, gap: int = 1_000_000) -> DataFrame:

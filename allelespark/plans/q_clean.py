@@ -117,7 +117,7 @@ def p8(t):
     from allelespark.operators.display import manhattan_input
 
     raw = t.gwas().withColumn("p_value", F.when(F.col("variant_id") % 50 == 7, 0.0).otherwise(F.col("p_value")))
-    out = manhattan_input(raw.withColumnsRenamed({"chrom": "chromosome", "pos": "position"}))
+    out = manhattan_input(raw.withColumnsRenamed({"chrom": "chromosome", "pos": "position"}), scored=False)
     return out.select("phenotype", "variant_id", "chromosome", "position", F.round("log10p", 6).alias("log10p"))
 
 

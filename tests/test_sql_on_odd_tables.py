@@ -2,6 +2,7 @@
 import duckdb
 import pytest
 
+from allelespark.operators.display import manhattan_input
 from allelespark.plans import catalog
 
 #: 3 suppliers and 6 parts, a line for every sample of each part; halves and quarters in l_quantity, in numbers that round up or down
@@ -33,3 +34,17 @@ def beside_sql(spark, folder, name, lines=LINES, times=1):
 def test_fractions_in_written_counts(spark, tmp_path, name):
     got, want = beside_sql(spark, tmp_path, name)
     assert got == want and len(want) >= 4
+
+
+@pytest.mark.parametrize("flag,first", [("CASE WHEN o % 3 = 1 THEN NULL ELSE 'A' END", 0), ("'A'", -2000)])
+def test_manhattan_rows_without_a_log(spark, tmp_path, flag, first):
+    """A missing flag gives no p, and keys below zero give a p below zero."""
+    lines = LINES.replace("['A', 'N', 'R'][1 + o % 3]", flag).replace("p AS l_partkey", f"p + {first} AS l_partkey")
+    got, want = beside_sql(spark, tmp_path, "p8_manhattan_input", lines)
+    assert got == want and any("None" in r or "nan" in r for r in want)
+
+
+def test_manhattan_input_drops_what_has_no_log(spark):
+    df = spark.createDataFrame([("1", 5, 0.1), ("1", 6, None), ("1", 7, -0.1), (None, 8, 0.1)], "chromosome string, position long, p_value double")
+    assert [r["position"] for r in manhattan_input(df).collect()] == [5]
+    assert [r["position"] for r in manhattan_input(df, scored=False).sort("position").collect()] == [5, 6, 7]
