@@ -269,7 +269,12 @@ def cis_nominal(prep: Prepared, variants: DataFrame, genes: DataFrame, window: i
 
 
 def window_sides(prep: Prepared, variants: DataFrame, genes: DataFrame, window: int, maf: float, rows: int = 256):
-    """Packed rows keyed by position bin of about ``rows`` variants, and the narrow position tables that size the blocks."""
+    """Packed rows keyed by position bin of about ``rows`` variants, and the narrow position tables that size the blocks.
+
+    A place that is listed several times is one place, so a pair comes once and counts once.
+    """
+    variants = variants.select("variant_id", "chrom", "pos").distinct()
+    genes = genes.select("gene_id", "chrom", "gstart", "gend", "strand").distinct()
     width = bin_width(variants, window, rows)
     v, g = variant_bins(variants, width), gene_bins(genes, window, width)
     return variant_bins(prep.variant_rows(variants, maf), width), gene_bins(prep.feature_rows(genes), window, width), v, g

@@ -48,3 +48,15 @@ def test_manhattan_input_drops_what_has_no_log(spark):
     df = spark.createDataFrame([("1", 5, 0.1), ("1", 6, None), ("1", 7, -0.1), (None, 8, 0.1)], "chromosome string, position long, p_value double")
     assert [r["position"] for r in manhattan_input(df).collect()] == [5]
     assert [r["position"] for r in manhattan_input(df, scored=False).sort("position").collect()] == [5, 6, 7]
+
+
+@pytest.mark.parametrize("name,times", [("q1_cis_nominal", 1), ("q1_cis_nominal", 3), ("q2_best_variant", 3)])
+def test_scans_of_fractions_and_repeated_places(spark, tmp_path, name, times):
+    """Quantities with fractions are rounded to dosages; a part or supplier that is listed again adds no pair."""
+    got, want = beside_sql(spark, tmp_path, name, times=times)
+    assert got == want and len(want) == 3
+
+
+def test_repeated_places_without_fractions(spark, tmp_path):
+    got, want = beside_sql(spark, tmp_path, "q1_cis_nominal", LINES.replace("0.25", "1"), times=2)
+    assert got == want and len(want) == 3
