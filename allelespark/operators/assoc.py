@@ -155,10 +155,14 @@ class VariantSums:
         wide = lambda name: np.array([np.asarray(r, float) for r in v[name]]).reshape(len(v), k)
         self.c, self.x = wide("c"), wide("x")
         self.mean, self.called, self.cs2 = v["mean"].to_numpy(float), v["n_called"].to_numpy(float), v["cs2"].to_numpy(float)
+        self.ss = v["ss"].to_numpy(float)
         self.above, self.below = v["above"].to_numpy(float), v["below"].to_numpy(float)
 
     def without(self, miss: np.ndarray, own_x: np.ndarray, inverse: np.ndarray, rows: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, ...]:
-        """(called, mean, sg2, scale, above, below, shift of the mean) of the variants ``rows`` on the other samples."""
+        """(called, mean, sg2, scale, above, below, shift of the mean) of the variants ``rows`` on the other samples.
+
+        What is left of cohort sums carries their rounding, so ``scale`` is the cohort's: a variant that is zero in all samples left has none.
+        """
         out, dosage, mean = self.there[rows][:, miss], self.left[rows][:, miss], self.mean[rows]
         left = self.called[rows] - out.sum(axis=1)
         shift = np.divide(-dosage.sum(axis=1), left, out=np.zeros(len(left)), where=left > 0)
@@ -167,7 +171,7 @@ class VariantSums:
         raw = dosage + mean[:, None]
         above, below = ((out > 0) & (raw > 0.5)).sum(axis=1), ((out > 0) & (raw < 1.5)).sum(axis=1)
         sg2 = ss - ((cx @ inverse) * cx).sum(axis=1)
-        return left, mean + shift, sg2, ss + left * (mean + shift) ** 2, self.above[rows] - above, self.below[rows] - below, shift
+        return left, mean + shift, sg2, self.ss[rows], self.above[rows] - above, self.below[rows] - below, shift
 
 
 class PairSums:

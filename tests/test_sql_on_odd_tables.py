@@ -60,3 +60,18 @@ def test_scans_of_fractions_and_repeated_places(spark, tmp_path, name, times):
 def test_repeated_places_without_fractions(spark, tmp_path):
     got, want = beside_sql(spark, tmp_path, "q1_cis_nominal", LINES.replace("0.25", "1"), times=2)
     assert got == want and len(want) == 3
+
+
+#: 119 parts with carriers only among the samples that a trait lacks (sample % 3 = 0), and one that varies in all
+CARRIERS = """
+    SELECT o AS l_orderkey, p AS l_partkey, p % 3 AS l_suppkey, 1::INTEGER AS l_linenumber, 1000.0::DOUBLE + (o * 37 + p * 11) % 89 AS l_extendedprice,
+           3.0 + CASE WHEN p = 0 THEN (o * o + o // 7) % 3 WHEN o % 3 = 0 THEN (o // 3 * 7 + p * o // 3 + p // 14) % 3 ELSE 0 END AS l_quantity,
+           0.0::DOUBLE AS l_discount, 0.0::DOUBLE AS l_tax, 'A' AS l_returnflag
+    FROM range(40) a(o), range(120) b(p)"""
+
+
+@pytest.mark.parametrize("name", ["q5_linear_gwas_gaps", "q5_linear_gwas_p_values"])
+def test_variants_without_carriers_where_the_trait_is_measured(spark, tmp_path, name):
+    """What is left of a variant there is rounding, not variation."""
+    got, want = beside_sql(spark, tmp_path, name, CARRIERS)
+    assert got == want and len(want) == 1
