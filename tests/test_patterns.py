@@ -155,3 +155,17 @@ def test_exact_hardy_weinberg_at_scale():
     assert ((p > 0) & (p <= 1)).all()
     rows = pd.DataFrame({"a": hom, "b": het}).drop_duplicates()
     assert len(rows) > 1900
+
+
+def test_trans_hits_are_read_not_written(spark, world, monkeypatch):
+    """Hits grow with the pairs: turns yield them when they are read, and only features, their numbers and packed variants are written."""
+    w, seen = world, []
+    plain, write = blocks.in_turns, blocks.materialize
+    prep = assoc.Prepared(w["geno"], w["pheno"], w["long"])
+    key = lambda d: sorted((r.gene_id, r.variant_id, round(r.beta, 10), round(r.t, 10)) for r in d.collect())
+    one = key(assoc.trans_pairs(prep, w["variants"], w["genes"], 0.9, 0.0))
+    monkeypatch.setattr(blocks, "materialize", lambda df: seen.append(df.columns) or write(df))
+    monkeypatch.setattr(assoc, "in_turns", lambda *a, **kw: plain(*a, **kw, turn_bytes=4000))
+    hits = assoc.trans_pairs(prep, w["variants"], w["genes"], 0.9, 0.0)
+    assert key(hits) == one and key(hits) == one and len(one) > G
+    assert len(seen) >= 3 and not [c for c in seen if "p_value" in c]
