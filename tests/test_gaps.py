@@ -101,3 +101,15 @@ def test_matrix_lines_place_cells_by_sample(spark):
     long = spark.createDataFrame(rows, "covariate string, sample_id string, value double")
     got = [r[0].split("\t") for r in sinks.covariate_matrix(long).collect()]
     assert got == [["id", "a", "b", "c", "d"], ["c1", "1.0", "NA", "3.0", "NA"], ["c2", "NA", "2.0", "NA", "NA"], ["c3", "1.0", "NA", "4.0", "5.0"]]
+
+
+def test_fdr_writes_only_the_columns_it_was_given(spark, monkeypatch):
+    seen, write = [], multitest.materialize
+    monkeypatch.setattr(multitest, "materialize", lambda df: seen.append(df.columns) or write(df))
+    df = spark.range(200).select("id", (F.col("id") % 3).alias("k"), (F.col("id") * 37 % 101 / 100).alias("p_value"))
+    for keys in ([], ["k"]):
+        got = multitest.bh_fdr(df, keys).toPandas()
+        for _, g in got.groupby(keys or (lambda i: 0)):
+            bad = g.p_value <= 0
+            assert (g.fdr[bad] == 1).all() and np.allclose(g.fdr[~bad], plain_bh(g.p_value[~bad]), rtol=1e-12)
+    assert seen == [["id", "k", "p_value", "_piece"]] * 2
